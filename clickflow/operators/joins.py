@@ -1,0 +1,30 @@
+"""Join-side helpers: broadcast only what is provably small.
+
+``broadcast_bounded`` hints a broadcast when the optimizer can prove a row bound
+(a ``limit``, a literal table, a global aggregate). Anything else is left to
+Catalyst and AQE, which broadcast only after measuring the side against
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffle (and split skewed
+partitions).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def max_rows(df: DataFrame) -> int | None:
+    """Row bound proven by the optimized plan, or None when unbounded."""
+    try:
+        bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+        return int(bound.get()) if bound.isDefined() else None
+    except Exception:  # noqa: BLE001 - plan not inspectable (e.g. remote session)
+        return None
+
+
+def broadcast_bounded(df: DataFrame, limit_rows: int) -> DataFrame:
+    """Broadcast ``df`` if its plan guarantees at most ``limit_rows`` rows."""
+    bound = max_rows(df)
+    if bound is not None and bound <= limit_rows:
+        return F.broadcast(df)
+    return df

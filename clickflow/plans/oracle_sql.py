@@ -146,3 +146,64 @@ def filtered_cte(p: TaskParams) -> str:
 
 def session_base(p: TaskParams = DEFAULT_PARAMS, *extra: str) -> str:
     return with_(actions_cte(p), SESSION_SUMMARY_CTE, FULL_INFO_CTE, filtered_cte(p), *extra)
+
+
+# ----------------------------------------------------------- category block
+
+FA_CTE = "fa AS (SELECT * FROM actions WHERE session_id IN (SELECT session_id FROM filtered))"
+
+CAT_EVENTS_CTE = """cat_events AS (
+  SELECT session_id, category_id, kind FROM (
+    SELECT session_id, click_category_id AS category_id, 1 AS kind FROM fa WHERE click_category_id <> -1
+    UNION ALL
+    SELECT session_id, TRY_CAST(trim(x) AS BIGINT), 2 FROM (
+      SELECT session_id, unnest(string_split(order_category_ids, ',')) AS x FROM fa WHERE order_category_ids IS NOT NULL)
+    UNION ALL
+    SELECT session_id, TRY_CAST(trim(x) AS BIGINT), 3 FROM (
+      SELECT session_id, unnest(string_split(pay_category_ids, ',')) AS x FROM fa WHERE pay_category_ids IS NOT NULL)
+  ) WHERE category_id IS NOT NULL
+)"""
+
+FULL_COUNT_CTE = """full_count AS (
+  SELECT category_id,
+         count(*) FILTER (WHERE kind = 1) AS click_count,
+         count(*) FILTER (WHERE kind = 2) AS order_count,
+         count(*) FILTER (WHERE kind = 3) AS pay_count
+  FROM cat_events GROUP BY category_id
+)"""
+
+TOP10_CTE = """top10 AS (
+  SELECT * FROM full_count ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id ASC LIMIT 10
+)"""
+
+
+def category_base(p: TaskParams = DEFAULT_PARAMS, *extra: str) -> str:
+    return session_base(p, FA_CTE, CAT_EVENTS_CTE, FULL_COUNT_CTE, TOP10_CTE, *extra)
+
+
+# -------------------------------------------------------------- funnel block
+
+TRANSITIONS_CTE = """transitions AS (
+  SELECT session_id, from_event_id, from_page_id, to_page_id FROM (
+    SELECT session_id, event_id AS from_event_id, page_id AS from_page_id,
+           lead(page_id) OVER w AS to_page_id, lead(event_id) OVER w AS to_event_id
+    FROM actions
+    WINDOW w AS (PARTITION BY session_id ORDER BY CAST(action_time AS TIMESTAMP), event_id)
+  ) WHERE to_event_id IS NOT NULL
+)"""
+
+
+def flow_values(p: TaskParams) -> str:
+    rows = ", ".join(f"({pos}, {a}, {b})" for pos, a, b in p.page_pairs)
+    return f"flow AS (SELECT CAST(pos AS INTEGER) AS pos, CAST(a AS BIGINT) AS from_page_id, CAST(b AS BIGINT) AS to_page_id FROM (VALUES {rows}) AS t(pos, a, b))"
+
+
+PAIR_COUNT_CTE = """pair_count AS (
+  SELECT t.from_page_id || '_' || t.to_page_id AS pair, t.from_page_id, t.to_page_id, count(*) AS pair_count
+  FROM transitions t JOIN flow f ON t.from_page_id = f.from_page_id AND t.to_page_id = f.to_page_id
+  GROUP BY ALL
+)"""
+
+
+def funnel_base(p: TaskParams = DEFAULT_PARAMS, *extra: str) -> str:
+    return with_(actions_cte(p), TRANSITIONS_CTE, flow_values(p), PAIR_COUNT_CTE, *extra)

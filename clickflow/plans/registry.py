@@ -11,11 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickflow.operators import sessions as S
-from clickflow.params import DEFAULT_PARAMS, TaskParams
-from clickflow.plans import jobs
-from clickflow.plans import oracle_sql as O
-from clickflow.sources import testdata as src
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -41,83 +36,25 @@ def register(name: str, sql: str | None, streaming: bool = False):
     return deco
 
 
-P = DEFAULT_PARAMS
-
-# Fixed filter variants (one restriction each, age unset) and the conjunction.
-NO_AGE = P.with_(start_age=None, end_age=None)
-FILTER_VARIANTS: dict[str, TaskParams] = {
-    "session_filter_age": P,
-    "session_filter_keywords": NO_AGE.with_(keywords="kw1,kw3"),
-    "session_filter_categories": NO_AGE.with_(category_ids="5,40"),
-    "session_filter_city": NO_AGE.with_(cities="city3,city7"),
-    "session_filter_sex": NO_AGE.with_(sex="male"),
-    "session_filter_professional": NO_AGE.with_(professionals="BUILDING,MACHINERY"),
-    "session_filter_all": P.with_(sex="female", professionals="BUILDING,MACHINERY,HOUSEHOLD", cities=None),
-}
-
-# ------------------------------------------------------------ session block
-
-
-@register("actions_in_date_range", O.with_(O.actions_cte(P)) + " SELECT * FROM actions")
-def q_actions_in_date_range(spark, sf_dir):
-    return jobs.date_range_actions(spark, sf_dir, P)
-
-
-@register("session_summary", O.with_(O.actions_cte(P), O.SESSION_SUMMARY_CTE) + " SELECT * FROM summary")
-def q_session_summary(spark, sf_dir):
-    return S.session_summary(jobs.date_range_actions(spark, sf_dir, P))
-
-
-@register("session_full_info", O.session_base(P) + " SELECT * FROM full_info")
-def q_session_full_info(spark, sf_dir):
-    return jobs.full_sessions(spark, sf_dir, P)
-
-
-def _filter_query(params: TaskParams) -> QueryFn:
-    def fn(spark, sf_dir):
-        return jobs.filtered_sessions(spark, sf_dir, params)
-
-    return fn
-
-
-for _name, _params in FILTER_VARIANTS.items():
-    register(_name, O.session_base(_params) + " SELECT * FROM filtered")(_filter_query(_params))
-
-
-_BUCKETS_SQL = ",\n".join(
-    [f"count(*) FILTER (WHERE visit_length {O.bucket_sql(lo, hi)}) AS visit_length_{n}" for n, lo, hi in S.VISIT_BUCKETS]
-    + [f"count(*) FILTER (WHERE step_length {O.bucket_sql(lo, hi)}) AS step_length_{n}" for n, lo, hi in S.STEP_BUCKETS]
+BLOCKS = (
+    "session_queries",
+    "category_queries",
+    "funnel_queries",
 )
-_BUCKETS_CTE = f"buckets AS (SELECT count(*) AS session_count, {_BUCKETS_SQL} FROM filtered)"
 
 
-@register("session_bucket_counts", O.session_base(P, _BUCKETS_CTE) + " SELECT * FROM buckets")
-def q_session_bucket_counts(spark, sf_dir):
-    return S.session_bucket_counts(jobs.filtered_sessions(spark, sf_dir, P))
+def _load() -> None:
+    import importlib
 
-
-@register(
-    "session_ratio",
-    O.session_base(P, _BUCKETS_CTE)
-    + f" SELECT '{P.task_id}' AS taskid, session_count, "
-    + ", ".join(f"{O.ratio_sql(n, 'session_count')} AS {n}_ratio" for n in S.bucket_names())
-    + " FROM buckets",
-)
-def q_session_ratio(spark, sf_dir):
-    return S.session_ratio(jobs.filtered_sessions(spark, sf_dir, P), P)
-
-
-@register(
-    "filtered_actions",
-    O.session_base(P) + " SELECT * FROM actions WHERE session_id IN (SELECT session_id FROM filtered)",
-)
-def q_filtered_actions(spark, sf_dir):
-    return jobs.filtered_session_actions(spark, sf_dir, P)
+    for block in BLOCKS:
+        importlib.import_module(f"clickflow.plans.{block}")
 
 
 def queries() -> dict[str, QueryFn]:
+    _load()
     return {name: e.fn for name, e in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return {name: e.sql for name, e in REGISTRY.items() if e.sql is not None}
