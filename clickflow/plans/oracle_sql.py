@@ -207,3 +207,37 @@ PAIR_COUNT_CTE = """pair_count AS (
 
 def funnel_base(p: TaskParams = DEFAULT_PARAMS, *extra: str) -> str:
     return with_(actions_cte(p), TRANSITIONS_CTE, flow_values(p), PAIR_COUNT_CTE, *extra)
+
+
+# ---------------------------------------------------------------- area block
+
+AREA_CTES = (
+    "clicks AS (SELECT city_id, click_product_id FROM actions WHERE click_product_id <> -1)",
+    """basic AS (
+  SELECT c.city_id, ci.city_name, ci.area, c.click_product_id AS pid
+  FROM clicks c JOIN city_area_info ci ON c.city_id = ci.city_id
+)""",
+    """area_count AS (
+  SELECT area, pid, count(*) AS click_count,
+         coalesce(array_to_string(list_sort(list_distinct(list(city_id || ':' || city_name))), ','), '') AS city_infos
+  FROM basic GROUP BY area, pid
+)""",
+    """area_info AS (
+  SELECT a.area, a.city_infos, a.pid, p.product_name,
+         CASE WHEN json_extract_string(p.extend_info, '$.product_status') = '0' THEN 'Self' ELSE 'Third Party' END
+           AS product_status,
+         a.click_count
+  FROM area_count a JOIN product_info p ON a.pid = p.product_id
+)""",
+    """area_ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid ASC) AS INTEGER) AS rank
+  FROM area_info
+)""",
+)
+
+
+def area_base(p: TaskParams = DEFAULT_PARAMS, *extra: str) -> str:
+    return with_(actions_cte(p), *AREA_CTES, *extra)
+
+
+AREA_LEVEL_CASE = _area_level_case("area")

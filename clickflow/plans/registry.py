@@ -40,6 +40,7 @@ BLOCKS = (
     "session_queries",
     "category_queries",
     "funnel_queries",
+    "area_queries",
 )
 
 
