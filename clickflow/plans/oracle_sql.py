@@ -241,3 +241,41 @@ def area_base(p: TaskParams = DEFAULT_PARAMS, *extra: str) -> str:
 
 
 AREA_LEVEL_CASE = _area_level_case("area")
+
+
+# ------------------------------------------------------------------ ad block
+
+def ad_ctes(threshold: int, src: str = "ad_click", pre: str = "") -> tuple[str, ...]:
+    """Ad statistics over ``src``; CTE names get the prefix ``pre``."""
+    return (
+        f"{pre}user_counts AS (SELECT date, userid, adid, count(*) AS click_count FROM {src} GROUP BY ALL)",
+        f"{pre}blacklist AS (SELECT DISTINCT userid FROM {pre}user_counts WHERE click_count > {threshold})",
+        f"{pre}clean AS (SELECT * FROM {src} WHERE userid NOT IN (SELECT userid FROM {pre}blacklist))",
+        f"""{pre}city_counts AS (
+  SELECT date, province, city, adid, count(*) AS click_count FROM {pre}clean GROUP BY ALL
+)""",
+        f"""{pre}province_counts AS (
+  SELECT date, province, adid, CAST(sum(click_count) AS BIGINT) AS click_count FROM {pre}city_counts GROUP BY ALL
+)""",
+        f"""{pre}province_top3 AS (
+  SELECT date, province, adid, click_count FROM (
+    SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, adid ASC) AS rank
+    FROM {pre}province_counts) WHERE rank <= 3
+)""",
+        f"""{pre}trend AS (
+  SELECT substr(k, 1, 8) AS date, substr(k, 9, 2) AS hour, substr(k, 11, 2) AS minute, adid, count(*) AS click_count
+  FROM (SELECT strftime(epoch_ms(ts_millis), '%Y%m%d%H%M') AS k, adid FROM {pre}clean) GROUP BY ALL
+)""",
+    )
+
+
+def ad_base(threshold: int, *extra: str) -> str:
+    return with_(*ad_ctes(threshold), *extra)
+
+
+def ad_slice(pre: str, condition: str, threshold: int) -> tuple[str, ...]:
+    """Ad statistics over the clicks whose event time satisfies ``condition``."""
+    return (
+        f"{pre}ad_click AS (SELECT * FROM ad_click WHERE epoch_ms(ts_millis) {condition})",
+        *ad_ctes(threshold, f"{pre}ad_click", pre),
+    )

@@ -41,6 +41,7 @@ BLOCKS = (
     "category_queries",
     "funnel_queries",
     "area_queries",
+    "ad_queries",
 )
 
 
