@@ -279,3 +279,16 @@ def ad_slice(pre: str, condition: str, threshold: int) -> tuple[str, ...]:
         f"{pre}ad_click AS (SELECT * FROM ad_click WHERE epoch_ms(ts_millis) {condition})",
         *ad_ctes(threshold, f"{pre}ad_click", pre),
     )
+
+
+# --------------------------------------------------------- helpers, sampling
+
+def kv_pattern_sql(field: str) -> str:
+    return f"(?:^|\\|){field}=([^\\|=]+)=*(?:\\||$)"
+
+
+RECORD_SQL = (
+    "'sessionid=' || session_id || '|searchKeywords=' || search_keywords || '|clickCategoryIds=' || "
+    "click_category_ids || '|visitLength=' || visit_length || '|stepLength=' || step_length || "
+    "'|startTime=' || start_time"
+)

@@ -42,6 +42,7 @@ BLOCKS = (
     "funnel_queries",
     "area_queries",
     "ad_queries",
+    "helper_queries",
 )
 
 
