@@ -43,6 +43,7 @@ BLOCKS = (
     "area_queries",
     "ad_queries",
     "helper_queries",
+    "stream_queries",
 )
 
 
