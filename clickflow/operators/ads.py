@@ -15,20 +15,28 @@ TOP_ADS = 3
 WINDOW_MINUTES = 60
 
 
+# Fixed format of one ad log line: epoch millis, province, city, user id, ad id.
+AD_LINE_PATTERN = r"^-?[0-9]{1,18} [^ ]+ [^ ]+ -?[0-9]{1,18} -?[0-9]{1,18}$"
+
+
 def parse_ad_log(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``epoch_millis province city userid adid`` → typed columns. Lines without a
-    valid time, user or ad are not clicks and are skipped."""
-    parts = F.split(F.col(column), " ")
-    ts_millis = parts.getItem(0).try_cast("bigint")
-    parsed = lines.select(
+    """``epoch_millis province city userid adid`` → typed columns.
+
+    Lines that do not have that shape are not clicks and are skipped. The check is
+    one regex on the raw line, so the filter Catalyst pushes below the parse does not
+    repeat the parse per field.
+    """
+    value = F.col(column)
+    parts = F.split(value, " ")
+    ts_millis = parts.getItem(0).cast("bigint")
+    return lines.where(value.rlike(AD_LINE_PATTERN)).select(
         ts_millis.alias("ts_millis"),
         F.date_format(F.timestamp_millis(ts_millis), DATEKEY_FORMAT).alias("date"),
         parts.getItem(1).alias("province"),
         parts.getItem(2).alias("city"),
-        parts.getItem(3).try_cast("bigint").alias("userid"),
-        parts.getItem(4).try_cast("bigint").alias("adid"),
+        parts.getItem(3).cast("bigint").alias("userid"),
+        parts.getItem(4).cast("bigint").alias("adid"),
     )
-    return parsed.where(F.col("ts_millis").isNotNull() & F.col("userid").isNotNull() & F.col("adid").isNotNull())
 
 
 def _count() -> Column:

@@ -101,7 +101,9 @@ class AdStreamJob:
         return deltas.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
 
     def province_top3(self, spark: SparkSession) -> DataFrame:
-        return _read(spark, self.t.path("ad_province_top3"), SC.AD_PROVINCE_TOP3)
+        # Partition columns come last in a read; restore the table's column order.
+        top3 = _read(spark, self.t.path("ad_province_top3"), SC.AD_PROVINCE_TOP3)
+        return top3.select(*SC.AD_PROVINCE_TOP3.fieldNames())
 
     def clean_clicks(self, spark: SparkSession) -> DataFrame:
         return _read(spark, self.t.path("clean_clicks"), CLEAN_SCHEMA).drop("batch_id")
