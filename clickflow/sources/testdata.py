@@ -21,6 +21,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Feed every core when a scan yields fewer splits than the default parallelism.
+
+    A large input already has thousands of splits and is returned unchanged (no
+    shuffle); a small file with one row group would otherwise run all per-row work
+    (JSON, formatting, partial aggregation) in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def read_events(spark: SparkSession, sf_dir: str, raw_filter: Column | None = None) -> DataFrame:
+    """The fact table, with an optional filter on raw columns (pushed to the scan)."""
+    events = read_table(spark, sf_dir, "events")
+    if raw_filter is not None:
+        events = events.where(raw_filter)
+    return spread(events)
+
+
 def _event_time(events: DataFrame) -> Column:
     # ``ts`` is timestamp_ntz; as a zoned timestamp in the (UTC) session zone.
     return F.col("ts").cast("timestamp")
@@ -69,10 +90,8 @@ def user_visit_action(events: DataFrame) -> DataFrame:
 
 def load_actions(spark: SparkSession, sf_dir: str, params: TaskParams | None = None) -> DataFrame:
     """user_visit_action, with the task's day range pushed to the raw scan when given."""
-    events = read_table(spark, sf_dir, "events")
-    if params is not None:
-        events = events.where(raw_ts_range(params.start_date, params.end_date))
-    return user_visit_action(events)
+    cond = raw_ts_range(params.start_date, params.end_date) if params is not None else None
+    return user_visit_action(read_events(spark, sf_dir, cond))
 
 
 def user_info(customer: DataFrame) -> DataFrame:
@@ -121,7 +140,4 @@ def ad_log(events: DataFrame) -> DataFrame:
 
 
 def load_ad_log(spark: SparkSession, sf_dir: str, raw_filter: Column | None = None) -> DataFrame:
-    events = read_table(spark, sf_dir, "events")
-    if raw_filter is not None:
-        events = events.where(raw_filter)
-    return ad_log(events)
+    return ad_log(read_events(spark, sf_dir, raw_filter))
