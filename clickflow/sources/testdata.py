@@ -28,10 +28,12 @@ def spread(df: DataFrame) -> DataFrame:
     shuffle); a small file with one row group would otherwise run all per-row work
     (JSON, formatting, partial aggregation) in one task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def read_events(spark: SparkSession, sf_dir: str, raw_filter: Column | None = None) -> DataFrame:

@@ -31,7 +31,7 @@ def test_two_column_projection_prunes_the_scan(spark):
     assert read and all("user_id" not in r and "value" not in r for r in read)
 
 
-@pytest.mark.parametrize("name", ["area_top3_products", "ad_province_top3", "top10_active_sessions"])
+@pytest.mark.parametrize("name", ["area_top3_products", "ad_province_top3", "top10_active_sessions", "session_sample_hourly"])
 def test_top_k_windows_get_a_group_limit(spark, name):
     assert "WindowGroupLimit" in formatted(spark, name)
 
