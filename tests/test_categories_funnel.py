@@ -98,3 +98,19 @@ def test_area_top3_ties_and_unknown_city(spark):
     top = A.area_top3_products(A.area_product_info(counts, products))
     got = [(r.area_level, r.pid, r.click_count, r.product_status) for r in top.orderBy(F.desc("click_count"), "pid").collect()]
     assert got == [("A_Level", 10, 2, "Self"), ("A_Level", 13, 2, "Third Party"), ("A_Level", 11, 1, "Third Party")]
+
+
+def test_area_job_as_sql_text_equals_dataframe_chain(spark):
+    from clickflow.plans import jobs
+    from clickflow.plans.area_sql import area_top3_sql
+    from clickflow.params import DEFAULT_PARAMS
+    from clickflow.sources import testdata as src
+    from conftest import SMOKE_DIR
+
+    actions = jobs.date_range_actions(spark, SMOKE_DIR, DEFAULT_PARAMS)
+    products = src.load_products(spark, SMOKE_DIR)
+    via_sql = area_top3_sql(spark, actions, products, city_area_info(spark))
+    clicks = A.area_basic_info(A.city_product_clicks(actions), city_area_info(spark))
+    via_df = A.area_top3_products(A.area_product_info(A.area_product_click_count(clicks), products))
+    assert rows(via_sql) == rows(via_df) and via_df.count() > 0
+    assert "WindowGroupLimit" in via_sql._jdf.queryExecution().executedPlan().toString()
