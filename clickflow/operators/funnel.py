@@ -117,5 +117,5 @@ def page_conversion_rate(actions: DataFrame, transitions: DataFrame, params: Tas
         "to_page_id",
         "pair_count",
         "prev_count",
-        ratio_half_up(F.col("pair_count"), F.col("prev_count")).alias("convert_rate"),
+        ratio_half_up("pair_count", "prev_count").alias("convert_rate"),
     )

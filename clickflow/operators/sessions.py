@@ -205,5 +205,5 @@ def session_ratio(sessions: DataFrame, params: TaskParams) -> DataFrame:
     return counts.select(
         F.lit(params.task_id).alias("taskid"),
         total,
-        *[ratio_half_up(F.col(n), total).alias(f"{n}_ratio") for n in bucket_names()],
+        *[ratio_half_up(n, "session_count").alias(f"{n}_ratio") for n in bucket_names()],
     )

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickflow.operators import ads as AD
 from clickflow.params import TaskParams
+from clickflow.sinks.writers import write_partitioned
 from clickflow.sources import schemas as SC
 
 DELTA_KEYS = {
@@ -38,12 +39,7 @@ class AdStreamTables:
 
 
 def _write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    write_partitioned(df, path, partition_by, dynamic=True)
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
