@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickflow.functions.aggregates import group_concat_distinct
 from clickflow.functions.text import concat_long_string, get_json_field
 from clickflow.operators.joins import broadcast_bounded
+from clickflow.operators.ranking import rank_within_groups
 from clickflow.sources.cities import CITY_AREA_ROWS, area_level
 
 TOP_PRODUCTS = 3
@@ -58,8 +59,12 @@ def _rank_window():
 
 
 def area_products_ranked(info: DataFrame) -> DataFrame:
-    """Every product of an area with its rank (ties by product id)."""
-    return info.withColumn("rank", F.row_number().over(_rank_window()))
+    """Every product of an area with its rank (ties by product id).
+
+    No limit applies, so an area is ranked with ``rank_within_groups``: a large area
+    is spread over many tasks instead of being sorted by one.
+    """
+    return rank_within_groups(info, ["area"], [F.desc("click_count"), F.asc("pid")])
 
 
 def area_top3_products(info: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:

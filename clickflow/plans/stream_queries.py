@@ -21,7 +21,9 @@ COUNTING = DEFAULT_PARAMS
 SLICES = 5
 
 
-def run_ad_stream(spark, sf_dir: str, params: TaskParams) -> tuple[AS.AdStreamJob, object]:
+def run_ad_stream(spark, sf_dir: str, params: TaskParams) -> AS.AdStreamJob:
+    """Run the ad job over the time-ordered ad log of ``sf_dir``; returns the job,
+    whose readers give the resulting tables."""
     root = shared_dir(spark, "ad_stream")
     inbox = f"{root}/input"
     write_ad_log_files(spark, sf_dir, inbox, params.start_date, params.end_date, SLICES)
@@ -29,7 +31,7 @@ def run_ad_stream(spark, sf_dir: str, params: TaskParams) -> tuple[AS.AdStreamJo
     query = AS.start_ad_stream(file_lines(spark, inbox, 1), tables, params, f"{root}/checkpoint",
                                trigger={"availableNow": True})
     query.awaitTermination()
-    return AS.AdStreamJob(tables, params), spark
+    return AS.AdStreamJob(tables, params)
 
 
 @register("stream_ad_log_parse", O.ad_base(2) + " SELECT * FROM ad_click", streaming=True)
@@ -46,7 +48,7 @@ def q_stream_ad_log_parse(spark, sf_dir):
 # Rows-only: which clicks pass depends on when each user got listed (batch order).
 @register("stream_blacklist_filter", None, streaming=True)
 def q_stream_blacklist_filter(spark, sf_dir):
-    job, _ = run_ad_stream(spark, sf_dir, LISTING)
+    job = run_ad_stream(spark, sf_dir, LISTING)
     return job.clean_clicks(spark)
 
 
@@ -54,23 +56,23 @@ def q_stream_blacklist_filter(spark, sf_dir):
 # threshold, which is the batch blacklist over the whole input.
 @register("stream_blacklist_update", O.ad_base(2) + " SELECT * FROM blacklist", streaming=True)
 def q_stream_blacklist_update(spark, sf_dir):
-    job, _ = run_ad_stream(spark, sf_dir, LISTING)
+    job = run_ad_stream(spark, sf_dir, LISTING)
     return job.blacklist(spark)
 
 
 @register("stream_ad_city_count", O.ad_base(10) + " SELECT * FROM city_counts", streaming=True)
 def q_stream_ad_city_count(spark, sf_dir):
-    job, _ = run_ad_stream(spark, sf_dir, COUNTING)
+    job = run_ad_stream(spark, sf_dir, COUNTING)
     return job.totals(spark, "ad_stat")
 
 
 @register("stream_ad_province_top3", O.ad_base(10) + " SELECT * FROM province_top3", streaming=True)
 def q_stream_ad_province_top3(spark, sf_dir):
-    job, _ = run_ad_stream(spark, sf_dir, COUNTING)
+    job = run_ad_stream(spark, sf_dir, COUNTING)
     return job.province_top3(spark)
 
 
 @register("stream_ad_click_trend", O.ad_base(10) + " SELECT * FROM trend", streaming=True)
 def q_stream_ad_click_trend(spark, sf_dir):
-    job, _ = run_ad_stream(spark, sf_dir, COUNTING)
+    job = run_ad_stream(spark, sf_dir, COUNTING)
     return job.totals(spark, "ad_click_trend")

@@ -114,3 +114,18 @@ def test_area_job_as_sql_text_equals_dataframe_chain(spark):
     via_df = A.area_top3_products(A.area_product_info(A.area_product_click_count(clicks), products))
     assert rows(via_sql) == rows(via_df) and via_df.count() > 0
     assert "WindowGroupLimit" in via_sql._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rank_within_groups_matches_row_number(spark):
+    from pyspark.sql import Window
+
+    from clickflow.operators.ranking import rank_within_groups
+
+    rnd = random.Random(3)
+    # One hot group with most rows, a few small ones, many ties on the score.
+    data = [("hot" if rnd.random() < 0.7 else f"g{rnd.randint(0, 4)}", rnd.randint(0, 5), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, score long, id long").repartition(12)
+    order = [F.desc("score"), F.asc("id")]
+    got = rank_within_groups(df, ["g"], order)
+    want = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert rows(got) == rows(want)
