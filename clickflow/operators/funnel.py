@@ -1,12 +1,12 @@
 """Page funnel: adjacent page pairs inside sessions and the conversion along a flow.
 
 ``page_transitions`` does not sort whole sessions in one window: a session holding a
-third of all actions would then sit in one task. Each session is cut into minute
+third of all actions would then sit in one task. Each session is cut into one-second
 chunks (a deterministic key, so any re-evaluation agrees); pairs inside a chunk come
-from a window over (session, minute), and the pair that crosses from one chunk to
+from a window over (session, second), and the pair that crosses from one chunk to
 the next is stitched from the first and last row of each chunk only. A hot session
-is spread over as many tasks as it has minutes, and its stitch input is two rows
-per minute.
+is spread over as many tasks as it has busy seconds (a chunk holds at most one
+second of its actions), and its stitch input is two rows per busy second.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from clickflow.functions.numbers import ratio_half_up
 from clickflow.params import TaskParams
 
-CHUNK_SECONDS = 60
+CHUNK_SECONDS = 1
 
 
 def page_transitions(actions: DataFrame) -> DataFrame:
