@@ -115,3 +115,21 @@ def test_stream_restarts_from_its_checkpoint(spark):
     assert rows(job.totals(spark, "ad_stat")) == rows(batch)
     trend = AD.ad_click_trend(AD.parse_ad_log(spark.createDataFrame([(x,) for x in lines], "value string")))
     assert rows(job.totals(spark, "ad_click_trend")) == rows(trend)
+
+
+def test_late_click_updates_its_own_day(spark):
+    """State is never expired: a click of an earlier day that arrives in a later
+    batch is added to that day's totals and that day's top-3 is recomputed."""
+    job = make_job(spark, threshold=100)
+    day1, day2 = 1704067200000, 1704153600000
+    job.process(clicks(spark, [(0, "1", "1", 5, 7), (1, "1", "1", 6, 8)]), 0)
+    late = spark.createDataFrame(
+        [(day2, "20240102", "1", "1", 5, 7), (2, "20240101", "1", "1", 9, 8), (3, "20240101", "1", "1", 9, 8)],
+        AD_CLICK,
+    )
+    job.process(late, 1)
+    assert rows(job.totals(spark, "ad_stat")) == [
+        ("20240101", "1", "1", 7, 1), ("20240101", "1", "1", 8, 3), ("20240102", "1", "1", 7, 1)
+    ]
+    assert rows(job.province_top3(spark)) == [("20240101", "1", 7, 1), ("20240101", "1", 8, 3), ("20240102", "1", 7, 1)]
+    assert day1 < day2
