@@ -19,6 +19,8 @@ from clickflow.streaming.sources import file_lines, write_ad_log_files
 LISTING = DEFAULT_PARAMS.with_(ad_click_threshold=2)
 COUNTING = DEFAULT_PARAMS
 SLICES = 5
+# Snapshot every second batch, so that the registered runs also read through snapshots.
+COMPACT_EVERY = 2
 
 
 def run_ad_stream(spark, sf_dir: str, params: TaskParams) -> AS.AdStreamJob:
@@ -29,9 +31,9 @@ def run_ad_stream(spark, sf_dir: str, params: TaskParams) -> AS.AdStreamJob:
     write_ad_log_files(spark, sf_dir, inbox, params.start_date, params.end_date, SLICES)
     tables = AS.AdStreamTables(f"{root}/tables")
     query = AS.start_ad_stream(file_lines(spark, inbox, 1), tables, params, f"{root}/checkpoint",
-                               trigger={"availableNow": True})
+                               trigger={"availableNow": True}, compact_every=COMPACT_EVERY)
     query.awaitTermination()
-    return AS.AdStreamJob(tables, params)
+    return AS.AdStreamJob(tables, params, COMPACT_EVERY)
 
 
 @register("stream_ad_log_parse", O.ad_base(2) + " SELECT * FROM ad_click", streaming=True)

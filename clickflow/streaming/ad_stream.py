@@ -13,6 +13,7 @@ filtered from batch n+1 on, as in the original job.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,22 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the ``column=value`` sub-folders of ``path`` (a directory listing)."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    prefix = f"{column}="
+    names = [st.getPath().getName() for st in fs.listStatus(folder) if st.isDirectory()]
+    return [n[len(prefix):] for n in names if n.startswith(prefix)]
+
+
+def _any_of(conds: list) -> F.Column:
+    return reduce(lambda a, b: a | b, conds)
+
+
 def _with_batch(schema, extra=("batch_id",)):
     from pyspark.sql import types as T
 
@@ -59,14 +76,27 @@ DELTA_SCHEMAS = {
     "ad_stat": _with_batch(SC.AD_STAT),
     "ad_click_trend": _with_batch(SC.AD_CLICK_TREND),
 }
+# Compacted snapshots: the totals of a day over all batches up to ``upto``.
+BASE_SCHEMAS = {
+    "ad_user_click_count": _with_batch(SC.AD_USER_CLICK_COUNT, ("upto",)),
+    "ad_stat": _with_batch(SC.AD_STAT, ("upto",)),
+    "ad_click_trend": _with_batch(SC.AD_CLICK_TREND, ("upto",)),
+}
 
 
 class AdStreamJob:
-    """``foreachBatch`` body. Stateless between calls: all state is in the tables."""
+    """``foreachBatch`` body. Stateless between calls: all state is in the tables.
 
-    def __init__(self, tables: AdStreamTables, params: TaskParams):
+    Every ``compact_every`` batches the days touched by the batch are compacted: their
+    totals are written as a snapshot ``<table>_base/date=D/upto=N``. Readers take the
+    latest snapshot of a day plus the deltas after it, so a batch reads at most one
+    snapshot and ``compact_every`` deltas per day, however long the stream runs.
+    """
+
+    def __init__(self, tables: AdStreamTables, params: TaskParams, compact_every: int = 50):
         self.t = tables
         self.threshold = params.ad_click_threshold
+        self.compact_every = compact_every
 
     def init_tables(self, spark: SparkSession) -> None:
         # Same partition layout as the batch writes, so no data file sits at the root.
@@ -89,12 +119,46 @@ class AdStreamJob:
             listed = listed.where(F.col("batch_id") < before_batch)
         return listed.select("userid").distinct()
 
+    def base_path(self, name: str) -> str:
+        return self.t.path(f"{name}_base")
+
+    def latest_snapshots(self, spark: SparkSession, name: str, dates: list[str]) -> dict[str, int]:
+        """Day → batch id of its latest compacted snapshot (days without one are absent)."""
+        out = {}
+        for d in dates:
+            uptos = _partition_values(spark, f"{self.base_path(name)}/date={d}", "upto")
+            if uptos:
+                out[d] = max(int(u) for u in uptos)
+        return out
+
     def totals(self, spark: SparkSession, name: str, dates: list[str] | None = None) -> DataFrame:
-        deltas = _read(spark, self.t.path(name), DELTA_SCHEMAS[name])
-        if dates is not None:
-            deltas = deltas.where(F.col("date").isin(dates))
+        """Running totals of a counting table (all days, or only ``dates``)."""
+        if dates is None:
+            dates = _partition_values(spark, self.t.path(name), "date")
         keys = DELTA_KEYS[name]
-        return deltas.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
+        cols = [*keys, "click_count"]
+        if not dates:
+            return spark.createDataFrame([], DELTA_SCHEMAS[name]).select(*cols)
+        latest = self.latest_snapshots(spark, name, dates)
+        date, bid = F.col("date"), F.col("batch_id")
+        # Both filters are on partition columns: only the needed folders are read.
+        newer = _any_of([(date == d) & (bid > latest.get(d, -1)) for d in dates])
+        parts = [_read(spark, self.t.path(name), DELTA_SCHEMAS[name]).where(newer).select(*cols)]
+        if latest:
+            snap = _any_of([(date == d) & (F.col("upto") == u) for d, u in latest.items()])
+            parts.append(_read(spark, self.base_path(name), BASE_SCHEMAS[name]).where(snap).select(*cols))
+        both = reduce(lambda a, b: a.unionByName(b), parts)
+        return both.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
+
+    def compact(self, spark: SparkSession, dates: list[str], batch_id: int) -> None:
+        """Write the totals of ``dates`` as snapshots at ``batch_id`` (idempotent)."""
+        for name in DELTA_KEYS:
+            done = [d for d, u in self.latest_snapshots(spark, name, dates).items() if u >= batch_id]
+            days = [d for d in dates if d not in done]  # a replay finds its snapshot written
+            if not days:
+                continue
+            snap = self.totals(spark, name, days).withColumn("upto", F.lit(batch_id).cast("bigint"))
+            _write_partitions(snap, self.base_path(name), ["date", "upto"])
 
     def province_top3(self, spark: SparkSession) -> DataFrame:
         # Partition columns come last in a read; restore the table's column order.
@@ -144,11 +208,14 @@ class AdStreamJob:
         # Per-minute clicks per ad (event time).
         _write_partitions(AD.ad_click_trend(clean).select("*", bid), self.t.path("ad_click_trend"), ["date", "batch_id"])
 
+        if (batch_id + 1) % self.compact_every == 0:
+            self.compact(spark, dates, batch_id)
+
 
 def start_ad_stream(lines: DataFrame, tables: AdStreamTables, params: TaskParams, checkpoint: str,
-                    trigger: dict | None = None) -> StreamingQuery:
+                    trigger: dict | None = None, compact_every: int = 50) -> StreamingQuery:
     """Start the ad job on a stream of log lines (Kafka or files)."""
-    job = AdStreamJob(tables, params)
+    job = AdStreamJob(tables, params, compact_every)
     job.init_tables(lines.sparkSession)
     clicks = AD.parse_ad_log(lines)
     writer = clicks.writeStream.foreachBatch(job.process).option("checkpointLocation", checkpoint)
