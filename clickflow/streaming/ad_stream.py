@@ -71,11 +71,14 @@ def _with_batch(schema, extra=("batch_id",)):
 
 BLACKLIST_SCHEMA = _with_batch(SC.AD_BLACKLIST)
 CLEAN_SCHEMA = _with_batch(SC.AD_CLICK)
+# Deltas live in date=D/gen=G/batch_id=N with G = N div compact_every: a reader lists
+# only the generations after the latest snapshot, never every batch of the day.
 DELTA_SCHEMAS = {
-    "ad_user_click_count": _with_batch(SC.AD_USER_CLICK_COUNT),
-    "ad_stat": _with_batch(SC.AD_STAT),
-    "ad_click_trend": _with_batch(SC.AD_CLICK_TREND),
+    "ad_user_click_count": _with_batch(SC.AD_USER_CLICK_COUNT, ("gen", "batch_id")),
+    "ad_stat": _with_batch(SC.AD_STAT, ("gen", "batch_id")),
+    "ad_click_trend": _with_batch(SC.AD_CLICK_TREND, ("gen", "batch_id")),
 }
+DELTA_PARTS = ["date", "gen", "batch_id"]
 # Compacted snapshots: the totals of a day over all batches up to ``upto``.
 BASE_SCHEMAS = {
     "ad_user_click_count": _with_batch(SC.AD_USER_CLICK_COUNT, ("upto",)),
@@ -104,7 +107,7 @@ class AdStreamJob:
             "blacklist": (BLACKLIST_SCHEMA, ["batch_id"]),
             "clean_clicks": (CLEAN_SCHEMA, ["batch_id"]),
             "ad_province_top3": (SC.AD_PROVINCE_TOP3, ["date"]),
-            **{name: (schema, ["date", "batch_id"]) for name, schema in DELTA_SCHEMAS.items()},
+            **{name: (schema, DELTA_PARTS) for name, schema in DELTA_SCHEMAS.items()},
         }
         for name, (schema, parts) in empty.items():
             spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*parts).parquet(self.t.path(name))
@@ -140,13 +143,24 @@ class AdStreamJob:
         if not dates:
             return spark.createDataFrame([], DELTA_SCHEMAS[name]).select(*cols)
         latest = self.latest_snapshots(spark, name, dates)
+        root = self.t.path(name)
+        # Only the generation folders that can hold batches after the snapshot are listed.
+        paths = []
+        for d in dates:
+            first_gen = (latest.get(d, -1) + 1) // self.compact_every
+            gens = [int(g) for g in _partition_values(spark, f"{root}/date={d}", "gen")]
+            paths += [f"{root}/date={d}/gen={g}" for g in sorted(gens) if g >= first_gen]
         date, bid = F.col("date"), F.col("batch_id")
-        # Both filters are on partition columns: only the needed folders are read.
         newer = _any_of([(date == d) & (bid > latest.get(d, -1)) for d in dates])
-        parts = [_read(spark, self.t.path(name), DELTA_SCHEMAS[name]).where(newer).select(*cols)]
+        parts = []
+        if paths:
+            deltas = spark.read.schema(DELTA_SCHEMAS[name]).option("basePath", root).parquet(*paths)
+            parts.append(deltas.where(newer).select(*cols))
         if latest:
             snap = _any_of([(date == d) & (F.col("upto") == u) for d, u in latest.items()])
             parts.append(_read(spark, self.base_path(name), BASE_SCHEMAS[name]).where(snap).select(*cols))
+        if not parts:
+            return spark.createDataFrame([], DELTA_SCHEMAS[name]).select(*cols)
         both = reduce(lambda a, b: a.unionByName(b), parts)
         return both.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
 
@@ -173,13 +187,15 @@ class AdStreamJob:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         bid = F.lit(batch_id).cast("bigint").alias("batch_id")
+        gen = F.lit(batch_id // self.compact_every).cast("bigint").alias("gen")
         listed_before = self.blacklist(spark, before_batch=batch_id)
         # The filtered batch is written once and read back: the written partition cuts
         # the lineage (later writes to the blacklist folder cannot re-trigger it).
         clean_path = self.t.path("clean_clicks")
         clean_rows = AD.not_blacklisted(batch, listed_before)
         _write_partitions(clean_rows.select(*SC.AD_CLICK.fieldNames(), bid), clean_path, ["batch_id"])
-        clean = _read(spark, clean_path, CLEAN_SCHEMA).where(F.col("batch_id") == batch_id).drop("batch_id")
+        # Read by its own folder: no listing of the other batches.
+        clean = spark.read.schema(SC.AD_CLICK).parquet(f"{clean_path}/batch_id={batch_id}")
 
         # The days of one batch: a handful of values, used for partition pruning.
         dates = [r["date"] for r in clean.select("date").distinct().collect()]
@@ -189,7 +205,7 @@ class AdStreamJob:
         # Blacklist upkeep: store this batch's counts, then threshold the totals of the
         # keys it touched.
         user_delta = AD.ad_user_click_count(clean)
-        _write_partitions(user_delta.select("*", bid), self.t.path("ad_user_click_count"), ["date", "batch_id"])
+        _write_partitions(user_delta.select("*", gen, bid), self.t.path("ad_user_click_count"), DELTA_PARTS)
         touched = user_delta.select("date", "userid", "adid")
         totals = self.totals(spark, "ad_user_click_count", dates).join(touched, ["date", "userid", "adid"], "left_semi")
         listed = AD.ad_blacklist(totals, self.threshold)
@@ -198,7 +214,7 @@ class AdStreamJob:
         _write_partitions(added.select("userid", bid), self.t.path("blacklist"), ["batch_id"])
 
         # Running counts per (date, province, city, ad).
-        _write_partitions(AD.ad_city_count(clean).select("*", bid), self.t.path("ad_stat"), ["date", "batch_id"])
+        _write_partitions(AD.ad_city_count(clean).select("*", gen, bid), self.t.path("ad_stat"), DELTA_PARTS)
 
         # Province top-3 of the touched days, recomputed from the running totals;
         # whole days are replaced (every province of a day is recomputed).
@@ -206,7 +222,7 @@ class AdStreamJob:
         _write_partitions(top3, self.t.path("ad_province_top3"), ["date"])
 
         # Per-minute clicks per ad (event time).
-        _write_partitions(AD.ad_click_trend(clean).select("*", bid), self.t.path("ad_click_trend"), ["date", "batch_id"])
+        _write_partitions(AD.ad_click_trend(clean).select("*", gen, bid), self.t.path("ad_click_trend"), DELTA_PARTS)
 
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(spark, dates, batch_id)
