@@ -1,33 +1,32 @@
 """The ad-click stream: blacklist filter and upkeep, running counts per city,
 province top-3 and the per-minute trend, maintained by one ``foreachBatch`` job.
 
-Tables live under a folder of the shared checkpoint directory. Counting tables store
-one delta per (date, batch_id) partition; a micro-batch overwrites only its own
-partitions (dynamic partition overwrite), so a replayed batch id replaces instead of
-adding twice. Totals are sums of deltas, read with partition pruning on the dates of
-the batch, so the work per batch follows the days it touches, not the history.
-The blacklist is re-read at the start of every batch: a user listed in batch n is
-filtered from batch n+1 on, as in the original job.
+All state lives in tables under a folder of the shared checkpoint directory (see
+``delta_tables``): per-batch deltas replaced by batch id (a replayed batch never adds
+twice), periodic per-day snapshots (reads stay bounded), reads pruned to the days a
+batch touches. The blacklist is re-read at the start of every batch, so a user
+listed in batch n is filtered from batch n+1 on, as in the original job.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickflow.operators import ads as AD
 from clickflow.params import TaskParams
 from clickflow.sinks.writers import write_partitioned
 from clickflow.sources import schemas as SC
+from clickflow.streaming.delta_tables import DeltaTable, partition_values
 
-DELTA_KEYS = {
-    "ad_user_click_count": ["date", "userid", "adid"],
-    "ad_stat": ["date", "province", "city", "adid"],
-    "ad_click_trend": ["date", "hour", "minute", "adid"],
+COUNT_KEYS = {
+    "ad_user_click_count": (SC.AD_USER_CLICK_COUNT, ["date", "userid", "adid"]),
+    "ad_stat": (SC.AD_STAT, ["date", "province", "city", "adid"]),
+    "ad_click_trend": (SC.AD_CLICK_TREND, ["date", "hour", "minute", "adid"]),
 }
 
 
@@ -39,162 +38,64 @@ class AdStreamTables:
         return f"{self.root}/{name}"
 
 
-def _write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    write_partitioned(df, path, partition_by, dynamic=True)
-
-
-def _read(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
-
-
-def _partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Values of the ``column=value`` sub-folders of ``path`` (a directory listing)."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    prefix = f"{column}="
-    names = [st.getPath().getName() for st in fs.listStatus(folder) if st.isDirectory()]
-    return [n[len(prefix):] for n in names if n.startswith(prefix)]
-
-
-def _any_of(conds: list) -> F.Column:
-    return reduce(lambda a, b: a | b, conds)
-
-
-def _with_batch(schema, extra=("batch_id",)):
-    from pyspark.sql import types as T
-
-    return T.StructType(list(schema.fields) + [T.StructField(c, T.LongType()) for c in extra])
-
-
-BLACKLIST_SCHEMA = _with_batch(SC.AD_BLACKLIST)
-CLEAN_SCHEMA = _with_batch(SC.AD_CLICK)
-# Deltas live in date=D/gen=G/batch_id=N with G = N div compact_every: a reader lists
-# only the generations after the latest snapshot, never every batch of the day.
-DELTA_SCHEMAS = {
-    "ad_user_click_count": _with_batch(SC.AD_USER_CLICK_COUNT, ("gen", "batch_id")),
-    "ad_stat": _with_batch(SC.AD_STAT, ("gen", "batch_id")),
-    "ad_click_trend": _with_batch(SC.AD_CLICK_TREND, ("gen", "batch_id")),
-}
-DELTA_PARTS = ["date", "gen", "batch_id"]
-# Compacted snapshots: the totals of a day over all batches up to ``upto``.
-BASE_SCHEMAS = {
-    "ad_user_click_count": _with_batch(SC.AD_USER_CLICK_COUNT, ("upto",)),
-    "ad_stat": _with_batch(SC.AD_STAT, ("upto",)),
-    "ad_click_trend": _with_batch(SC.AD_CLICK_TREND, ("upto",)),
-}
-
-
 class AdStreamJob:
-    """``foreachBatch`` body. Stateless between calls: all state is in the tables.
-
-    Every ``compact_every`` batches the days touched by the batch are compacted: their
-    totals are written as a snapshot ``<table>_base/date=D/upto=N``. Readers take the
-    latest snapshot of a day plus the deltas after it, so a batch reads at most one
-    snapshot and ``compact_every`` deltas per day, however long the stream runs.
-    """
+    """``foreachBatch`` body. Stateless between calls: all state is in the tables."""
 
     def __init__(self, tables: AdStreamTables, params: TaskParams, compact_every: int = 50):
         self.t = tables
         self.threshold = params.ad_click_threshold
         self.compact_every = compact_every
-
-    def init_tables(self, spark: SparkSession) -> None:
-        # Same partition layout as the batch writes, so no data file sits at the root.
-        empty = {
-            "blacklist": (BLACKLIST_SCHEMA, ["batch_id"]),
-            "clean_clicks": (CLEAN_SCHEMA, ["batch_id"]),
-            "ad_province_top3": (SC.AD_PROVINCE_TOP3, ["date"]),
-            **{name: (schema, DELTA_PARTS) for name, schema in DELTA_SCHEMAS.items()},
+        self.listed = DeltaTable(tables.path("blacklist"), SC.AD_BLACKLIST, ["userid"], every=compact_every)
+        self.counts = {
+            name: DeltaTable(tables.path(name), schema, keys, day="date", value="click_count", every=compact_every)
+            for name, (schema, keys) in COUNT_KEYS.items()
         }
-        for name, (schema, parts) in empty.items():
-            spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*parts).parquet(self.t.path(name))
 
     # -- readers of the current table contents ------------------------------------
 
     def blacklist(self, spark: SparkSession, before_batch: int | None = None) -> DataFrame:
         """Listed users; with ``before_batch`` only those listed by earlier batches (so
         a replayed batch sees exactly what its first attempt saw)."""
-        listed = _read(spark, self.t.path("blacklist"), BLACKLIST_SCHEMA)
-        if before_batch is not None:
-            listed = listed.where(F.col("batch_id") < before_batch)
-        return listed.select("userid").distinct()
-
-    def base_path(self, name: str) -> str:
-        return self.t.path(f"{name}_base")
-
-    def latest_snapshots(self, spark: SparkSession, name: str, dates: list[str]) -> dict[str, int]:
-        """Day → batch id of its latest compacted snapshot (days without one are absent)."""
-        out = {}
-        for d in dates:
-            uptos = _partition_values(spark, f"{self.base_path(name)}/date={d}", "upto")
-            if uptos:
-                out[d] = max(int(u) for u in uptos)
-        return out
+        return self.listed.current(spark, before=before_batch)
 
     def totals(self, spark: SparkSession, name: str, dates: list[str] | None = None) -> DataFrame:
         """Running totals of a counting table (all days, or only ``dates``)."""
-        if dates is None:
-            dates = _partition_values(spark, self.t.path(name), "date")
-        keys = DELTA_KEYS[name]
-        cols = [*keys, "click_count"]
-        if not dates:
-            return spark.createDataFrame([], DELTA_SCHEMAS[name]).select(*cols)
-        latest = self.latest_snapshots(spark, name, dates)
-        root = self.t.path(name)
-        # Only the generation folders that can hold batches after the snapshot are listed.
-        paths = []
-        for d in dates:
-            first_gen = (latest.get(d, -1) + 1) // self.compact_every
-            gens = [int(g) for g in _partition_values(spark, f"{root}/date={d}", "gen")]
-            paths += [f"{root}/date={d}/gen={g}" for g in sorted(gens) if g >= first_gen]
-        date, bid = F.col("date"), F.col("batch_id")
-        newer = _any_of([(date == d) & (bid > latest.get(d, -1)) for d in dates])
-        parts = []
-        if paths:
-            deltas = spark.read.schema(DELTA_SCHEMAS[name]).option("basePath", root).parquet(*paths)
-            parts.append(deltas.where(newer).select(*cols))
-        if latest:
-            snap = _any_of([(date == d) & (F.col("upto") == u) for d, u in latest.items()])
-            parts.append(_read(spark, self.base_path(name), BASE_SCHEMAS[name]).where(snap).select(*cols))
-        if not parts:
-            return spark.createDataFrame([], DELTA_SCHEMAS[name]).select(*cols)
-        both = reduce(lambda a, b: a.unionByName(b), parts)
-        return both.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
-
-    def compact(self, spark: SparkSession, dates: list[str], batch_id: int) -> None:
-        """Write the totals of ``dates`` as snapshots at ``batch_id`` (idempotent)."""
-        for name in DELTA_KEYS:
-            done = [d for d, u in self.latest_snapshots(spark, name, dates).items() if u >= batch_id]
-            days = [d for d in dates if d not in done]  # a replay finds its snapshot written
-            if not days:
-                continue
-            snap = self.totals(spark, name, days).withColumn("upto", F.lit(batch_id).cast("bigint"))
-            _write_partitions(snap, self.base_path(name), ["date", "upto"])
+        return self.counts[name].current(spark, dates)
+
+    def latest_snapshots(self, spark: SparkSession, name: str, dates: list[str]) -> dict[str, int]:
+        """Day → batch id of its latest snapshot (days without one are absent)."""
+        table = self.counts[name]
+        out = {d: table.snapshot_id(spark, d) for d in dates}
+        return {d: u for d, u in out.items() if u >= 0}
 
     def province_top3(self, spark: SparkSession) -> DataFrame:
+        path = self.t.path("ad_province_top3")
+        if not partition_values(spark, path, "date"):
+            return spark.createDataFrame([], SC.AD_PROVINCE_TOP3)
         # Partition columns come last in a read; restore the table's column order.
-        top3 = _read(spark, self.t.path("ad_province_top3"), SC.AD_PROVINCE_TOP3)
+        top3 = spark.read.schema(SC.AD_PROVINCE_TOP3).parquet(path)
         return top3.select(*SC.AD_PROVINCE_TOP3.fieldNames())
 
     def clean_clicks(self, spark: SparkSession) -> DataFrame:
-        return _read(spark, self.t.path("clean_clicks"), CLEAN_SCHEMA).drop("batch_id")
+        path = self.t.path("clean_clicks")
+        if not partition_values(spark, path, "batch_id"):
+            return spark.createDataFrame([], SC.AD_CLICK)
+        schema = T.StructType([*SC.AD_CLICK.fields, T.StructField("batch_id", T.LongType())])
+        return spark.read.schema(schema).parquet(path).drop("batch_id")
 
     # -- one micro-batch -----------------------------------------------------------
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bid = F.lit(batch_id).cast("bigint").alias("batch_id")
-        gen = F.lit(batch_id // self.compact_every).cast("bigint").alias("gen")
         listed_before = self.blacklist(spark, before_batch=batch_id)
-        # The filtered batch is written once and read back: the written partition cuts
-        # the lineage (later writes to the blacklist folder cannot re-trigger it).
+
+        # The filtered batch is written once and read back from its own folder: the
+        # written partition cuts the lineage (later writes to the blacklist folder
+        # cannot re-trigger it) and no other batch's folder is listed.
         clean_path = self.t.path("clean_clicks")
         clean_rows = AD.not_blacklisted(batch, listed_before)
-        _write_partitions(clean_rows.select(*SC.AD_CLICK.fieldNames(), bid), clean_path, ["batch_id"])
-        # Read by its own folder: no listing of the other batches.
+        bid = F.lit(batch_id).cast("bigint").alias("batch_id")
+        write_partitioned(clean_rows.select(*SC.AD_CLICK.fieldNames(), bid), clean_path, ["batch_id"])
         clean = spark.read.schema(SC.AD_CLICK).parquet(f"{clean_path}/batch_id={batch_id}")
 
         # The days of one batch: a handful of values, used for partition pruning.
@@ -203,36 +104,33 @@ class AdStreamJob:
             return
 
         # Blacklist upkeep: store this batch's counts, then threshold the totals of the
-        # keys it touched.
+        # keys it touched; only users not listed yet form this batch's delta.
         user_delta = AD.ad_user_click_count(clean)
-        _write_partitions(user_delta.select("*", gen, bid), self.t.path("ad_user_click_count"), DELTA_PARTS)
+        self.counts["ad_user_click_count"].write(user_delta, batch_id)
         touched = user_delta.select("date", "userid", "adid")
         totals = self.totals(spark, "ad_user_click_count", dates).join(touched, ["date", "userid", "adid"], "left_semi")
-        listed = AD.ad_blacklist(totals, self.threshold)
-        # Insert-if-absent: only users not listed yet form this batch's partition.
-        added = listed.join(self.blacklist(spark, before_batch=batch_id), "userid", "left_anti")
-        _write_partitions(added.select("userid", bid), self.t.path("blacklist"), ["batch_id"])
+        added = AD.ad_blacklist(totals, self.threshold).join(listed_before, "userid", "left_anti")
+        self.listed.write(added, batch_id)
 
-        # Running counts per (date, province, city, ad).
-        _write_partitions(AD.ad_city_count(clean).select("*", gen, bid), self.t.path("ad_stat"), DELTA_PARTS)
+        # Running counts per (date, province, city, ad) and per (minute, ad).
+        self.counts["ad_stat"].write(AD.ad_city_count(clean), batch_id)
+        self.counts["ad_click_trend"].write(AD.ad_click_trend(clean), batch_id)
 
         # Province top-3 of the touched days, recomputed from the running totals;
         # whole days are replaced (every province of a day is recomputed).
         top3 = AD.ad_province_top3(AD.ad_province_count(self.totals(spark, "ad_stat", dates)))
-        _write_partitions(top3, self.t.path("ad_province_top3"), ["date"])
-
-        # Per-minute clicks per ad (event time).
-        _write_partitions(AD.ad_click_trend(clean).select("*", gen, bid), self.t.path("ad_click_trend"), DELTA_PARTS)
+        write_partitioned(top3, self.t.path("ad_province_top3"), ["date"])
 
         if (batch_id + 1) % self.compact_every == 0:
-            self.compact(spark, dates, batch_id)
+            for table in self.counts.values():
+                table.compact(spark, dates, batch_id)
+            self.listed.compact(spark, None, batch_id)
 
 
 def start_ad_stream(lines: DataFrame, tables: AdStreamTables, params: TaskParams, checkpoint: str,
                     trigger: dict | None = None, compact_every: int = 50) -> StreamingQuery:
     """Start the ad job on a stream of log lines (Kafka or files)."""
     job = AdStreamJob(tables, params, compact_every)
-    job.init_tables(lines.sparkSession)
     clicks = AD.parse_ad_log(lines)
     writer = clicks.writeStream.foreachBatch(job.process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or {"processingTime": "5 seconds"}))

@@ -1,0 +1,116 @@
+"""Per-batch deltas with periodic snapshots: the table layout of the stream job's state.
+
+A table is kept as
+
+- deltas: ``<root>/[<day>=D/]gen=G/batch_id=N`` with ``G = N div every``, one folder
+  per micro-batch, written with dynamic partition overwrite (a replayed batch id
+  replaces its own folder, never adds twice);
+- snapshots: ``<root>_base/[<day>=D/]upto=N``, the current content up to batch N,
+  written every ``every`` batches.
+
+The current content is the latest snapshot plus the deltas after it; only the
+generation folders that can hold those deltas are listed, so a read costs one
+snapshot and at most ``every`` deltas per day however long the stream has run.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from clickflow.sinks.writers import write_partitioned
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the ``column=value`` sub-folders of ``path`` (a directory listing)."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    prefix = f"{column}="
+    names = [st.getPath().getName() for st in fs.listStatus(folder) if st.isDirectory()]
+    return [n[len(prefix):] for n in names if n.startswith(prefix)]
+
+
+def _with(schema: T.StructType, *cols: str) -> T.StructType:
+    return T.StructType(list(schema.fields) + [T.StructField(c, T.LongType()) for c in cols])
+
+
+@dataclass(frozen=True)
+class DeltaTable:
+    root: str
+    schema: T.StructType  # row columns (the day column included when there is one)
+    keys: list[str]  # key of the current content
+    day: str | None = None  # day column the folders are split by, or None
+    value: str | None = None  # summed column; None: the content is the set of keys
+    every: int = 50
+
+    @property
+    def base(self) -> str:
+        return f"{self.root}_base"
+
+    def _prefix(self, root: str, day: str | None) -> str:
+        return root if self.day is None else f"{root}/{self.day}={day}"
+
+    def _days(self, spark: SparkSession, days: list[str] | None) -> list[str | None]:
+        if self.day is None:
+            return [None]
+        return days if days is not None else partition_values(spark, self.root, self.day)
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """Store one batch's delta (replaces the folder of the same batch id)."""
+        out = df.select(
+            *self.schema.fieldNames(),
+            F.lit(batch_id // self.every).cast("bigint").alias("gen"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
+        )
+        parts = ([self.day] if self.day else []) + ["gen", "batch_id"]
+        write_partitioned(out, self.root, parts)
+
+    def snapshot_id(self, spark: SparkSession, day: str | None, before: int | None = None) -> int:
+        """Batch id of the latest snapshot (older than ``before`` if given), or -1."""
+        uptos = [int(u) for u in partition_values(spark, self._prefix(self.base, day), "upto")]
+        if before is not None:
+            uptos = [u for u in uptos if u < before]
+        return max(uptos, default=-1)
+
+    def current(self, spark: SparkSession, days: list[str] | None = None, before: int | None = None) -> DataFrame:
+        """Current content (of ``days``); with ``before``, as it was before that batch."""
+        cols = self.schema.fieldNames()
+        parts = []
+        for d in self._days(spark, days):
+            upto = self.snapshot_id(spark, d, before)
+            first_gen = (upto + 1) // self.every
+            prefix = self._prefix(self.root, d)
+            gens = sorted(int(g) for g in partition_values(spark, prefix, "gen"))
+            paths = [f"{prefix}/gen={g}" for g in gens if g >= first_gen]
+            if paths:
+                deltas = spark.read.schema(_with(self.schema, "gen", "batch_id")).option("basePath", self.root)
+                cond = F.col("batch_id") > upto
+                if before is not None:
+                    cond = cond & (F.col("batch_id") < before)
+                parts.append(deltas.parquet(*paths).where(cond).select(*cols))
+            if upto >= 0:
+                snap = spark.read.schema(_with(self.schema, "upto")).option("basePath", self.base)
+                parts.append(snap.parquet(f"{self._prefix(self.base, d)}/upto={upto}").select(*cols))
+        if not parts:
+            return spark.createDataFrame([], self.schema)
+        rows = reduce(lambda a, b: a.unionByName(b), parts)
+        if self.value is None:
+            return rows.select(*self.keys).distinct()
+        return rows.groupBy(*self.keys).agg(F.sum(self.value).alias(self.value))
+
+    def compact(self, spark: SparkSession, days: list[str] | None, batch_id: int) -> None:
+        """Write the content of ``days`` up to ``batch_id`` as snapshots (idempotent:
+        a replay finds its snapshot already written and skips it)."""
+        for d in self._days(spark, days):
+            if self.snapshot_id(spark, d, None) >= batch_id:
+                continue
+            content = self.current(spark, None if d is None else [d])
+            snap = content.select(*self.schema.fieldNames(), F.lit(batch_id).cast("bigint").alias("upto"))
+            write_partitioned(snap, self.base, ([self.day] if self.day else []) + ["upto"])

@@ -60,7 +60,6 @@ def clicks(spark, data):
 def make_job(spark, threshold=2, compact_every=50):
     tables = AS.AdStreamTables(shared_dir(spark, "tests", "ad_stream"))
     job = AS.AdStreamJob(tables, TaskParams(ad_click_threshold=threshold), compact_every)
-    job.init_tables(spark)
     return job
 
 
@@ -152,3 +151,17 @@ def test_compaction_keeps_totals_and_bounds_reads(spark):
     assert rows(job.totals(spark, "ad_user_click_count"), "userid", "adid", "click_count") == [
         (0, 0, 5), (0, 1, 5), (1, 0, 5), (1, 1, 5), (2, 0, 5)
     ]
+
+
+def test_blacklist_snapshots_and_replay(spark):
+    """Listed users survive compaction; a replayed compaction batch filters with the
+    blacklist as it was before that batch."""
+    job = make_job(spark, threshold=1, compact_every=2)
+    job.process(clicks(spark, [(0, "1", "1", 5, 7), (1, "1", "1", 5, 7)]), 0)  # lists user 5
+    b1 = clicks(spark, [(2, "1", "1", 5, 7), (3, "1", "1", 6, 7), (4, "1", "1", 6, 7)])  # lists user 6
+    job.process(b1, 1)  # compaction batch
+    assert rows(job.blacklist(spark)) == [(5,), (6,)]
+    assert rows(job.blacklist(spark, before_batch=1)) == [(5,)]
+    job.process(b1, 1)  # replay: user 5 still filtered, user 6 counted again but not twice
+    assert rows(job.totals(spark, "ad_user_click_count"), "userid", "click_count") == [(5, 2), (6, 2)]
+    assert rows(job.blacklist(spark)) == [(5,), (6,)]
