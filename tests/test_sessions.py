@@ -1,7 +1,6 @@
 """Hand-made rows for the session statistics: bucket edges, filters, dedup rules."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from clickflow.operators import sessions as S
 from clickflow.params import TaskParams
