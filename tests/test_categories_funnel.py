@@ -129,3 +129,12 @@ def test_rank_within_groups_matches_row_number(spark):
     got = rank_within_groups(df, ["g"], order)
     want = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert rows(got) == rows(want)
+
+
+def test_row_with_several_kinds_counts_in_each(spark):
+    # One action that is a click on 4 and an order of 4 and 9: every kind counts
+    # and every category is a candidate (the union, not the first kind only).
+    data = [act("a", "2024-01-01 00:00:00", cid=4, order="4,9", pay="9", eid=1)]
+    df = spark.createDataFrame(data, USER_VISIT_ACTION)
+    assert rows(C.category_full_count(df)) == [(4, 1, 1, 0), (9, 0, 1, 1)]
+    assert rows(C.touched_categories(df)) == [(4,), (9,)]
