@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from clickflow.operators import categories as C
 from clickflow.params import DEFAULT_PARAMS
 from clickflow.plans import jobs
 from clickflow.plans import oracle_sql as O
 from clickflow.plans.registry import register
-from clickflow.operators import categories as C
 
 P = DEFAULT_PARAMS
 
 
+def _with_task(df):
+    """Prefix the task id, as in the declared top-10 output tables."""
+    return df.select(F.lit(P.task_id).alias("taskid"), *df.columns)
+
+
 
 def _fa(spark, sf_dir):
     return jobs.filtered_session_actions(spark, sf_dir, P)
@@ -51,9 +58,9 @@ def q_category_full_count(spark, sf_dir):
     return C.category_full_count(_fa(spark, sf_dir))
 
 
-@register("top10_categories", O.category_base(P) + " SELECT * FROM top10")
+@register("top10_categories", O.category_base(P) + f" SELECT '{P.task_id}' AS taskid, * FROM top10")
 def q_top10_categories(spark, sf_dir):
-    return C.top_categories(C.category_full_count(_fa(spark, sf_dir)))
+    return _with_task(C.top_categories(C.category_full_count(_fa(spark, sf_dir))))
 
 
 @register(
@@ -74,10 +81,10 @@ def q_actions_in_top10_categories(spark, sf_dir):
   WHERE click_category_id IN (SELECT category_id FROM top10) GROUP BY 1, 2
 )""",
     )
-    + " SELECT category_id, session_id, click_count, rank FROM ("
+    + f" SELECT '{P.task_id}' AS taskid, category_id, session_id, click_count, rank FROM ("
     "SELECT *, CAST(row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id ASC) AS INTEGER)"
     " AS rank FROM per_session) WHERE rank <= 10",
 )
 def q_top10_active_sessions(spark, sf_dir):
     fa = _fa(spark, sf_dir)
-    return C.top_active_sessions(fa, C.top_categories(C.category_full_count(fa)))
+    return _with_task(C.top_active_sessions(fa, C.top_categories(C.category_full_count(fa))))
