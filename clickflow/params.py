@@ -6,7 +6,8 @@ comma-separated text, as the task description supplies them.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import json
+from dataclasses import dataclass, fields, replace
 
 
 def split_list(text: str | None) -> list[str] | None:
@@ -49,4 +50,44 @@ class TaskParams:
         return [(i + 1, a, b) for i, (a, b) in enumerate(zip(flow, flow[1:]))]
 
 
+# The keys of the task-parameter JSON and the field each one sets.
+JSON_KEYS = {
+    "startDate": "start_date",
+    "endDate": "end_date",
+    "startAge": "start_age",
+    "endAge": "end_age",
+    "professionals": "professionals",
+    "cities": "cities",
+    "sex": "sex",
+    "keywords": "keywords",
+    "categoryIds": "category_ids",
+    "targetPageFlow": "target_page_flow",
+}
+
+
+def params_from_json(text: str, base: TaskParams | None = None) -> TaskParams:
+    """Task parameters from the JSON object of the task description. Keys that are
+    absent keep the ``base`` value; empty text means "no restriction"."""
+    raw = json.loads(text)
+    changes = {}
+    for key, field_name in JSON_KEYS.items():
+        if key not in raw:
+            continue
+        value = raw[key]
+        if isinstance(value, list):  # some writers give lists as arrays
+            value = ",".join(str(v) for v in value)
+        if value is None or str(value).strip() == "":
+            value = None
+        elif field_name in ("start_age", "end_age"):
+            value = int(value)
+        else:
+            value = str(value)
+        if value is not None or field_name not in ("start_date", "end_date", "target_page_flow"):
+            changes[field_name] = value
+    for f in fields(TaskParams):  # our own field names (task_id, thresholds) too
+        if f.name in raw and f.name not in JSON_KEYS:
+            changes[f.name] = raw[f.name]
+    return replace(base or TaskParams(), **changes)
+
+
 DEFAULT_PARAMS = TaskParams()
