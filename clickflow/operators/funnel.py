@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickflow.functions.numbers import ratio_half_up
+from clickflow.operators.joins import broadcast_bounded
 from clickflow.params import TaskParams
 
 CHUNK_SECONDS = 1
@@ -96,26 +97,39 @@ def flow_pairs(spark: SparkSession, params: TaskParams) -> DataFrame:
 def page_conversion_rate(actions: DataFrame, transitions: DataFrame, params: TaskParams) -> DataFrame:
     """Single-jump conversion along the flow: rate₁ = pair₁ / views of the first page,
     rateₙ = pairₙ / pairₙ₋₁. A pair never seen counts 0; a zero denominator gives null.
+
+    One pass: each transition on the flow counts for its own position and, as the
+    previous step, for the next one; views of the first page are the previous step
+    of position 1. A single aggregate by position gives both counts, so the
+    transitions are computed once.
     """
     spark = actions.sparkSession
-    flow = params.page_flow
-    counts = page_pair_count(transitions, params).select("from_page_id", "to_page_id", "pair_count")
-    steps = (
-        flow_pairs(spark, params)
-        .join(counts, ["from_page_id", "to_page_id"], "left")
-        .select("pos", "from_page_id", "to_page_id", F.coalesce("pair_count", F.lit(0)).alias("pair_count"))
+    flow = broadcast_bounded(flow_pairs(spark, params), max(len(params.page_pairs), 1))
+    on_flow = transitions.join(flow, ["from_page_id", "to_page_id"], "inner")
+    as_steps = on_flow.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("pos").alias("pos"), F.lit(1).alias("cur"), F.lit(0).alias("prev")),
+                F.struct((F.col("pos") + 1).alias("pos"), F.lit(0).alias("cur"), F.lit(1).alias("prev")),
+            )
+        )
     )
-    start = actions.where(F.col("page_id") == flow[0]).agg(F.count(F.lit(1)).alias("pair_count"))
-    start = start.select(F.lit(0).alias("pos"), "pair_count")
-    prev = steps.select("pos", "pair_count").unionByName(start).select(
-        (F.col("pos") + 1).alias("pos"), F.col("pair_count").alias("prev_count")
+    start = actions.where(F.col("page_id") == params.page_flow[0]).select(
+        F.lit(1).alias("pos"), F.lit(0).alias("cur"), F.lit(1).alias("prev")
     )
-    return steps.join(prev, "pos", "left").select(
-        "pos",
-        pair_label(F.col("from_page_id"), F.col("to_page_id")).alias("pair"),
-        "from_page_id",
-        "to_page_id",
-        "pair_count",
-        "prev_count",
-        ratio_half_up("pair_count", "prev_count").alias("convert_rate"),
+    per_pos = as_steps.unionByName(start).groupBy("pos").agg(
+        F.sum("cur").cast("bigint").alias("pair_count"), F.sum("prev").cast("bigint").alias("prev_count")
+    )
+    zero = F.lit(0).cast("bigint")
+    return (
+        flow.join(per_pos, "pos", "left")
+        .select(
+            "pos",
+            pair_label(F.col("from_page_id"), F.col("to_page_id")).alias("pair"),
+            "from_page_id",
+            "to_page_id",
+            F.coalesce("pair_count", zero).alias("pair_count"),
+            F.coalesce("prev_count", zero).alias("prev_count"),
+        )
+        .withColumn("convert_rate", ratio_half_up("pair_count", "prev_count"))
     )
