@@ -13,10 +13,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickflow.functions.numbers import ratio_half_up
 from clickflow.operators.joins import broadcast_bounded
 from clickflow.params import TaskParams
+from clickflow.sources.literal import local_table
 
 CHUNK_SECONDS = 1
 
@@ -90,8 +92,14 @@ def page_pair_count(transitions: DataFrame, params: TaskParams) -> DataFrame:
 
 def flow_pairs(spark: SparkSession, params: TaskParams) -> DataFrame:
     """The task's target flow as (position, from page, to page); a parameter table."""
-    schema = "pos int, from_page_id bigint, to_page_id bigint"
-    return spark.createDataFrame(params.page_pairs, schema)
+    schema = T.StructType(
+        [
+            T.StructField("pos", T.IntegerType()),
+            T.StructField("from_page_id", T.LongType()),
+            T.StructField("to_page_id", T.LongType()),
+        ]
+    )
+    return local_table(spark, params.page_pairs, schema)
 
 
 def page_conversion_rate(actions: DataFrame, transitions: DataFrame, params: TaskParams) -> DataFrame:

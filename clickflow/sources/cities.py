@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickflow.sources.literal import local_table
 from clickflow.sources.schemas import CITY_AREA
 
 # Fixed values (must equal the original job's dimension): city id, city name, area.
@@ -32,8 +33,8 @@ OTHER_AREA_LEVEL = "D_Level"
 
 
 def city_area_info(spark: SparkSession) -> DataFrame:
-    """Ten-row dimension; small and fixed, so safe to broadcast."""
-    return spark.createDataFrame(CITY_AREA_ROWS, CITY_AREA)
+    """Ten-row dimension as a literal relation (its row bound is known to the optimizer)."""
+    return local_table(spark, CITY_AREA_ROWS, CITY_AREA)
 
 
 def area_level(area):

@@ -50,3 +50,29 @@ def test_no_python_in_the_row_path(spark, name):
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
         assert marker not in text, f"{name}: {marker}"
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def _broadcast_subtrees(plan: str) -> list[str]:
+    lines = plan.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            sub = []
+            for nxt in lines[i + 1:]:
+                if len(nxt) - len(nxt.lstrip(" :+-")) <= depth:
+                    break
+                sub.append(nxt)
+            out.append("\n".join(sub))
+    return out
+
+
+@pytest.mark.parametrize("name", ["page_conversion_rate", "area_basic_info"])
+def test_fact_side_is_never_the_broadcast_side(spark, name):
+    # The flow and the city dimension are literal tables with a known row count;
+    # the broadcast must be theirs, never the side built from the events table.
+    df = QUERIES[name](spark, SMOKE_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    subtrees = _broadcast_subtrees(plan)
+    assert subtrees and any("LocalTableScan" in s for s in subtrees)
+    assert not any("events.parquet" in s or "FileScan" in s for s in subtrees if "LocalTableScan" in s)
