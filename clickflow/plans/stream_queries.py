@@ -23,9 +23,21 @@ SLICES = 5
 COMPACT_EVERY = 2
 
 
+# One stream run per (Spark context, input, parameters) serves every key that reads
+# its tables (the blacklist keys share one run, the counting keys another).
+_RUNS: dict[tuple, AS.AdStreamJob] = {}
+
+
 def run_ad_stream(spark, sf_dir: str, params: TaskParams) -> AS.AdStreamJob:
     """Run the ad job over the time-ordered ad log of ``sf_dir``; returns the job,
     whose readers give the resulting tables."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), params)
+    if key not in _RUNS:
+        _RUNS[key] = _run_ad_stream(spark, sf_dir, params)
+    return _RUNS[key]
+
+
+def _run_ad_stream(spark, sf_dir: str, params: TaskParams) -> AS.AdStreamJob:
     root = shared_dir(spark, "ad_stream")
     inbox = f"{root}/input"
     write_ad_log_files(spark, sf_dir, inbox, params.start_date, params.end_date, SLICES)
