@@ -1,0 +1 @@
+"""Operators: DataFrame(s) -> DataFrame functions for sessions, categories, funnel, areas, ads, sampling."""

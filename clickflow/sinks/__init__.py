@@ -1,0 +1 @@
+"""Result-table merges (upserts) as DataFrame functions, and writers."""

@@ -1,0 +1 @@
+"""Schemas, readers of the provided tables, adapters to the click-log model, fixed dimensions."""
