@@ -12,8 +12,9 @@ DATE_HOUR_FORMAT = "yyyy-MM-dd_HH"
 
 
 def parse_time(text: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text → timestamp (null if malformed)."""
-    return F.try_to_timestamp(text, F.lit(TIME_FORMAT))
+    """``yyyy-MM-dd HH:mm:ss`` text → timestamp (null if malformed). One-digit hours,
+    minutes or seconds (``2024-01-01 5:03:02``) are accepted, as the log writes them."""
+    return text.try_cast("timestamp")
 
 
 def format_time(ts: Column) -> Column:

@@ -71,6 +71,12 @@ def test_time_helpers(spark):
     )
 
 
+def test_parse_time_accepts_unpadded_fields(spark):
+    df = spark.createDataFrame([("2024-01-01 5:03:02", "2024-01-01 05:03:01")], "a string, b string")
+    r = df.select(TF.minus_seconds(F.col("a"), F.col("b")).alias("d"), TF.date_hour(F.col("a")).alias("h")).first()
+    assert (r.d, r.h) == (1, "2024-01-01_05")
+
+
 def test_params():
     assert split_list("") is None and split_list(None) is None
     assert split_list("a, b,,c") == ["a", "b", "c"]
