@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickflow.functions.numbers import ratio_half_up
+from clickflow.functions.timefmt import parse_time
 from clickflow.operators.joins import broadcast_bounded
 from clickflow.params import TaskParams
 from clickflow.sources.literal import local_table
@@ -28,7 +29,7 @@ def page_transitions(actions: DataFrame) -> DataFrame:
 
     Columns: session_id, from_event_id, from_page_id, to_page_id.
     """
-    t = F.col("action_time").try_cast("timestamp")
+    t = parse_time(F.col("action_time"))
     keyed = actions.select(
         "session_id",
         "event_id",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from clickflow.functions.aggregates import group_concat_distinct, join_distinct_numbers
 from clickflow.functions.numbers import ratio_half_up
 from clickflow.functions.text import is_not_empty
-from clickflow.functions.timefmt import format_time
+from clickflow.functions.timefmt import format_time, parse_time
 from clickflow.params import TaskParams, split_list
 
 # Visit-length buckets in seconds (name, low, high; inclusive, None = open).
@@ -62,7 +62,7 @@ def actions_in_date_range(actions: DataFrame, params: TaskParams) -> DataFrame:
 def session_summary(actions: DataFrame) -> DataFrame:
     """One row per session: user, start, visit length (s), steps, distinct keywords and
     clicked categories (sorted, comma-joined, exact dedup)."""
-    t = F.col("action_time").try_cast("timestamp")
+    t = parse_time(F.col("action_time"))
     kw = F.col("search_keyword")
     cid = F.col("click_category_id")
     agg = actions.groupBy("session_id").agg(
