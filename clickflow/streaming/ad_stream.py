@@ -21,7 +21,7 @@ from clickflow.operators import ads as AD
 from clickflow.params import TaskParams
 from clickflow.sinks.writers import write_partitioned
 from clickflow.sources import schemas as SC
-from clickflow.streaming.delta_tables import DeltaTable, partition_values
+from clickflow.streaming.delta_tables import DeltaTable, partition_values, path_exists
 
 COUNT_KEYS = {
     "ad_user_click_count": (SC.AD_USER_CLICK_COUNT, ["date", "userid", "adid"]),
@@ -96,7 +96,10 @@ class AdStreamJob:
         clean_rows = AD.not_blacklisted(batch, listed_before)
         bid = F.lit(batch_id).cast("bigint").alias("batch_id")
         write_partitioned(clean_rows.select(*SC.AD_CLICK.fieldNames(), bid), clean_path, ["batch_id"])
-        clean = spark.read.schema(SC.AD_CLICK).parquet(f"{clean_path}/batch_id={batch_id}")
+        batch_path = f"{clean_path}/batch_id={batch_id}"
+        if not path_exists(spark, batch_path):
+            return  # every click of the batch came from listed users: nothing to count
+        clean = spark.read.schema(SC.AD_CLICK).parquet(batch_path)
 
         # The days of one batch: a handful of values, used for partition pruning.
         dates = [r["date"] for r in clean.select("date").distinct().collect()]

@@ -11,6 +11,7 @@ A table is kept as
 The current content is the latest snapshot plus the deltas after it; only the
 generation folders that can hold those deltas are listed, so a read costs one
 snapshot and at most ``every`` deltas per day however long the stream has run.
+After each snapshot, folders no read can need any more are deleted (``vacuum``).
 """
 
 from __future__ import annotations
@@ -37,6 +38,18 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return [n[len(prefix):] for n in names if n.startswith(prefix)]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _with(schema: T.StructType, *cols: str) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(c, T.LongType()) for c in cols])
 
@@ -114,3 +127,20 @@ class DeltaTable:
             content = self.current(spark, None if d is None else [d])
             snap = content.select(*self.schema.fieldNames(), F.lit(batch_id).cast("bigint").alias("upto"))
             write_partitioned(snap, self.base, ([self.day] if self.day else []) + ["upto"])
+            self.vacuum(spark, d)
+
+    def vacuum(self, spark: SparkSession, day: str | None) -> None:
+        """Delete what no read can need any more: snapshots older than the previous one
+        and delta generations wholly covered by it. The previous snapshot and the deltas
+        after it stay, so a replay of the latest batch (the only one Spark replays)
+        still sees the table as its first attempt did."""
+        uptos = sorted(int(u) for u in partition_values(spark, self._prefix(self.base, day), "upto"))
+        if len(uptos) < 2:
+            return
+        keep_from = uptos[-2]
+        for u in uptos[:-2]:
+            delete_folder(spark, f"{self._prefix(self.base, day)}/upto={u}")
+        prefix = self._prefix(self.root, day)
+        for g in (int(x) for x in partition_values(spark, prefix, "gen")):
+            if (g + 1) * self.every - 1 <= keep_from:
+                delete_folder(spark, f"{prefix}/gen={g}")

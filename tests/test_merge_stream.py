@@ -165,3 +165,29 @@ def test_blacklist_snapshots_and_replay(spark):
     job.process(b1, 1)  # replay: user 5 still filtered, user 6 counted again but not twice
     assert rows(job.totals(spark, "ad_user_click_count"), "userid", "click_count") == [(5, 2), (6, 2)]
     assert rows(job.blacklist(spark)) == [(5,), (6,)]
+
+
+def test_vacuum_bounds_the_folders_and_keeps_replays_exact(spark):
+    from clickflow.streaming.delta_tables import partition_values
+
+    job = make_job(spark, threshold=3, compact_every=2)
+    batches = [clicks(spark, [(i * 1000 + j, "1", "1", (i + j) % 4, j % 2) for j in range(3)]) for i in range(8)]
+    for i, b in enumerate(batches):
+        job.process(b, i)
+    stat = job.counts["ad_stat"]
+    day = "20240101"
+    assert sorted(int(u) for u in partition_values(spark, f"{stat.base}/date={day}", "upto")) == [5, 7]
+    assert sorted(int(g) for g in partition_values(spark, f"{stat.root}/date={day}", "gen")) == [3]
+    listed_before = rows(job.blacklist(spark, before_batch=7))
+    total = rows(job.totals(spark, "ad_user_click_count"))
+    job.process(batches[7], 7)  # replay of the last (compaction) batch after vacuum
+    assert rows(job.blacklist(spark, before_batch=7)) == listed_before
+    assert rows(job.totals(spark, "ad_user_click_count")) == total
+
+
+def test_batch_of_only_listed_users(spark):
+    job = make_job(spark, threshold=1)
+    job.process(clicks(spark, [(0, "1", "1", 5, 7), (1, "1", "1", 5, 7)]), 0)
+    job.process(clicks(spark, [(2, "1", "1", 5, 7)]), 1)  # everything filtered
+    assert rows(job.totals(spark, "ad_user_click_count"), "userid", "click_count") == [(5, 2)]
+    assert rows(job.blacklist(spark)) == [(5,)]
