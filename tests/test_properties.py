@@ -51,3 +51,26 @@ def test_merge_properties(spark, a, b):
     assert rows(M.upsert_overwrite(once, db, KEYS)) == rows(once)
     total = M.upsert_accumulate(da, db, KEYS).agg(F.sum("click_count")).first()[0] or 0
     assert total == sum(r[3] for r in _dedup(a)) + sum(r[3] for r in _dedup(b))
+
+
+action_row = st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 5), st.integers(0, 9))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(action_row, min_size=1, max_size=40))
+def test_page_transitions_equal_brute_force(spark, acts):
+    from clickflow.sources.schemas import USER_VISIT_ACTION
+
+    # Few distinct seconds: many ties inside a second (broken by event id) and many
+    # chunk borders; sessions of one action give no pair.
+    data = [("2024-01-01", 1, sid, page, f"2024-01-01 00:00:{sec:02d}", None, -1, -1, None, None, None, None, 0, eid)
+            for eid, (sid, sec, page) in enumerate(acts)]
+    df = spark.createDataFrame(data, USER_VISIT_ACTION)
+    by_session = {}
+    for eid, (sid, sec, page) in enumerate(acts):
+        by_session.setdefault(sid, []).append((sec, eid, page))
+    want = []
+    for sid, seq in by_session.items():
+        seq.sort()
+        want += [(sid, a[1], a[2], b[2]) for a, b in zip(seq, seq[1:])]
+    assert rows(FN.page_transitions(df)) == sorted(want)
