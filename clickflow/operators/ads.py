@@ -65,10 +65,16 @@ def ad_city_count(clicks: DataFrame) -> DataFrame:
 
 
 def ad_province_count(city_counts: DataFrame) -> DataFrame:
-    """Roll the city counts up to (date, province, adid)."""
+    """Roll the city counts up to (date, province, adid) (the stream keeps city totals)."""
     return city_counts.groupBy("date", "province", "adid").agg(F.sum("click_count").alias("click_count"))
 
 
+def ad_province_click_count(clicks: DataFrame) -> DataFrame:
+    """(date, province, adid) → clicks, counted directly: equal to the roll-up of the
+    city counts, with one aggregation instead of two."""
+    return clicks.groupBy("date", "province", "adid").agg(_count())
+
+
 def ad_province_top3(province_counts: DataFrame, n: int = TOP_ADS) -> DataFrame:
     """Top n ads per (date, province) by clicks, ties by ad id (partial
     WindowGroupLimit before the shuffle)."""

@@ -85,12 +85,12 @@ def q_ad_city_count(spark, sf_dir):
 
 @register("ad_province_count", O.ad_base(T) + " SELECT * FROM province_counts")
 def q_ad_province_count(spark, sf_dir):
-    return AD.ad_province_count(_city(spark, sf_dir))
+    return AD.ad_province_click_count(clean_clicks(spark, sf_dir))
 
 
 @register("ad_province_top3", O.ad_base(T) + " SELECT * FROM province_top3")
 def q_ad_province_top3(spark, sf_dir):
-    return AD.ad_province_top3(AD.ad_province_count(_city(spark, sf_dir)))
+    return AD.ad_province_top3(AD.ad_province_click_count(clean_clicks(spark, sf_dir)))
 
 
 @register("ad_click_trend", O.ad_base(T) + " SELECT * FROM trend")
@@ -181,7 +181,7 @@ def q_upsert_overwrite_trend(spark, sf_dir):
 )
 def q_replace_groups(spark, sf_dir):
     def top3(c):
-        return AD.ad_province_top3(AD.ad_province_count(AD.ad_city_count(c)))
+        return AD.ad_province_top3(AD.ad_province_click_count(c))
 
     return M.replace_groups(top3(old_clicks(spark, sf_dir)), top3(new_clicks(spark, sf_dir)), ["date", "province"])
 
