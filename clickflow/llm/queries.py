@@ -155,7 +155,7 @@ steps(t, sent, pick) AS (
     SELECT t + 1, list_transform(range(1, len(ws) + 1), lambda i: sent[i] + (i = p)::INT), p FROM (
         SELECT t, sent, ws, list_position(due, list_min(due)) AS p FROM (
             SELECT t, sent, ws, list_transform(range(1, len(ws) + 1), lambda i:
-                CASE WHEN sent[i] < ws[i] AND (sent[i] * {_TOTAL}) // ws[i] <= t THEN -((-(sent[i] + 1) * {_TOTAL}) // ws[i]) + (CASE WHEN (-(sent[i] + 1) * {_TOTAL}) % ws[i] <> 0 THEN 0 ELSE 0 END) ELSE 1000000 END) AS due
+                CASE WHEN sent[i] < ws[i] AND (sent[i] * {_TOTAL}) // ws[i] <= t THEN ((sent[i] + 1) * {_TOTAL} + ws[i] - 1) // ws[i] ELSE 1000000 END) AS due
             FROM steps, lists WHERE t < {_TOTAL}))),
 slots AS (SELECT gs[pick] AS g, sent[pick] - 1 AS k, t - 1 AS s FROM steps, lists WHERE t > 0),
 ranked AS (SELECT doc_id, source, {_GROUP} AS g, row_number() OVER (PARTITION BY {_GROUP} ORDER BY md5(coalesce(doc_id::VARCHAR, ''))) - 1 AS r FROM documents)
