@@ -125,7 +125,10 @@ class Vocabulary:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
-vocabulary = functools.lru_cache(maxsize=2)(Vocabulary)
+@functools.lru_cache(maxsize=2)
+def vocabulary(path: str) -> Vocabulary:
+    """The vocabulary of a file, read once by each Python worker."""
+    return Vocabulary(path)
 
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
