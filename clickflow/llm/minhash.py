@@ -116,15 +116,15 @@ def _agreeing(a: str, b: str) -> F.Column:
 
 
 def _across(members: DataFrame, percent: int, agreeing: int) -> DataFrame:
-    """Pairs of one bucket and two components whose sizes and sketches allow the threshold.
+    """``(tile, a, b)``: pairs of one bucket and two components whose sizes and sketches allow the threshold.
 
-    ``members``: (key, a, n, component, lanes, members). A bucket of m members becomes about (m / TILE)**2 / 2 tasks of
-    two tiles each, so no task holds more than two tiles and only pairs that pass leave it.
+    ``members``: (key, a, n, component, lanes, marks, members). A bucket of m members becomes about (m / TILE)**2 / 2
+    tasks of two tiles each, so no task holds more than two tiles. A pair leaves only the bucket of its first common band.
     """
     id_type = members.schema["a"].dataType.simpleString()
     tiles = F.ceil(F.col("members") / TILE).cast("int")
     dealt = members.withColumn("t", F.pmod(F.xxhash64("a"), tiles).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    dealt = dealt.select("key", F.least("t", "o").alias("lo"), F.greatest("t", "o").alias("hi"), "t", "a", "n", "component", "lanes")
+    dealt = dealt.select("key", F.least("t", "o").alias("lo"), F.greatest("t", "o").alias("hi"), "t", "a", "n", "component", "lanes", "marks")
     dealt = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
 
     def run(batches):
@@ -137,14 +137,53 @@ def _across(members: DataFrame, percent: int, agreeing: int) -> DataFrame:
             x, y = np.flatnonzero(t == lo), np.flatnonzero(t == hi)
             ok = hot[x] @ hot[y].T >= agreeing
             ok &= (comp[x][:, None] != comp[y][None, :]) & (100 * np.minimum.outer(n[x], n[y]) >= percent * np.maximum.outer(n[x], n[y]))
-            i, j = np.nonzero(ok)
-            a, b = ids[x[i]], ids[y[j]]
-            flip = a > b
-            a, b = np.where(flip, b, a), np.where(flip, a, b)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a, g.schema.field("a").type), pa.array(b, g.schema.field("a").type)], names=["a", "b"])
+            i, j = np.nonzero(np.triu(ok, 1) if lo == hi else ok)
+            i, j = x[i], y[j]
+            marks = g["marks"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+            key = g["key"][0].as_py()
+            tile = np.int64(H.mix(np.array([key], np.int64).view(np.uint64) + np.uint64(lo) * H.STEPS[5] + np.uint64(hi) * H.STEPS[6]).view(np.int64)[0])
+            for c in range(0, len(i), 1 << 16):
+                p, q = i[c : c + (1 << 16)], j[c : c + (1 << 16)]
+                first = (marks[p] == marks[q]).argmax(1)
+                here = (marks[p, first] == key >> 32) & (ids[p] != ids[q])
+                p, q = ids[p[here]], ids[q[here]]
+                swap = p > q
+                kind = g.schema.field("a").type
+                columns = [pa.array(np.full(len(p), tile)), pa.array(np.where(swap, q, p), kind), pa.array(np.where(swap, p, q), kind)]
+                if len(p):
+                    yield pa.RecordBatch.from_arrays(columns, names=["tile", "a", "b"])
+
+    return dealt.mapInArrow(run, f"tile long, a {id_type}, b {id_type}")
+
+
+def _verified_by_tile(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """As ``_verified`` for ``pairs(tile, a, b)``: a text goes once to each tile that asks for it, not to each pair."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+    asked = pairs.select("tile", F.col("a").alias("id")).unionByName(pairs.select("tile", F.col("b").alias("id"))).distinct()
+    texts = asked.join(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id")
+    nothing = F.lit(None).cast(id_type)
+    texts = texts.select("tile", F.lit(0).alias("pair"), F.col("id").alias("a"), nothing.alias("b"), "text")
+    both = texts.unionByName(pairs.select("tile", F.lit(1).alias("pair"), "a", "b", F.lit(None).cast("string").alias("text")))
+    both = both.repartition("tile").sortWithinPartitions("tile", "pair")
+
+    def run(batches):
+        for g in runs(batches, 1):
+            n = int((g["pair"].to_numpy() == 0).sum())
+            a, b = g["a"].to_pylist(), g["b"].to_pylist()
+            sets: dict = {}
+            for name, s in zip(a[:n], text_sets(g["text"].slice(0, n), k)):
+                sets.setdefault(name, []).append(s)
+
+            def alike(x, y) -> bool:
+                same = len(np.intersect1d(x, y, assume_unique=True))
+                return 100 * same >= percent * (len(x) + len(y) - same) and same > 0
+
+            good = [i for i in range(n, len(a)) if any(alike(x, y) for x in sets.get(a[i], ()) for y in sets.get(b[i], ()))]
+            if good:
+                kind = g.schema.field("a").type
+                yield pa.RecordBatch.from_arrays([pa.array([c[i] for i in good], kind) for c in (a, b)], names=["a", "b"])
 
-    return dealt.mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
+    return both.mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
@@ -194,10 +233,12 @@ def near_duplicates(
     hubs = ranked.groupBy("key").agg(F.max_by(F.struct("rep", "n"), F.struct("full", "n", "rep")).alias("hub"))
     hubs = hubs.select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("nb"))
     alike = f"100 * least(n, nb) >= {percent} * greatest(n, nb)"
-    lanes = reps.groupBy(F.col("id").alias("rep")).agg(F.first("lanes").alias("lanes"))
+    lanes = reps.groupBy(F.col("id").alias("rep")).agg(F.first("lanes").alias("lanes"), F.first("bands").alias("bands"))
+    marks = F.transform("bands", lambda b: F.shiftright(b, 32).cast("int"))
 
     def likely(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(lanes.toDF("a", "la"), "a").join(lanes.toDF("b", "lb"), "b")
+        drawn = lanes.select("rep", "lanes")
+        both = pairs.join(drawn.toDF("a", "la"), "a").join(drawn.toDF("b", "lb"), "b")
         return both.where(_agreeing("la", "lb") >= agreeing).select("a", "b")
 
     stars = members.join(hubs, "key").where(F.expr(alike) & F.expr("rep != hub"))
@@ -207,10 +248,10 @@ def near_duplicates(
     comp = connected_components(links, "a", "b")
     placed = members.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    placed = placed.join(mixed.select("key"), "key").join(lanes, "rep").withColumnRenamed("rep", "a")
+    placed = placed.join(mixed.select("key"), "key").join(lanes, "rep").withColumn("marks", marks).withColumnRenamed("rep", "a")
     across = _across(placed, percent, agreeing)
     rest = cut(across.join(stars, ["a", "b"], "left_anti"))
-    more = cut(_verified(rest, docs, id_col, text_col, shingle_words, percent))
+    more = cut(_verified_by_tile(rest, docs, id_col, text_col, shingle_words, percent))
     # links between two row versions of one id make no edge; copies join their class's document
     copies = named.join(classes, ["h1", "h2", "n"]).where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
     versions = named.groupBy("id").agg(F.count_distinct("h1", "h2", "n").alias("v")).where("v > 1").select("id")
