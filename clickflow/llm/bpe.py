@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickflow.llm.common import small_batches
+
 #: The published pattern of this family of byte-level vocabularies (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words that a task remembers; the table is emptied when it is full.
@@ -133,6 +135,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row: ``(id_col, n_tokens, ids array<int>, exact)``; exact: decoding gives the text again."""
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -153,6 +156,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
 def decoded(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row for each row: ``(id_col, text)`` of the ids; null ids count as none."""
+    small_batches(tokens.sparkSession)
     id_type = tokens.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -170,6 +174,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     The same encoder and decoder as ``encoded``; only the digests leave the Python worker.
     """
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import cut, runs, table
+from clickflow.llm.common import cut, runs, small_batches, table
 from clickflow.llm.components import connected_components
 
 #: Vectors that codebooks are fitted on; largest codebook; vectors of a cell aimed at; share of neighbours to reach.
@@ -159,6 +159,7 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vec"), F.col(label_col).cast("long").alias("label"))
     sound = v.isNotNull() & (F.size(v) > 0) & F.forall(v, finite) & F.exists(v, lambda x: x != 0)
     sound = F.coalesce(sound, F.lit(False)) & F.col("label").isNotNull() & F.col("id").isNotNull()
+    small_batches(vectors.sparkSession)
     keyed = rows.withColumn("ok", sound).withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64(F.lit(1), "vec", F.size("vec"))})
     good = keyed.where("ok")
     classes = good.groupBy("label", "h1", "h2").agg(F.min("id").alias("rid"), F.count("*").alias("copies"), F.any_value("vec").alias("vec"))

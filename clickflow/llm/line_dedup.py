@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm import hashing as H
-from clickflow.llm.common import table, text_pieces
+from clickflow.llm.common import small_batches, table, text_pieces
 
 DEPTH, MIN_DOCS, FIXED_SHARE, COPY_SHARE = 3, 5, 0.6, 0.5
 _LINE_FEED = 10
@@ -109,6 +109,7 @@ def _candidates(docs: DataFrame, depth: int) -> DataFrame:
 def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int = DEPTH, min_docs: int = MIN_DOCS, fixed_share: float = FIXED_SHARE) -> DataFrame:
     """``(id, drop array<long>)``: hashes of the lines of each document whose template recurs."""
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    small_batches(docs.sparkSession)
     leaves = _leaves(narrow, depth)
     hot = leaves.groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
     wanted = leaves.join(hot, "leaf").groupBy(F.col("id").alias("wid")).agg(F.collect_set("leaf").alias("leaves"))

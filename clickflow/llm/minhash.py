@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm import hashing as H
-from clickflow.llm.common import cut, runs, table, text_pieces
+from clickflow.llm.common import cut, runs, small_batches, table, text_pieces
 from clickflow.llm.components import connected_components
 
 #: Coordinates of a sketch, coordinates of a band, coordinates that must agree (in two bits) before sets are compared.
@@ -221,6 +221,7 @@ def near_duplicates(
     agreeing: int = AGREEING,
 ) -> DataFrame:
     """One row for each input row: ``(id_col, n_shingles, component_id, kept)``."""
+    small_batches(docs.sparkSession)
     sig = table(signatures(docs, id_col, text_col, shingle_words))
     named = sig.where("n > 0 AND id IS NOT NULL")
     classes = named.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm import hashing as H
-from clickflow.llm.common import text_pieces
+from clickflow.llm.common import small_batches, text_pieces
 
 #: Labelled rows that are learned from at most; rows of the table; length of a vector; passes; step size.
 SAMPLE, BITS, WIDTH, EPOCHS, RATE = 6000, 18, 8, 6, 0.5
@@ -126,22 +126,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def scores(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``(id_col, score)`` of each row; with ``keep``, these columns of ``docs`` and ``score``."""
     spark = docs.sparkSession
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(model)
     keep = keep or [id_col]
-    named = [F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]
-    narrow = docs.select(*named, F.col(text_col).alias("text"))
+    # a text that is kept is sent once
+    asked = keep if text_col in keep else [*keep, text_col]
+    place = asked.index(text_col)
+    narrow = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(asked)))
     types = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
 
     def run(batches):
         table, bias = sent.value
         for batch in batches:
             logits = [np.zeros(0)]
-            for first, end, buf, offsets in text_pieces(batch.column(len(keep)), 1 << 19):
+            for first, end, buf, offsets in text_pieces(batch.column(place), 1 << 19):
                 total, n = np.zeros(end - first), np.zeros(end - first)
-                for f, place in _features(buf, offsets) if len(buf) else ():
+                for f, at in _features(buf, offsets) if len(buf) else ():
                     run_sums = np.zeros(len(f) + 1)
                     np.cumsum(table[f], out=run_sums[1:], dtype=np.float64)
-                    cut = np.searchsorted(place, offsets)
+                    cut = np.searchsorted(at, offsets)
                     total += run_sums[cut[1:]] - run_sums[cut[:-1]]
                     n += cut[1:] - cut[:-1]
                 logits.append(total / np.maximum(n, 1) + bias)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm import hashing as H
-from clickflow.llm.common import cut, runs, table, text_pieces
+from clickflow.llm.common import cut, runs, small_batches, table, text_pieces
 
 LENGTH, GRAM, BUCKET_BYTES, BUCKET_SEGMENTS = 200, 32, 1 << 19, 4096
 #: A perfect difference set: every residue modulo 31 is the difference of two members (fixed values).
@@ -219,6 +219,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    small_batches(docs.sparkSession)
     anchors = table(_anchors(narrow))
     twice = anchors.groupBy("anchor").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select("anchor")
     held = table(anchors.join(twice, "anchor"))
