@@ -257,9 +257,13 @@ def near_duplicates(
     copies = named.join(classes, ["h1", "h2", "n"]).where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
     versions = named.groupBy("id").agg(F.count_distinct("h1", "h2", "n").alias("v")).where("v > 1").select("id")
     tied = copies.join(versions.withColumnRenamed("id", "a"), "a", "left_semi")
-    comp = connected_components(links.unionByName(more).unionByName(tied), "a", "b")
-    of_class = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    of_class = of_class.select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
+    # the links found later tie whole components together
+    named_by = lambda c, to: comp.select(F.col("node").alias(c), F.col("component").alias(to))
+    late = more.unionByName(tied).join(named_by("a", "ca"), "a", "left").join(named_by("b", "cb"), "b", "left")
+    late = connected_components(late.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), "a", "b")
+    of_class = classes.join(named_by("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+    of_class = of_class.join(late.toDF("c", "lower"), "c", "left")
+    of_class = of_class.select("h1", "h2", "n", F.coalesce("lower", "c").alias("component"))
     rows = sig.select("id", "n", "h1", "h2").join(of_class, ["h1", "h2", "n"], "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     component = F.when(F.col("id").isNotNull(), component)
