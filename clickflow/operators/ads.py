@@ -15,28 +15,40 @@ TOP_ADS = 3
 WINDOW_MINUTES = 60
 
 
-# Fixed format of one ad log line: epoch millis, province, city, user id, ad id.
-AD_LINE_PATTERN = r"^-?[0-9]{1,18} [^ ]+ [^ ]+ -?[0-9]{1,18} -?[0-9]{1,18}$"
+# Epoch milliseconds of the years 1 to 9999, which date keys can name.
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def _fields(lines: DataFrame, column: str) -> DataFrame:
+    parts = F.split(F.col(column), " ", -1)
+    ts_millis = F.get(parts, 0).try_cast("bigint")
+    userid, adid = (F.get(parts, i).try_cast("bigint") for i in (3, 4))
+    good = ts_millis.between(FIRST_MILLIS, LAST_MILLIS) & userid.isNotNull() & adid.isNotNull()
+    return lines.select(
+        F.col(column).alias("line"),
+        F.when(F.coalesce(good, F.lit(False)), ts_millis).alias("ts_millis"),
+        F.get(parts, 1).alias("province"),
+        F.get(parts, 2).alias("city"),
+        userid.alias("userid"),
+        adid.alias("adid"),
+    )
 
 
 def parse_ad_log(lines: DataFrame, column: str = "value") -> DataFrame:
     """``epoch_millis province city userid adid`` → typed columns.
 
-    Lines that do not have that shape are not clicks and are skipped. The check is
-    one regex on the raw line, so the filter Catalyst pushes below the parse does not
-    repeat the parse per field.
+    Ids and time are any Long; further fields are ignored. Lines without five fields, with an id or time that is no
+    number, or with a time outside the years 1 to 9999 are no clicks: see ``rejected_ad_lines``.
     """
-    value = F.col(column)
-    parts = F.split(value, " ")
-    ts_millis = parts.getItem(0).cast("bigint")
-    return lines.where(value.rlike(AD_LINE_PATTERN)).select(
-        ts_millis.alias("ts_millis"),
-        F.date_format(F.timestamp_millis(ts_millis), DATEKEY_FORMAT).alias("date"),
-        parts.getItem(1).alias("province"),
-        parts.getItem(2).alias("city"),
-        parts.getItem(3).cast("bigint").alias("userid"),
-        parts.getItem(4).cast("bigint").alias("adid"),
-    )
+    fields = _fields(lines, column).where(F.col("ts_millis").isNotNull()).drop("line")
+    date = F.date_format(F.timestamp_millis(F.col("ts_millis")), DATEKEY_FORMAT)
+    return fields.select("ts_millis", date.alias("date"), "province", "city", "userid", "adid")
+
+
+def rejected_ad_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The lines that ``parse_ad_log`` leaves out, each with how often it occurs: (line, occurrences)."""
+    bad = _fields(lines, column).where(F.col("ts_millis").isNull())
+    return bad.groupBy("line").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
 def _count() -> Column:

@@ -1,12 +1,12 @@
 """Page funnel: adjacent page pairs inside sessions and the conversion along a flow.
 
 ``page_transitions`` does not sort whole sessions in one window: a session holding a
-third of all actions would then sit in one task. Each session is cut into one-second
-chunks (a deterministic key, so any re-evaluation agrees); pairs inside a chunk come
-from a window over (session, second), and the pair that crosses from one chunk to
+third of all actions would then sit in one task. Each session is cut into chunks of
+``CHUNK_SECONDS`` (a deterministic key, so any re-evaluation agrees); pairs inside a chunk
+come from a window over (session, chunk), and the pair that crosses from one chunk to
 the next is stitched from the first and last row of each chunk only. A hot session
-is spread over as many tasks as it has busy seconds (a chunk holds at most one
-second of its actions), and its stitch input is two rows per busy second.
+is spread over as many tasks as it has busy hours, and its stitch input is two rows per
+busy hour.
 """
 
 from __future__ import annotations
@@ -21,22 +21,19 @@ from clickflow.operators.joins import broadcast_bounded
 from clickflow.params import TaskParams
 from clickflow.sources.literal import local_table
 
-CHUNK_SECONDS = 1
+CHUNK_SECONDS = 3600
 
 
 def page_transitions(actions: DataFrame) -> DataFrame:
-    """Adjacent page pairs inside each session, ordered by action time then event id.
+    """Adjacent page pairs inside each session, ordered by action time, then event id.
 
-    Columns: session_id, from_event_id, from_page_id, to_page_id.
+    Columns: session_id, from_event_id, from_page_id, to_page_id. A table without event ids is ordered by page id
+    inside one time, and from_event_id holds that page id (-1 for none).
     """
     t = parse_time(F.col("action_time"))
-    keyed = actions.select(
-        "session_id",
-        "event_id",
-        "page_id",
-        t.alias("t"),
-        F.floor(F.unix_seconds(t) / CHUNK_SECONDS).alias("chunk"),
-    )
+    tie = F.col("event_id") if "event_id" in actions.columns else F.coalesce("page_id", F.lit(-1))
+    keyed = actions.select("session_id", tie.alias("event_id"), "page_id", t.alias("t"))
+    keyed = keyed.withColumn("chunk", F.expr(f"unix_seconds(t) div {CHUNK_SECONDS}"))
     in_chunk = Window.partitionBy("session_id", "chunk").orderBy("t", "event_id")
     marked = keyed.select(
         "*",

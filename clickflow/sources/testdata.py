@@ -21,31 +21,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# A scan with fewer splits than this is small (a few GB at most): spreading it costs
-# little and lets per-row work use the cores. Larger scans are never reshuffled.
-SPREAD_TARGET = 64
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Feed the cores when a small scan yields very few splits (a one-row-group file
-    would otherwise run all per-row work in one task). Only scans with fewer than
-    ``min(cores, SPREAD_TARGET)`` splits are round-robined, to that many partitions;
-    a large input is returned unchanged (no shuffle).
-    """
-    try:
-        target = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_TARGET)
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep the scan as is
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 def read_events(spark: SparkSession, sf_dir: str, raw_filter: Column | None = None) -> DataFrame:
     """The fact table, with an optional filter on raw columns (pushed to the scan)."""
     events = read_table(spark, sf_dir, "events")
     if raw_filter is not None:
         events = events.where(raw_filter)
-    return spread(events)
+    return events
 
 
 def _event_time(events: DataFrame) -> Column:

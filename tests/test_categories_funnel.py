@@ -100,22 +100,6 @@ def test_area_top3_ties_and_unknown_city(spark):
     assert got == [("A_Level", 10, 2, "Self"), ("A_Level", 13, 2, "Third Party"), ("A_Level", 11, 1, "Third Party")]
 
 
-def test_area_job_as_sql_text_equals_dataframe_chain(spark):
-    from clickflow.plans import jobs
-    from clickflow.plans.area_sql import area_top3_sql
-    from clickflow.params import DEFAULT_PARAMS
-    from clickflow.sources import testdata as src
-    from conftest import SMOKE_DIR
-
-    actions = jobs.date_range_actions(spark, SMOKE_DIR, DEFAULT_PARAMS)
-    products = src.load_products(spark, SMOKE_DIR)
-    via_sql = area_top3_sql(spark, actions, products, city_area_info(spark))
-    clicks = A.area_basic_info(A.city_product_clicks(actions), city_area_info(spark))
-    via_df = A.area_top3_products(A.area_product_info(A.area_product_click_count(clicks), products))
-    assert rows(via_sql) == rows(via_df) and via_df.count() > 0
-    assert "WindowGroupLimit" in via_sql._jdf.queryExecution().executedPlan().toString()
-
-
 def test_rank_within_groups_matches_row_number(spark):
     from pyspark.sql import Window
 
@@ -138,3 +122,23 @@ def test_row_with_several_kinds_counts_in_each(spark):
     df = spark.createDataFrame(data, USER_VISIT_ACTION)
     assert rows(C.category_full_count(df)) == [(4, 1, 1, 0), (9, 0, 1, 1)]
     assert rows(C.touched_categories(df)) == [(4,), (9,)]
+
+
+def test_page_transitions_without_event_ids(spark):
+    from clickflow.operators.funnel import page_transitions
+
+    rows = [("s", "2024-01-01 00:00:01", 3), ("s", "2024-01-01 00:00:01", 1), ("s", "2024-01-01 09:00:00", 2)]
+    df = spark.createDataFrame(rows, "session_id string, action_time string, page_id long")
+    got = sorted((r.from_page_id, r.to_page_id) for r in page_transitions(df).collect())
+    assert got == [(1, 3), (3, 2)]
+
+
+def test_ad_lines_of_any_long_and_rejects(spark):
+    from clickflow.operators.ads import parse_ad_log, rejected_ad_lines
+
+    good = ["1704067200000 p c 9000000000000000001 7", "1704067200000 p c 1 7 more fields"]
+    bad = ["999999999999999999 p c 1 7", "1704067200000 p c x 7", "short line", "short line", ""]
+    lines = spark.createDataFrame([(x,) for x in good + bad] + [(None,)], "value string")
+    clicks = parse_ad_log(lines)
+    assert sorted((r.date, r.userid, r.adid) for r in clicks.collect()) == [(clicks.first().date, 1, 7), (clicks.first().date, 9000000000000000001, 7)]
+    assert {r.line: r.occurrences for r in rejected_ad_lines(lines).collect()} == {None: 1, "": 1, "short line": 2, bad[0]: 1, bad[1]: 1}

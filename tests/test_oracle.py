@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from clickflow.plans import registry as E
 from conftest import SMOKE_DIR
 
 TABLES = "region nation customer supplier part orders lineitem events".split()

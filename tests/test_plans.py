@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from clickflow.plans import registry as E
 from conftest import SMOKE_DIR
 
 QUERIES = E.queries()
@@ -85,13 +85,3 @@ def test_only_bounded_sides_are_broadcast(spark, name):
         # A dimension scan may be broadcast by Spark's own size check; the fact table never.
         ok = op in BOUNDED_ROOTS or (op == "FileScan" and "events.parquet" not in first)
         assert ok, (name, first[:120])
-
-
-def test_spread_only_touches_small_scans(spark):
-    from clickflow.sources import testdata as src
-
-    cores = spark.sparkContext.defaultParallelism
-    small = src.read_events(spark, SMOKE_DIR)  # one row group → one split
-    assert small.rdd.getNumPartitions() == min(cores, src.SPREAD_TARGET)
-    many = spark.range(0, 1000, 1, src.SPREAD_TARGET + 1)
-    assert src.spread(many) is many  # enough splits: returned as is, no shuffle added
