@@ -8,6 +8,7 @@ click-log model (``--tables-dir``); the ad stream reads text lines from a folder
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -34,7 +35,8 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"clickflow-{args.program}").getOrCreate()
     ensure_session_defaults(spark)
-    params = params_from_json(args.params, DEFAULT_PARAMS)
+    # every run has a task id of its own, so appended results of several runs can be told apart
+    params = params_from_json(args.params, DEFAULT_PARAMS.with_(task_id=uuid.uuid4().hex))
 
     if args.program == "ads":
         if args.kafka_servers:

@@ -113,7 +113,7 @@ def ad_recent_hour(clicks: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFram
     Counts per (minute, ad) first; only those rows fan out to the ``minutes``
     windows that contain them, so the expansion is over aggregates, not clicks.
     """
-    minute = F.floor(F.col("ts_millis") / 60000)
+    minute = F.expr("(ts_millis - pmod(ts_millis, 60000)) div 60000")
     per_minute = clicks.groupBy(minute.alias("m"), "adid").agg(_count())
     fanned = per_minute.select(
         F.explode(F.sequence(F.col("m") - (minutes - 1), F.col("m"))).alias("start_m"), "adid", "click_count"

@@ -19,7 +19,13 @@ FILTER_VARIANTS: dict[str, TaskParams] = {
     "session_filter_city": NO_AGE.with_(cities="city3,city7"),
     "session_filter_sex": NO_AGE.with_(sex="male"),
     "session_filter_professional": NO_AGE.with_(professionals="BUILDING,MACHINERY"),
-    "session_filter_all": P.with_(sex="female", professionals="BUILDING,MACHINERY,HOUSEHOLD", cities=None),
+    "session_filter_all": P.with_(
+        sex="female",
+        professionals="BUILDING,MACHINERY,HOUSEHOLD",
+        cities="city1,city2,city3,city5,city7,city8,city10,city12,city15,city20",
+        keywords="kw1,kw3,kw5,kw7,kw9",
+        category_ids=",".join(str(c) for c in (1, *range(5, 100, 5))),
+    ),
 }
 
 # ------------------------------------------------------------ session block
