@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.kafka_servers:
             lines = kafka_lines(spark, args.kafka_servers, args.topic)
         else:
-            lines = file_lines(spark, args.lines_dir)
+            lines = file_lines(spark, args.lines_dir, 1)
         trigger = {"availableNow": True} if args.available_now else None
         query = PG.ad_program(lines, params, args.out, args.checkpoint or f"{args.out}/_checkpoint", trigger)
         query.awaitTermination()

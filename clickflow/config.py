@@ -50,6 +50,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="clickflow-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), "clickflow", *parts, uuid.uuid4().hex])

@@ -92,19 +92,48 @@ def actions_in_categories(actions: DataFrame, categories: DataFrame) -> DataFram
     return actions.join(top, "click_category_id", "left_semi")
 
 
-def top_active_sessions(actions: DataFrame, categories: DataFrame, n: int = TOP_SESSIONS) -> DataFrame:
+def session_category_counts(actions: DataFrame) -> DataFrame:
+    """(session_id, category_id, click_count, order_count, pay_count), zero rows left out.
+
+    Counting comes before any join by session, so a session holding a third of all
+    actions reaches the join as one row per category it touched.
+    """
+    k = F.col("kind")
+    return category_events(actions).groupBy("session_id", "category_id").agg(
+        F.count_if(k == CLICK).alias("click_count"),
+        F.count_if(k == ORDER).alias("order_count"),
+        F.count_if(k == PAY).alias("pay_count"),
+    )
+
+
+def counts_of_sessions(counts: DataFrame, sessions: DataFrame) -> DataFrame:
+    """The counts of the sessions in ``sessions`` (those that passed the task filter)."""
+    return counts.join(sessions.select("session_id"), "session_id", "left_semi")
+
+
+def full_count_of_sessions(counts: DataFrame) -> DataFrame:
+    """``category_full_count`` from per-session counts."""
+    return counts.groupBy("category_id").agg(
+        *[F.sum(c).alias(c) for c in ("click_count", "order_count", "pay_count")]
+    )
+
+
+def top_sessions_of_counts(counts: DataFrame, categories: DataFrame, n: int = TOP_SESSIONS) -> DataFrame:
     """For each top category, the n sessions with most clicks on it (ties: session id).
 
     ``row_number() <= n`` lets Catalyst put a partial WindowGroupLimit before the
     shuffle, so each task forwards at most n sessions per category.
     """
-    clicks = actions_in_categories(actions, categories)
-    per_session = clicks.groupBy(F.col("click_category_id").alias("category_id"), "session_id").agg(
-        F.count(F.lit(1)).alias("click_count")
-    )
+    top = broadcast_bounded(categories.select("category_id"), TOP_CATEGORIES)
+    per_session = counts.where(F.col("click_count") > 0).join(top, "category_id", "left_semi")
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
     return (
         per_session.withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= n)
         .select("category_id", "session_id", "click_count", "rank")
     )
+
+
+def top_active_sessions(actions: DataFrame, categories: DataFrame, n: int = TOP_SESSIONS) -> DataFrame:
+    """``top_sessions_of_counts`` straight from actions."""
+    return top_sessions_of_counts(session_category_counts(actions), categories, n)

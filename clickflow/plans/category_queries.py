@@ -18,11 +18,14 @@ def _with_task(df):
     return df.select(F.lit(P.task_id).alias("taskid"), *df.columns)
 
 
-
 def _fa(spark, sf_dir):
     return jobs.filtered_session_actions(spark, sf_dir, P)
 
 
+def _counts(spark, sf_dir):
+    return jobs.filtered_session_counts(spark, sf_dir, P)
+
+
 @register("touched_categories", O.category_base(P) + " SELECT DISTINCT category_id FROM cat_events")
 def q_touched_categories(spark, sf_dir):
     return C.touched_categories(_fa(spark, sf_dir))
@@ -55,12 +58,12 @@ def q_category_pay_count(spark, sf_dir):
 
 @register("category_full_count", O.category_base(P) + " SELECT * FROM full_count")
 def q_category_full_count(spark, sf_dir):
-    return C.category_full_count(_fa(spark, sf_dir))
+    return C.full_count_of_sessions(_counts(spark, sf_dir))
 
 
 @register("top10_categories", O.category_base(P) + f" SELECT '{P.task_id}' AS taskid, * FROM top10")
 def q_top10_categories(spark, sf_dir):
-    return _with_task(C.top_categories(C.category_full_count(_fa(spark, sf_dir))))
+    return _with_task(C.top_categories(C.full_count_of_sessions(_counts(spark, sf_dir))))
 
 
 @register(
@@ -86,5 +89,5 @@ def q_actions_in_top10_categories(spark, sf_dir):
     " AS rank FROM per_session) WHERE rank <= 10",
 )
 def q_top10_active_sessions(spark, sf_dir):
-    fa = _fa(spark, sf_dir)
-    return _with_task(C.top_active_sessions(fa, C.top_categories(C.category_full_count(fa))))
+    counts = _counts(spark, sf_dir)
+    return _with_task(C.top_sessions_of_counts(counts, C.top_categories(C.full_count_of_sessions(counts))))

@@ -14,18 +14,22 @@ from clickflow.plans import jobs
 from clickflow.plans import oracle_sql as O
 from clickflow.plans.ad_queries import clicks
 from clickflow.plans.registry import register
+from clickflow.sources import testdata as src
 
 P = DEFAULT_PARAMS
 PIVOT_TIME = "2024-01-15 12:00:00"
 
 
+ALL_ACTIONS = "actions AS (SELECT * FROM user_visit_action)"
+
+
 def _actions(spark, sf_dir):
-    return jobs.date_range_actions(spark, sf_dir, P)
+    return src.load_actions(spark, sf_dir)
 
 
 @register(
     "time_compare",
-    O.with_(O.actions_cte(P))
+    O.with_(ALL_ACTIONS)
     + f" SELECT event_id, action_time, CAST(action_time AS TIMESTAMP) < TIMESTAMP '{PIVOT_TIME}' AS is_before,"
     f" CAST(action_time AS TIMESTAMP) > TIMESTAMP '{PIVOT_TIME}' AS is_after FROM actions",
 )
@@ -39,7 +43,7 @@ def q_time_compare(spark, sf_dir):
 
 @register(
     "time_diff_seconds",
-    O.with_(O.actions_cte(P))
+    O.with_(ALL_ACTIONS)
     + " SELECT event_id, date_diff('second', CAST(date || ' 00:00:00' AS TIMESTAMP), CAST(action_time AS TIMESTAMP))"
     " AS seconds_of_day FROM actions",
 )
@@ -52,7 +56,7 @@ def q_time_diff_seconds(spark, sf_dir):
 
 @register(
     "sessions_by_hour",
-    O.with_(O.actions_cte(P), O.SESSION_SUMMARY_CTE)
+    O.with_(ALL_ACTIONS, O.SESSION_SUMMARY_CTE)
     + " SELECT strftime(CAST(start_time AS TIMESTAMP), '%Y-%m-%d_%H') AS date_hour, count(*) AS session_count"
     " FROM summary GROUP BY 1",
 )
@@ -85,18 +89,18 @@ def q_time_formats(spark, sf_dir):
 
 @register(
     "string_helpers",
-    O.with_(O.actions_cte(P))
+    O.with_(ALL_ACTIONS)
     + " SELECT event_id, (search_keyword IS NULL OR search_keyword = '') AS keyword_missing,"
-    " regexp_replace(regexp_replace(coalesce(order_category_ids, '') || ',', '^,', ''), ',$', '') AS order_ids_trimmed,"
-    " CASE WHEN length(CAST(page_id AS VARCHAR)) < 2 THEN lpad(CAST(page_id AS VARCHAR), 2, '0')"
-    " ELSE CAST(page_id AS VARCHAR) END AS page_code FROM actions",
+    " trim(coalesce(order_category_ids, ''), ',') AS order_ids_trimmed,"
+    " CASE WHEN city_id < 10 THEN '0' || city_id ELSE CAST(city_id AS VARCHAR) END AS city_code FROM actions",
 )
 def q_string_helpers(spark, sf_dir):
+    ids = F.coalesce("order_category_ids", F.lit(""))
     return _actions(spark, sf_dir).select(
         "event_id",
         TX.is_empty(F.col("search_keyword")).alias("keyword_missing"),
-        TX.trim_comma(F.concat(F.coalesce("order_category_ids", F.lit("")), F.lit(","))).alias("order_ids_trimmed"),
-        TX.pad2(F.col("page_id").cast("string")).alias("page_code"),
+        TX.trim_comma(F.concat(F.lit(","), ids, F.lit(","))).alias("order_ids_trimmed"),
+        TX.pad2(F.col("city_id").cast("string")).alias("city_code"),
     )
 
 
@@ -113,9 +117,9 @@ def _record(summary):
 
 @register(
     "kv_record_get",
-    O.with_(O.actions_cte(P), O.SESSION_SUMMARY_CTE, f"rec AS (SELECT session_id, {O.RECORD_SQL} AS record FROM summary)")
-    + f" SELECT session_id, nullif(regexp_extract(record, '{O.kv_pattern_sql('visitLength')}', 1), '') AS visit_length,"
-    f" nullif(regexp_extract(record, '{O.kv_pattern_sql('searchKeywords')}', 1), '') AS search_keywords FROM rec",
+    O.with_(ALL_ACTIONS, O.SESSION_SUMMARY_CTE, f"rec AS (SELECT session_id, {O.RECORD_SQL} AS record FROM summary)")
+    + f" SELECT session_id, {O.kv_field_sql('visitLength')} AS visit_length,"
+    f" {O.kv_field_sql('searchKeywords')} AS search_keywords FROM rec",
 )
 def q_kv_record_get(spark, sf_dir):
     rec = S.session_summary(_actions(spark, sf_dir)).select("session_id", _record(None).alias("record"))
@@ -128,7 +132,7 @@ def q_kv_record_get(spark, sf_dir):
 
 @register(
     "kv_record_set",
-    O.with_(O.actions_cte(P), O.SESSION_SUMMARY_CTE,
+    O.with_(ALL_ACTIONS, O.SESSION_SUMMARY_CTE,
             f"rec AS (SELECT session_id, step_length, {O.RECORD_SQL} AS record FROM summary)")
     + " SELECT session_id, regexp_replace(record, '(^|\\|)stepLength=[^|]*',"
     " '\\1stepLength=' || CAST(step_length + 1 AS VARCHAR), 'g') AS record FROM rec",
@@ -144,7 +148,7 @@ def q_kv_record_set(spark, sf_dir):
 
 @register(
     "order_categories_exploded",
-    O.with_(O.actions_cte(P))
+    O.with_(ALL_ACTIONS)
     + " SELECT event_id, session_id, TRY_CAST(trim(x) AS BIGINT) AS category_id FROM ("
     "SELECT event_id, session_id, unnest(string_split(order_category_ids, ',')) AS x FROM actions"
     " WHERE order_category_ids IS NOT NULL)",
@@ -186,4 +190,4 @@ def q_session_sample_hourly(spark, sf_dir):
 )
 def q_session_sample_detail(spark, sf_dir):
     sample = SM.session_sample_hourly(jobs.filtered_sessions(spark, sf_dir, P), P)
-    return SM.session_sample_detail(_actions(spark, sf_dir), sample, P)
+    return SM.session_sample_detail(jobs.date_range_actions(spark, sf_dir, P), sample, P)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickflow.operators import categories as C
 from clickflow.operators import sessions as S
 from clickflow.params import TaskParams
 from clickflow.sources import testdata as src
@@ -29,3 +30,9 @@ def filtered_sessions(spark: SparkSession, sf_dir: str, params: TaskParams) -> D
 def filtered_session_actions(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
     """Actions of the sessions that pass the task filter (input of the category job)."""
     return S.filtered_actions(date_range_actions(spark, sf_dir, params), filtered_sessions(spark, sf_dir, params))
+
+
+def filtered_session_counts(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
+    """Per (session, category) counts of the sessions that pass the task filter."""
+    counts = C.session_category_counts(date_range_actions(spark, sf_dir, params))
+    return C.counts_of_sessions(counts, filtered_sessions(spark, sf_dir, params))

@@ -8,7 +8,6 @@ Aggregates are cast to the Spark result types (DuckDB sums are 128-bit).
 from __future__ import annotations
 
 from clickflow.params import DEFAULT_PARAMS, TaskParams
-from clickflow.sources.cities import AREA_LEVELS, CITY_AREA_ROWS, OTHER_AREA_LEVEL
 
 ADAPTERS = """
 ev AS (
@@ -62,18 +61,47 @@ ad_click AS (
 )"""
 
 
-def _city_values() -> str:
-    rows = ", ".join(f"({cid}, '{name}', '{area}')" for cid, name, area in CITY_AREA_ROWS)
-    return f"city_area_info AS (SELECT * FROM (VALUES {rows}) AS t(city_id, city_name, area))"
-
-
-def _area_level_case(col: str = "area") -> str:
-    whens = " ".join(f"WHEN {col} = '{a}' THEN '{lvl}'" for a, lvl in AREA_LEVELS)
-    return f"CASE {whens} ELSE '{OTHER_AREA_LEVEL}' END"
+# Fixed values, written out here so that the oracle does not read the library's own tables.
+CITY_CTE = """city_area_info AS (SELECT * FROM (VALUES
+  (0, '北京', '华北'),
+  (1, '上海', '华东'),
+  (2, '南京', '华东'),
+  (3, '广州', '华南'),
+  (4, '三亚', '华南'),
+  (5, '武汉', '华中'),
+  (6, '长沙', '华中'),
+  (7, '西安', '西北'),
+  (8, '成都', '西南'),
+  (9, '哈尔滨', '东北')
+) AS t(city_id, city_name, area))"""
+
+AREA_LEVEL_CASE = """CASE WHEN area IN ('华北', '华东') THEN 'A_Level' WHEN area IN ('华中', '华南') THEN 'B_Level'
+ WHEN area IN ('西南', '西北') THEN 'C_Level' ELSE 'D_Level' END"""
+
+# Condition of each bucket.
+VISIT_BUCKET_SQL = {
+    "1s_3s": "BETWEEN 1 AND 3",
+    "4s_6s": "BETWEEN 4 AND 6",
+    "7s_9s": "BETWEEN 7 AND 9",
+    "10s_30s": "BETWEEN 10 AND 30",
+    "30s_60s": "BETWEEN 31 AND 60",
+    "1m_3m": "BETWEEN 61 AND 180",
+    "3m_10m": "BETWEEN 181 AND 600",
+    "10m_30m": "BETWEEN 601 AND 1800",
+    "30m": "> 1800",
+}
+STEP_BUCKET_SQL = {
+    "1_3": "BETWEEN 1 AND 3",
+    "4_6": "BETWEEN 4 AND 6",
+    "7_9": "BETWEEN 7 AND 9",
+    "10_30": "BETWEEN 10 AND 30",
+    "30_60": "BETWEEN 31 AND 60",
+    "60": "> 60",
+}
 
 
 def with_(*ctes: str) -> str:
-    parts = [ADAPTERS.strip(), _city_values(), *[c.strip() for c in ctes]]
+    parts = [ADAPTERS.strip(), CITY_CTE, *[c.strip() for c in ctes]]
     return "WITH " + ",\n".join(parts)
 
 
@@ -81,10 +109,6 @@ def _in_list(values: str) -> str:
     return ", ".join(f"'{v.strip()}'" for v in values.split(","))
 
 
-def bucket_sql(low: int, high: int | None) -> str:
-    return f">= {low}" if high is None else f"BETWEEN {low} AND {high}"
-
-
 def ratio_sql(count: str, total: str, scale: int = 2) -> str:
     p = 10**scale
     return (
@@ -240,7 +264,6 @@ def area_base(p: TaskParams = DEFAULT_PARAMS, *extra: str) -> str:
     return with_(actions_cte(p), *AREA_CTES, *extra)
 
 
-AREA_LEVEL_CASE = _area_level_case("area")
 
 
 # ------------------------------------------------------------------ ad block
@@ -283,8 +306,10 @@ def ad_slice(pre: str, condition: str, threshold: int) -> tuple[str, ...]:
 
 # --------------------------------------------------------- helpers, sampling
 
-def kv_pattern_sql(field: str) -> str:
-    return f"(?:^|\\|){field}=([^\\|=]+)=*(?:\\||$)"
+def kv_field_sql(field: str) -> str:
+    """Value of a field of a ``k=v|k=v`` record: split, keep the field's part, cut its name."""
+    parts = f"[p FOR p IN string_split(record, '|') IF starts_with(p, '{field}=')]"
+    return f"nullif(substr(({parts})[1], {len(field) + 2}), '')"
 
 
 RECORD_SQL = (

@@ -76,10 +76,11 @@ def session_program(spark: SparkSession, inputs: Inputs, params: TaskParams, sin
         sink.write("session_aggr_stat", ratio, mode="append")
 
     task = F.lit(params.task_id).alias("taskid")
-    picked = S.filtered_actions(actions, sessions)
-    top = _materialize(C.top_categories(C.category_full_count(picked)), spark, "top10")
+    counts = C.counts_of_sessions(C.session_category_counts(actions), sessions)
+    counts = _materialize(counts, spark, "session_category_counts")
+    top = _materialize(C.top_categories(C.full_count_of_sessions(counts)), spark, "top10")
     sink.write("top10_category", top.select(task, *top.columns))
-    top_sessions = C.top_active_sessions(picked, top)
+    top_sessions = C.top_sessions_of_counts(counts, top)
     sink.write("top10_session", top_sessions.select(task, *top_sessions.columns))
 
     sample = SM.session_sample_hourly(sessions, params)

@@ -31,9 +31,13 @@ FILTER_VARIANTS: dict[str, TaskParams] = {
 # ------------------------------------------------------------ session block
 
 
-@register("actions_in_date_range", O.with_(O.actions_cte(P)) + " SELECT * FROM actions")
+# A range inside the days of the events, so that the filter cuts on both sides.
+TWO_WEEKS = P.with_(start_date="2024-01-08", end_date="2024-01-21")
+
+
+@register("actions_in_date_range", O.with_(O.actions_cte(TWO_WEEKS)) + " SELECT * FROM actions")
 def q_actions_in_date_range(spark, sf_dir):
-    return jobs.date_range_actions(spark, sf_dir, P)
+    return jobs.date_range_actions(spark, sf_dir, TWO_WEEKS)
 
 
 @register("session_summary", O.with_(O.actions_cte(P), O.SESSION_SUMMARY_CTE) + " SELECT * FROM summary")
@@ -57,10 +61,9 @@ for _name, _params in FILTER_VARIANTS.items():
     register(_name, O.session_base(_params) + " SELECT * FROM filtered")(_filter_query(_params))
 
 
-_BUCKETS_SQL = ",\n".join(
-    [f"count(*) FILTER (WHERE visit_length {O.bucket_sql(lo, hi)}) AS visit_length_{n}" for n, lo, hi in S.VISIT_BUCKETS]
-    + [f"count(*) FILTER (WHERE step_length {O.bucket_sql(lo, hi)}) AS step_length_{n}" for n, lo, hi in S.STEP_BUCKETS]
-)
+_BUCKETS = {f"visit_length_{n}": f"visit_length {c}" for n, c in O.VISIT_BUCKET_SQL.items()}
+_BUCKETS |= {f"step_length_{n}": f"step_length {c}" for n, c in O.STEP_BUCKET_SQL.items()}
+_BUCKETS_SQL = ",\n".join(f"count(*) FILTER (WHERE {c}) AS {n}" for n, c in _BUCKETS.items())
 _BUCKETS_CTE = f"buckets AS (SELECT count(*) AS session_count, {_BUCKETS_SQL} FROM filtered)"
 
 
@@ -73,7 +76,7 @@ def q_session_bucket_counts(spark, sf_dir):
     "session_ratio",
     O.session_base(P, _BUCKETS_CTE)
     + f" SELECT '{P.task_id}' AS taskid, session_count, "
-    + ", ".join(f"{O.ratio_sql(n, 'session_count')} AS {n}_ratio" for n in S.bucket_names())
+    + ", ".join(f"{O.ratio_sql(n, 'session_count')} AS {n}_ratio" for n in _BUCKETS)
     + " FROM buckets",
 )
 def q_session_ratio(spark, sf_dir):

@@ -1,6 +1,6 @@
-"""Registered streaming runs: the ad log of ``sf_dir`` is written as time-ordered
-files, the stream job consumes them one file per micro-batch (``availableNow``), and
-the resulting tables are returned. Where the outcome does not depend on batch
+"""Registered streaming runs: the whole ad log of ``sf_dir`` arrives in time slices; after
+each arrival the stream job is started again from its checkpoint and takes the slice as
+one micro-batch (``availableNow``). The resulting tables are returned. Where the outcome does not depend on batch
 boundaries, the oracle is the batch query over the whole input.
 """
 
@@ -11,7 +11,7 @@ from clickflow.params import DEFAULT_PARAMS, TaskParams
 from clickflow.plans import oracle_sql as O
 from clickflow.plans.registry import register
 from clickflow.streaming import ad_stream as AS
-from clickflow.streaming.sources import file_lines, write_ad_log_files
+from clickflow.streaming.sources import file_lines, slice_bounds, write_ad_log_slice
 
 # Listing threshold of the blacklist runs (see ad_queries) and of the count runs: with
 # the default of 10 nobody is listed in the provided data, so the stream's running
@@ -19,6 +19,7 @@ from clickflow.streaming.sources import file_lines, write_ad_log_files
 LISTING = DEFAULT_PARAMS.with_(ad_click_threshold=2)
 COUNTING = DEFAULT_PARAMS
 SLICES = 5
+BOUNDS = slice_bounds(COUNTING.start_date, COUNTING.end_date, SLICES)
 # Snapshot every second batch, so that the registered runs also read through snapshots.
 COMPACT_EVERY = 2
 
@@ -40,11 +41,12 @@ def run_ad_stream(spark, sf_dir: str, params: TaskParams) -> AS.AdStreamJob:
 def _run_ad_stream(spark, sf_dir: str, params: TaskParams) -> AS.AdStreamJob:
     root = shared_dir(spark, "ad_stream")
     inbox = f"{root}/input"
-    write_ad_log_files(spark, sf_dir, inbox, params.start_date, params.end_date, SLICES)
     tables = AS.AdStreamTables(f"{root}/tables")
-    query = AS.start_ad_stream(file_lines(spark, inbox, 1), tables, params, f"{root}/checkpoint",
-                               trigger={"availableNow": True}, compact_every=COMPACT_EVERY)
-    query.awaitTermination()
+    for index in range(SLICES):
+        write_ad_log_slice(spark, sf_dir, inbox, BOUNDS, index)
+        query = AS.start_ad_stream(file_lines(spark, inbox), tables, params, f"{root}/checkpoint",
+                                   trigger={"availableNow": True}, compact_every=COMPACT_EVERY)
+        query.awaitTermination()
     return AS.AdStreamJob(tables, params, COMPACT_EVERY)
 
 
@@ -52,15 +54,29 @@ def _run_ad_stream(spark, sf_dir: str, params: TaskParams) -> AS.AdStreamJob:
 def q_stream_ad_log_parse(spark, sf_dir):
     root = shared_dir(spark, "ad_parse")
     inbox = f"{root}/input"
-    write_ad_log_files(spark, sf_dir, inbox, COUNTING.start_date, COUNTING.end_date, SLICES)
     out = f"{root}/clicks"
-    q = AS.start_parse_stream(file_lines(spark, inbox, 1), out, f"{root}/checkpoint", {"availableNow": True})
-    q.awaitTermination()
+    for index in range(SLICES):
+        write_ad_log_slice(spark, sf_dir, inbox, BOUNDS, index)
+        q = AS.start_parse_stream(file_lines(spark, inbox), out, f"{root}/checkpoint", {"availableNow": True})
+        q.awaitTermination()
     return spark.read.parquet(out)
 
 
-# Rows-only: which clicks pass depends on when each user got listed (batch order).
-@register("stream_blacklist_filter", None, streaming=True)
+# A user is listed after the first slice in which a running (date, user, ad) count passes
+# the threshold; the clicks of that slice still pass, those of later slices do not.
+_SLICE_SQL = "0" + "".join(f" + (epoch_ms(ts_millis) >= TIMESTAMP '{b}')::INTEGER" for b in BOUNDS)
+BLACKLIST_FILTER_SQL = O.with_(
+    f"sliced AS (SELECT *, {_SLICE_SQL} AS slice FROM ad_click)",
+    "running AS (SELECT userid, slice, sum(count(*)) OVER (PARTITION BY date, userid, adid ORDER BY slice) AS total"
+    " FROM sliced GROUP BY date, userid, adid, slice)",
+    f"listed AS (SELECT userid, min(slice) AS slice FROM running WHERE total > {LISTING.ad_click_threshold} GROUP BY userid)",
+) + (
+    " SELECT s.ts_millis, s.date, s.province, s.city, s.userid, s.adid FROM sliced s"
+    " LEFT JOIN listed l ON s.userid = l.userid WHERE l.slice IS NULL OR s.slice <= l.slice"
+)
+
+
+@register("stream_blacklist_filter", BLACKLIST_FILTER_SQL, streaming=True)
 def q_stream_blacklist_filter(spark, sf_dir):
     job = run_ad_stream(spark, sf_dir, LISTING)
     return job.clean_clicks(spark)

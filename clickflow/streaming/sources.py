@@ -24,21 +24,28 @@ def kafka_lines(spark: SparkSession, servers: str, topic: str, starting_offsets:
     )
 
 
-def file_lines(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Text files in a folder → lines; each new file (in arrival order) is one batch."""
-    return spark.readStream.schema(AD_LOG_LINE).option("maxFilesPerTrigger", max_files_per_trigger).text(path)
+def file_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Text files in a folder → lines; a batch takes so many new files (None: all)."""
+    stream = spark.readStream.schema(AD_LOG_LINE)
+    if max_files_per_trigger is not None:
+        stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
+    return stream.text(path)
 
 
-def write_ad_log_files(spark: SparkSession, sf_dir: str, out_dir: str, start_date: str, end_date: str,
-                       slices: int = 5) -> int:
-    """Write the ad log of ``sf_dir`` as ``slices`` text files in time order (one write
-    job per slice, so file arrival order is time order). Returns the number of files."""
+def slice_bounds(start_date: str, end_date: str, slices: int) -> list[dt.datetime]:
+    """The inner borders that cut ``start_date..end_date`` into equal slices."""
     lo = dt.datetime.fromisoformat(start_date)
     hi = dt.datetime.fromisoformat(end_date) + dt.timedelta(days=1)
-    step = (hi - lo) / slices
-    bounds = [lo + step * i for i in range(slices)] + [hi]
-    for a, b in zip(bounds, bounds[1:]):
-        cond = (F.col("ts") >= F.lit(a).cast("timestamp_ntz")) & (F.col("ts") < F.lit(b).cast("timestamp_ntz"))
-        # One file per slice: a slice stands for one arrival of the log.
-        src.load_ad_log(spark, sf_dir, cond).coalesce(1).write.mode("append").text(out_dir)
-    return slices
+    return [lo + (hi - lo) / slices * i for i in range(1, slices)]
+
+
+def write_ad_log_slice(spark: SparkSession, sf_dir: str, out_dir: str, bounds: list[dt.datetime], index: int) -> None:
+    """Append one time slice of the ad log of ``sf_dir`` to ``out_dir``. The first and
+    the last slice are open, so that the slices together hold the whole log."""
+    ts = F.col("ts")
+    cond = F.lit(True)
+    if index > 0:
+        cond = cond & (ts >= F.lit(bounds[index - 1]).cast("timestamp_ntz"))
+    if index < len(bounds):
+        cond = cond & (ts < F.lit(bounds[index]).cast("timestamp_ntz"))
+    src.load_ad_log(spark, sf_dir, cond).write.mode("append").text(out_dir)

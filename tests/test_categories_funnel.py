@@ -142,3 +142,13 @@ def test_ad_lines_of_any_long_and_rejects(spark):
     clicks = parse_ad_log(lines)
     assert sorted((r.date, r.userid, r.adid) for r in clicks.collect()) == [(clicks.first().date, 1, 7), (clicks.first().date, 9000000000000000001, 7)]
     assert {r.line: r.occurrences for r in rejected_ad_lines(lines).collect()} == {None: 1, "": 1, "short line": 2, bad[0]: 1, bad[1]: 1}
+
+
+def test_sessions_are_joined_after_counting(spark):
+    sf = "/root/testdata/sf0.001"
+    from clickflow.params import DEFAULT_PARAMS
+    from clickflow.plans import jobs
+
+    plan = jobs.filtered_session_counts(spark, sf, DEFAULT_PARAMS)._jdf.queryExecution().optimizedPlan().toString()
+    top, below = plan.split("\n", 1)
+    assert "LeftSemi" in top and "Aggregate [session_id" in below.split("\n")[0]

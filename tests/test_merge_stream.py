@@ -191,3 +191,25 @@ def test_batch_of_only_listed_users(spark):
     job.process(clicks(spark, [(2, "1", "1", 5, 7)]), 1)  # everything filtered
     assert rows(job.totals(spark, "ad_user_click_count"), "userid", "click_count") == [(5, 2)]
     assert rows(job.blacklist(spark)) == [(5,)]
+
+
+def test_replace_groups_is_one_pass(spark):
+    from clickflow.sinks import merge as M
+
+    old = spark.createDataFrame([("d1", "p1", 1), ("d1", "p2", 2), (None, "p1", 3)], "date string, province string, adid long")
+    new = spark.createDataFrame([("d1", "p1", 9), (None, "p1", 8)], "date string, province string, adid long")
+    got = M.replace_groups(old, new, ["date", "province"])
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(
+        map(str, [("d1", "p1", 9), ("d1", "p2", 2), (None, "p1", 8)]))
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_time_slices_hold_the_whole_log(spark, tmp_path):
+    from clickflow.sources import testdata as src
+    from clickflow.streaming.sources import slice_bounds, write_ad_log_slice
+
+    sf = "/root/testdata/sf0.001"
+    bounds = slice_bounds("2024-01-10", "2024-01-12", 3)
+    for index in range(3):
+        write_ad_log_slice(spark, sf, str(tmp_path / "log"), bounds, index)
+    assert spark.read.text(str(tmp_path / "log")).count() == src.load_ad_log(spark, sf).count()

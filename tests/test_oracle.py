@@ -37,7 +37,7 @@ def test_registry_complete():
     assert len(QUERIES) >= 60
     missing = set(QUERIES) - set(ORACLE)
     # Only the order-dependent stream run has no oracle.
-    assert missing == {"stream_blacklist_filter"}
+    assert missing == set()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
