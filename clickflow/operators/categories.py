@@ -107,8 +107,12 @@ def session_category_counts(actions: DataFrame) -> DataFrame:
 
 
 def counts_of_sessions(counts: DataFrame, sessions: DataFrame) -> DataFrame:
-    """The counts of the sessions in ``sessions`` (those that passed the task filter)."""
-    return counts.join(sessions.select("session_id"), "session_id", "left_semi")
+    """The counts of the sessions in ``sessions`` (those that passed the task filter).
+
+    An inner join with distinct ids: a left semi join would be pushed below the counting
+    by Catalyst, which puts all actions of a hot session back into one task.
+    """
+    return counts.join(sessions.select("session_id").distinct(), "session_id")
 
 
 def full_count_of_sessions(counts: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Top-k ties, the page funnel against brute force, and the area top-3."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -150,5 +151,6 @@ def test_sessions_are_joined_after_counting(spark):
     from clickflow.plans import jobs
 
     plan = jobs.filtered_session_counts(spark, sf, DEFAULT_PARAMS)._jdf.queryExecution().optimizedPlan().toString()
-    top, below = plan.split("\n", 1)
-    assert "LeftSemi" in top and "Aggregate [session_id" in below.split("\n")[0]
+    join = re.search(r"Join Inner, \(session_id#", plan)
+    counted = re.search(r"Aggregate \[session_id#\d+, category_id#", plan)
+    assert "LeftSemi" not in plan and join and counted and join.start() < counted.start()

@@ -36,7 +36,6 @@ def _canon(cols, data):
 def test_registry_complete():
     assert len(QUERIES) >= 60
     missing = set(QUERIES) - set(ORACLE)
-    # Only the order-dependent stream run has no oracle.
     assert missing == set()
 
 
