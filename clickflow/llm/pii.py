@@ -5,8 +5,10 @@ permuted within their own format: a value of a domain of a * b values is split a
 half is shifted by a keyed hash of the other, modulo its own size. So the result is again valid, keeps its separators,
 and equal values stay equal in all documents. What fails validation is left as it is.
 
-- cards (13 to 19 digits, grouped or not): the first digit stays, the check digit is made anew;
-- North American phone numbers; social security numbers; IPv4 addresses;
+- cards (13 to 19 digits: joined, in groups of 4-4-4-4, 4-4-4-4-3, 4-6-4 or 4-6-5, or in any groups if no other digits
+  stand beside them; spaces and hyphens alike): the first digit stays, the check digit is made anew;
+- North American phone numbers, looked for before cards; with ``+1`` or brackets also those whose area code begins with 0
+  or 1, which keep such an area code; social security numbers; IPv4 addresses;
 - dates ``YYYY-MM-DD``, ``DD.MM.YYYY`` and ``MM/DD/YYYY`` of the 400 years from 1800 on;
 - e-mail addresses are not numbers: they become ``u<keyed hash>@anon.invalid``.
 
@@ -24,10 +26,16 @@ EMAIL = r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4}"
 IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
-PHONE = r"(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\)|[2-9][0-9]{2})[ .-]?[0-9]{3}[ .-][0-9]{4}"
+#: ``+1`` or brackets name a phone number whatever its area code; without them the area code must be assignable.
+PHONE = r"(?:(?:\+1[ .-]?)?\([0-9]{3}\)|\+1[ .-]?[0-9]{3}|[2-9][0-9]{2})[ .-]?[0-9]{3}[ .-][0-9]{4}"
 CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
+#: How cards are written, the usual ways first; the last one is any grouping of digits that stand alone.
+CARD_SHAPES = (
+    r"[0-9]{13,19}", r"[0-9]{4}(?:[ -][0-9]{4}){3}", r"[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}", r"[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{3}",
+    rf"(?<![0-9][ -]){CARD}(?![ -][0-9])",
+)
 #: What digits alone may be is bounded by what stands before and after them.
-ANY = rf"(?<![A-Za-z0-9._%+-]){EMAIL}|(?<![0-9.])(?:{DATE}|{IP})(?![0-9]|\.[0-9])|(?<![0-9+-])(?:{SSN}|{CARD})(?![0-9-])|(?<![0-9])(?:{PHONE})(?![0-9])"
+ANY = rf"(?<![A-Za-z0-9._%+-]){EMAIL}|(?<![0-9.])(?:{DATE}|{IP})(?![0-9]|\.[0-9])|(?<![0-9+-]){SSN}(?![0-9-])|(?<![0-9])(?:{PHONE})(?![0-9])"
 KINDS = ("email", "date", "ip", "ssn", "phone", "card")
 #: The calendar repeats after 400 years, which are 189 * 773 days.
 FIRST_DAY, DAYS_HI, DAYS_LO = "1800-01-01", 189, 773
@@ -88,6 +96,22 @@ def _power_of_ten(n: Column) -> Column:
     return F.concat(F.lit("1"), F.repeat(F.lit("0"), n)).cast("long")
 
 
+def _card_valid(digits: Column) -> Column:
+    return F.pmod(_luhn_sum(digits, 1), F.lit(10)) == 0
+
+
+def _searched(text: Column) -> Column:
+    """The pattern to search ``text`` for: ``ANY``, and the valid cards of the text word for word.
+
+    Cards are tried from every digit that starts a group, in every shape, and only valid ones enter the pattern: digits
+    that fail the check swallow nothing that stands beside them.
+    """
+    tried = F.concat(*(F.regexp_extract_all(text, F.lit(rf"(?<![0-9])(?=({shape})(?![0-9]))"), F.lit(1)) for shape in CARD_SHAPES))
+    cards = F.filter(F.array_distinct(tried), lambda m: _card_valid(_digits(m)))
+    with_cards = _let(cards, lambda c: F.when(F.size(c) > 0, F.concat(F.lit(rf"{ANY}|(?<![0-9])(?=[0-9])(?:"), F.array_join(c, "|"), F.lit(")(?![0-9])"))))
+    return F.coalesce(F.when(F.rlike(text, F.lit(r"[0-9](?:[ -]?[0-9]){12}")), with_cards), F.lit(ANY))
+
+
 def _card(m: Column, key: str) -> Column:
     d = _digits(m)
     inner = F.substring(d, F.lit(2), F.length(d) - 2)
@@ -96,15 +120,16 @@ def _card(m: Column, key: str) -> Column:
     new = feistel(inner.cast("long"), _power_of_ten(left), _power_of_ten(n - left), key, "card")
     body = F.concat(F.substring(d, 1, 1), F.lpad(new.cast("string"), n, F.lit("0")))
     checked = lambda b: F.concat(b, F.pmod(F.lit(10) - F.pmod(_luhn_sum(b, 0), F.lit(10)), F.lit(10)).cast("string"))
-    valid = F.pmod(_luhn_sum(d, 1), F.lit(10)) == 0
-    return F.when(valid & (F.length(d) >= 13), _refill(m, _let(body, checked)))
+    return F.when(_card_valid(d) & (F.length(d) >= 13), _refill(m, _let(body, checked)))
 
 
 def _phone(m: Column, key: str) -> Column:
     d = _digits(m)
-    ten = F.substring(d, F.length(d) - 9, F.lit(10))
-    new = feistel(ten.cast("long") - 2_000_000_000, 80_000, 100_000, key, "phone") + 2_000_000_000
-    return _refill(m, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), new.cast("string")))
+    ten = F.substring(d, F.length(d) - 9, F.lit(10)).cast("long")
+    # two permutations, so that an area code that is not assignable stays so and no two numbers become one
+    assignable = feistel(ten - 2_000_000_000, 80_000, 100_000, key, "phone") + 2_000_000_000
+    new = F.when(ten >= 2_000_000_000, assignable).otherwise(feistel(ten, 20_000, 100_000, key, "phone0"))
+    return _refill(m, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), F.lpad(new.cast("string"), 10, "0")))
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -154,12 +179,12 @@ def _named(m: Column, key: str) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row: ``(id_col, text_col, n_email, n_date, n_ip, n_ssn, n_phone, n_card)``, the text rewritten."""
-    text = F.col(text_col)
     # the pattern needs a digit or an at sign: other texts are not searched
-    some = F.rlike(text, F.lit("[0-9@]"))
-    found = F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("t"), F.transform(found, lambda m: _named(m, key)).alias("hits"))
-    between = F.split("t", ANY, -1)
+    some = F.rlike(F.col("t"), F.lit("[0-9@]"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn("pattern", F.when(some, _searched(F.col("t"))))
+    found = F.when(some, F.regexp_extract_all("t", F.col("pattern"), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    rows = rows.select("id", "t", "pattern", F.transform(found, lambda m: _named(m, key)).alias("hits"))
+    between = F.split("t", F.col("pattern"), -1)
     values = F.concat(F.transform("hits", lambda h: h["value"]), F.array(F.lit("")))
     joined = F.concat_ws("", F.flatten(F.zip_with(between, values, lambda p, v: F.array(p, v))))
     counts = {f"n_{k}": F.size(F.filter("hits", lambda h: h["kind"] == k)).cast("long") for k in KINDS}

@@ -192,6 +192,27 @@ def test_pseudonyms_are_valid_linked_and_reversible(spark):
     assert undo(number, 65536, 65536, "ip") == (61 << 24) + (131 << 16) + (143 << 8) + 218
 
 
+def test_pseudonyms_beside_other_digits(spark):
+    joined, grouped, amex, phone = "4111111111111111", "4111 1111 1111 1111", "3782-822463-10005", "415-555-0100"
+    cases = [
+        (joined, (0, 1)), ("call 555-123-4567 90210", (1, 0)), (f"1 {joined}", (0, 1)), (f"{joined} 123", (0, 1)), (f"12 {grouped}", (0, 1)),
+        (f"12-{grouped.replace(' ', '-')}-9", (0, 1)), (f"{phone} {grouped}", (1, 1)), (f"1234 {grouped}", (0, 1)), (f"{amex} {joined}", (0, 2)),
+        ("4111 1111 1111 1112 5", (0, 0)), ("41111111 11111111", (0, 1)), ("+1 (017) 555-7713", (1, 0)), ("+1 (117) 555-7713", (1, 0)), ("017-555-7713", (0, 0)),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)] + [(99, phone)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.pseudonymise(docs, "k").collect()}
+    for i, (t, counts) in enumerate(cases):
+        assert (rows[i].n_phone, rows[i].n_card) == counts, t
+        assert re.sub("[0-9]", "0", rows[i].text) == re.sub("[0-9]", "0", t)
+        assert (rows[i].text == t) == (counts == (0, 0)), t
+    # the value found beside other digits is the value found alone
+    card = rows[0].text
+    assert rows[2].text == f"1 {card}" and rows[3].text == f"{card} 123" and rows[8].text.endswith(card)
+    for i, before, after in ((4, "12 ", ""), (5, "12-", "-9"), (6, rows[99].text + " ", ""), (7, "1234 ", ""), (10, "", "")):
+        assert re.sub("[ -]", "", rows[i].text) == re.sub("[ -]", "", before) + card + re.sub("[ -]", "", after)
+    assert all(re.fullmatch(r"\+1 \([01]\d\d\) \d{3}-\d{4}", rows[i].text) for i in (11, 12)) and rows[11].text != rows[12].text
+
+
 def test_mixing_deviates_by_less_than_one_block(spark):
     weights = {"a": 7, "b": 3, "c": 2, "other": 5}
     total = sum(weights.values())
