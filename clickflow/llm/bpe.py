@@ -133,10 +133,15 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row: ``(id_col, n_tokens, ids array<int>, exact)``; exact: decoding gives the text again."""
+def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each row, in their order: ``(id_col, n_tokens, ids array<int>, exact)`` and the columns of ``keep``.
+
+    exact: decoding gives the text again.
+    """
     small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
+    kept = [f"k{i}" for i in range(len(keep))]
+    types = "".join(f", {k} {docs.schema[c].dataType.simpleString()}" for k, c in zip(kept, keep))
 
     def run(batches):
         v = vocabulary(path)
@@ -146,12 +151,12 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 ids = [v.encode(t) for t in texts]
                 exact = [v.decode(x) == t for x, t in zip(ids, texts)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(exact, pa.bool_())],
-                    names=["id", "n_tokens", "ids", "exact"],
+                    [part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(exact, pa.bool_()), *part.columns[2:]],
+                    names=["id", "n_tokens", "ids", "exact", *kept],
                 )
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {id_type}, n_tokens long, ids array<int>, exact boolean").withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(k) for k, c in zip(kept, keep)))
+    return rows.mapInArrow(run, f"id {id_type}, n_tokens long, ids array<int>, exact boolean{types}").toDF(id_col, "n_tokens", "ids", "exact", *keep)
 
 
 def decoded(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -4,7 +4,8 @@
 2. lines: lines of recurring templates go from documents that have other text too;
 3. near_dedup: of each group of near-duplicates (five-word shingles, similarity 0.8) the smallest id stays;
 4. mixing: the rows are put in the order of the target weights of their sources; none is lost;
-5. tokens: texts become token ids, and decoding is checked against the text.
+5. tokens: texts become token ids, and decoding is checked against the text. A written table has no order of its own, so
+   the rows carry their place in the mix as ``mix_group``, ``slot`` and ``place``, and come sorted by ``slot, place``.
 
 All stages but the last return the columns of ``documents``. Null and empty texts pass: they hold nothing to judge.
 Edge cases are those of the operators' docstrings.
@@ -45,7 +46,11 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encoded(docs, bpe.default_vocabulary())
+    # places follow from the ids and sources alone, so they are those of the mixing stage
+    placed = mixing.mix(docs.select("doc_id", "source", "text"), TARGET, other_weight=OTHER_TARGET)
+    placed = placed.select("doc_id", "text", F.col("__group").alias("mix_group"), F.col("__slot").alias("slot"), F.col("__place").alias("place"))
+    # sorted before encoding: a sort samples its input, which would encode the texts twice
+    return bpe.encoded(placed.orderBy("slot", "place"), bpe.default_vocabulary(), keep=("mix_group", "slot", "place"))
 
 
 STAGES = [

@@ -321,3 +321,27 @@ def test_pipeline_stages(spark):
     # of each near-duplicate group that reached the third stage one document is left
     left = [r.text for r in docs.orderBy("doc_id").collect()]
     assert all(k for _, _, k in brute_groups(left, 5).values())
+
+
+def test_pipeline_tokens_carry_the_mix(spark, tmp_path):
+    import corpus_pipeline as p
+
+    sources = [*queries.TARGET, "elsewhere", None]
+    docs = [(i, f"text {i}", sources[i * i % 11 % len(sources)]) for i in range(3000)]
+    # several files, whose order is not that of the mix
+    spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(5).write.parquet(f"{tmp_path}/docs")
+    tokens = p.as_tokens(spark, spark.read.parquet(f"{tmp_path}/docs"), SF).collect()
+    weights = queries.TARGET | {"other": queries.OTHER_TARGET}
+    total = sum(weights.values())
+    waiting = {g: [] for g in weights}
+    for i, _, s in sorted(docs, key=lambda d: hashlib.md5(str(d[0]).encode()).hexdigest()):
+        waiting[s if s in queries.TARGET else "other"].append(i)
+    # earliest deadline first, slot by slot; a source that has run out leaves its slots empty
+    want, sent, slot = [], dict.fromkeys(weights, 0), 0
+    while len(want) < len(docs):
+        _, g = min((-(-(sent[g] + 1) * total // w), g) for g, w in weights.items() if sent[g] * total // w <= slot)
+        block = waiting[g][sent[g] * mixing.BLOCK :][: mixing.BLOCK]
+        want += [(i, g, slot, at) for at, i in enumerate(block)]
+        sent[g], slot = sent[g] + 1, slot + 1
+    assert [(t.doc_id, t.mix_group, t.slot, t.place) for t in tokens] == want
+    assert all(t.exact and t.n_tokens == len(t.ids) for t in tokens)
