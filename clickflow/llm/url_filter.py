@@ -1,11 +1,14 @@
 """URL filter: host and path rules, with block decisions carried over redirect and canonical-link edges.
 
 DataFrame functions only. A url's own rule decides first (the longest that fits), so an explicit allow always holds.
-A url without a rule is blocked if any url of its component of aliases is blocked by a rule, and allowed otherwise.
+A url without a rule is blocked if any url of its component of aliases is blocked by a rule, and allowed otherwise; the
+urls that pages name count whether they are rows themselves or not.
 
 Alias edges: a url and what its page names by ``<link rel="canonical">`` or a ``refresh`` meta redirect, and a url and
 its canonical form (scheme, fragment, tracking parameters, a trailing slash and ``.html`` dropped, the host lower-cased
-and without ``www.`` or ``m.``). A component is a connected component over the 128-bit hashes of these strings.
+and without ``www.`` or ``m.``). A component is a connected component over the 128-bit hashes of these strings. What a page
+names is first resolved against the page's url (other host, path from the root, relative path with dot segments, query
+or fragment alone); a target of a scheme without ``://``, like ``mailto:``, leads to no page.
 
 A null url, or one without ``://``, has empty host and path, no rule and no aliases, and is allowed. Repeated rows give
 repeated results.
@@ -57,19 +60,50 @@ def canonical_form(url: Column) -> Column:
     return F.concat(host, tail)
 
 
+def resolved(target: Column, url: Column) -> Column:
+    """The url that ``target`` names on the page ``url``, which has a scheme; null if it names no page."""
+    scheme, site = F.regexp_extract(url, r"^([^:]*:)//", 1), F.regexp_extract(url, r"^([^:]*://[^/?#]*)", 1)
+    page = F.regexp_extract(url, r"^([^?#]*)", 1)
+    folder = F.regexp_extract(url, r"^[^:]*://[^/?#]*((?:[^?#]*/)?)", 1)
+    path = F.when(F.startswith(target, F.lit("/")), target).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), target))
+    steps = F.split(F.regexp_extract(path, r"^([^?#]*)", 1), "/", -1)
+    # the first step is the empty one before the root; there is nothing above it
+    up = lambda at: F.slice(at, F.lit(1), F.greatest(F.size(at) - 1, F.lit(1)))
+    walked = F.aggregate(steps, F.array().cast("array<string>"), lambda at, x: F.when(x == "..", up(at)).when(x == ".", at).otherwise(F.concat(at, F.array(x))))
+    ends = F.when(F.element_at(steps, -1).isin(".", "..") | (F.size(walked) < 2), F.lit("/")).otherwise(F.lit(""))
+    dotted = F.rlike(path, F.lit(r"^[^?#]*/\.\.?(?:[/?#]|$)"))
+    path = F.when(dotted, F.concat(F.array_join(walked, "/"), ends, F.regexp_extract(path, r"^[^?#]*(.*)$", 1))).otherwise(path)
+    return (
+        F.when(F.rlike(target, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*://")), target)
+        .when(F.rlike(target, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*:")), F.lit(None).cast("string"))
+        .when(F.startswith(target, F.lit("//")), F.concat(scheme, target))
+        .when(F.startswith(target, F.lit("?")), F.concat(page, target))
+        .when(F.startswith(target, F.lit("#")), F.regexp_extract(url, r"^([^#]*)", 1))
+        .otherwise(F.concat(site, path))
+    )
+
+
+def named_targets(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``(url, to)``: the urls that pages name as canonical or redirect to."""
+    html = F.col("html")
+    link = F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1)
+    meta = F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TARGET, 1)
+    # a page without either tag is found by one pass over its text
+    tagged = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).where((F.instr("url", "://") > 0) & html.rlike(r"(?i)canonical|refresh"))
+    rows = tagged.select("url", F.explode(F.array(link, meta)).alias("to")).where("to != ''")
+    return rows.select("url", resolved(F.col("to"), F.col("url")).alias("to")).where("to IS NOT NULL")
+
+
+def _form_node(url: Column) -> Column:
+    return F.md5(F.concat(F.lit("c:"), canonical_form(url)))
+
+
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(src, dst)`` hashes of urls that lead to the same page."""
-    url = F.col(url_col)
-    # a page without either tag is found by one pass over its text
-    tagged = F.col(html_col).rlike(r"(?i)canonical|refresh")
-    link = F.when(tagged, F.regexp_extract(F.regexp_extract(F.col(html_col), CANONICAL, 0), HREF, 1))
-    meta = F.when(tagged, F.regexp_extract(F.regexp_extract(F.col(html_col), REFRESH, 0), TARGET, 1))
-    named = pages.where(F.instr(url, "://") > 0).select(url.alias("url"), F.array(canonical_form(url), link, meta).alias("to"))
-    to = F.explode(F.filter("to", lambda x: x.isNotNull() & (x != "")))
-    edges = named.select("url", to.alias("to"))
+    urls = pages.select(F.col(url_col).alias("url")).where((F.instr("url", "://") > 0) & (canonical_form(F.col("url")) != ""))
     # a target is a url too: it meets others by its own canonical form
-    target = F.when(F.instr("to", "://") > 0, canonical_form(F.col("to"))).otherwise(F.col("to"))
-    return edges.select(F.md5(F.col("url")).alias("src"), F.md5(F.concat(F.lit("c:"), target)).alias("dst")).distinct()
+    both = urls.withColumn("to", F.col("url")).unionByName(named_targets(pages, url_col, html_col))
+    return both.select(F.md5(F.col("url")).alias("src"), _form_node(F.col("to")).alias("dst")).distinct()
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES) -> DataFrame:
@@ -78,7 +112,10 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     ruled = url_parts(narrow, "url").withColumn("own", fitting_rule(F.col("host"), F.col("path"), rules))
     ruled = ruled.withColumn("node", F.when(F.instr("url", "://") > 0, F.md5(F.col("url"))))
     comp = connected_components(alias_edges(pages, url_col, html_col), "src", "dst")
-    blocked = ruled.where("own.verdict = 'block'").select("node").distinct()
+    # a target has its rule by its own host and path, whether it was crawled or not
+    targets = url_parts(named_targets(pages, url_col, html_col), "to").withColumn("own", fitting_rule(F.col("host"), F.col("path"), rules))
+    targets = targets.where("own.verdict = 'block'").select(_form_node(F.col("to")).alias("node"))
+    blocked = ruled.where("own.verdict = 'block'").select("node").unionByName(targets).distinct()
     bad = comp.join(blocked, "node", "left_semi").select("component").distinct()
     aliases = comp.join(bad, "component", "left_semi").select("node", F.lit(True).alias("by_alias"))
     out = ruled.join(aliases, "node", "left").withColumn("by_alias", F.col("own").isNull() & F.coalesce("by_alias", F.lit(False)))

@@ -245,6 +245,32 @@ def test_url_rules_aliases_and_edge_cases(spark):
     }
 
 
+def test_url_targets_are_resolved_and_ruled(spark):
+    link, hop = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    base = "http://h.com/a/b/c?q=1#f"
+    names = {
+        "http://o.com/x": "http://o.com/x", "//o.com/x": "http://o.com/x", "/x?u=http://o.com/": "http://h.com/x?u=http://o.com/", "x": "http://h.com/a/b/x",
+        "../x": "http://h.com/a/x", "./x/../../y?z": "http://h.com/a/y?z", "../../../x": "http://h.com/x", "..": "http://h.com/a/", "?z": "http://h.com/a/b/c?z",
+        "#z": "http://h.com/a/b/c?q=1", "mailto:a@b.c": None, "/x/./y/..": "http://h.com/x/",
+    }
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(t, base) for t in names] + [("x", "http://h.com")], "t string, u string")
+    assert [r.r for r in df.select(url_filter.resolved(F.col("t"), F.col("u")).alias("r")).collect()] == [*names.values(), "http://h.com/x"]
+    rows = [
+        # targets that are no rows: blocked by their own rule, also when two pages meet there
+        (1, "http://a.com/1", link.format("http://spam.net/x")), (2, "http://b.com/2", hop.format("//www.spam.net/y")), (3, "http://c.com/3", link.format("http://clean.com/x")),
+        # one path on two hosts is two pages
+        (4, "http://bad.net/x", link.format("/x")), (5, "http://good.com/p", link.format("/x")), (6, "http://good.com/x", ""), (7, "http://else.com/d/p", hop.format("x")),
+        # a relative target leads to the page it names
+        (8, "http://example.com/de/1", hop.format("../fr/2")), (9, "http://example.com/fr/2", ""), (10, "http://example.com/fr/d/3", link.format("../2.html")),
+        (11, "http://bad.net/m", link.format("mailto:x")), (12, "http://good.com/m", link.format("mailto:x")),
+    ]
+    got = {r.page_id: (r.verdict, r.by_alias) for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    alias, own, clean = ("block", True), ("block", False), ("allow", False)
+    assert got == {1: alias, 2: alias, 3: clean, 4: own, 5: clean, 6: clean, 7: clean, 8: own, 9: alias, 10: alias, 11: own, 12: clean}
+
+
 def test_merkle_neighbours_edits_and_places(spark, texts):
     rows = {r.doc_id: r for r in merkle.fingerprint_edits(docs_of(spark, texts)).collect()}
     full = [t or "" for t in texts]
