@@ -11,14 +11,16 @@ tiles of at most ``TILE`` residents times ``TILE`` visitors, so a hot cell is ma
 returns one row for each vector (its links and the smallest vector it reaches there), not its pairs.
 
 Vectors that are null, empty or all zero, or hold null, NaN or infinity, rows with a null label and rows with a null id
-link with nothing; a null id's component is null. Vectors of another length than most sampled ones are compared among
-their own length only by exact equality. Repeated rows are vectors of their own, with one id.
+link with nothing; a null id's component is null. Vectors are compared with those of their own length: each length has
+an index of its own, a length of at most ``CELL`` vectors is one cell, and of length 1 all vectors of one sign link.
+Repeated rows are vectors of their own, with one id.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,6 +87,16 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times a power of two that brings it near 1, so that no square of a double overflows or vanishes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1]) if x.size else x
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = _scaled(x)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _spread(found_x: np.ndarray, found_y: np.ndarray, n: int) -> np.ndarray:
     """Smallest index that each of n points reaches over the pairs."""
     label = np.arange(n)
@@ -100,18 +112,43 @@ def _spread(found_x: np.ndarray, found_y: np.ndarray, n: int) -> np.ndarray:
     return label
 
 
-def _placed(reps: DataFrame, index: MultiIndex) -> DataFrame:
-    """Each vector with its cells: (rid, label, vec, copies, cells)."""
+def _placed(reps: DataFrame, indexes: dict[int, tuple[int, MultiIndex | None]]) -> DataFrame:
+    """Each vector with its cells: (rid, label, vec, copies, cells); a length's cells are numbered from its first one."""
 
     def run(batches):
         for batch in batches:
-            x = _matrix(batch.column(2))
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
-            cells = index.cells(x, index.visits).astype(np.int32) if len(x) else np.zeros((0, 1), np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * cells.shape[1]), pa.array(cells.ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), lists], names=["rid", "label", "vec", "copies", "cells"])
-
-    return reps.mapInArrow(run, "rid long, label long, vec array<float>, copies long, cells array<int>")
+            lengths = np.array(pc.list_value_length(batch.column(2)), np.int64)
+            for width in np.unique(lengths):
+                part = batch.take(pa.array(np.flatnonzero(lengths == width)))
+                first, index = indexes[int(width)]
+                cells = np.zeros((len(part), 1), np.int64) if index is None else index.cells(_unit(_matrix(part.column(2))), index.visits)
+                cells = (cells + first).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * cells.shape[1]), pa.array(cells.ravel()))
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(4)), lists], names=["rid", "label", "vec", "copies", "cells"])
+
+    return reps.mapInArrow(run, f"rid long, label long, vec {reps.schema['vec'].dataType.simpleString()}, copies long, cells array<int>")
+
+
+def _indexes(classes: DataFrame, cosine: float) -> dict[int, tuple[int, MultiIndex | None]]:
+    """Of each length from 2 on its first cell and its index, which is null where one cell holds all."""
+    out, first = {}, 0
+    for width, count in sorted(classes.groupBy(F.size("vec")).count().where("count > 1").collect()):
+        if width < 2:
+            continue
+        index = None
+        if count > CELL:
+            sample = classes.where(F.size("vec") == width).orderBy(F.xxhash64("rid"), "rid", "label", "h1").limit(SAMPLE).select("vec").toArrow()["vec"]
+            index = MultiIndex(_unit(_matrix(sample)), count, cosine)
+        out[width] = first, index
+        first += index.k**2 if index else 1
+    return out
+
+
+def _signed(classes: DataFrame) -> DataFrame:
+    """(rid, root, links) of the vectors of length 1: the cosine of two of them is 1 or -1."""
+    ones = classes.where(F.size("vec") == 1).select("rid", "label", "copies", (F.col("vec")[0] > 0).alias("up"))
+    groups = ones.groupBy("label", "up").agg(F.min("rid").alias("root"), F.sum("copies").alias("all"))
+    return ones.join(groups, ["label", "up"]).select("rid", "root", (F.col("all") - F.col("copies")).alias("links")).where("links > 0")
 
 
 def _links(placed: DataFrame, cosine: float) -> DataFrame:
@@ -131,7 +168,7 @@ def _links(placed: DataFrame, cosine: float) -> DataFrame:
             q, r = np.flatnonzero(asks), np.flatnonzero(~asks)
             if not len(q) or not len(r):
                 continue
-            vec, cells, copies = _matrix(g["vec"]), _matrix(g["cells"]).astype(np.int64), g["copies"].to_numpy()
+            vec, cells, copies = _scaled(_matrix(g["vec"])), _matrix(g["cells"]).astype(np.int64), g["copies"].to_numpy()
             norm = np.linalg.norm(vec, axis=1)
             i, j = np.nonzero((vec[q] @ vec[r].T) / np.outer(norm[q], norm[r]) >= cosine)
             i, j = q[i], r[j]
@@ -156,7 +193,9 @@ def _links(placed: DataFrame, cosine: float) -> DataFrame:
 def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.98) -> DataFrame:
     """One row for each row: ``(id_col, n_links, component_id, kept)``."""
     v, finite = F.col("vec"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vec"), F.col(label_col).cast("long").alias("label"))
+    # floats stay floats, all else is compared as doubles
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("vec"), F.col(label_col).cast("long").alias("label"))
     sound = v.isNotNull() & (F.size(v) > 0) & F.forall(v, finite) & F.exists(v, lambda x: x != 0)
     sound = F.coalesce(sound, F.lit(False)) & F.col("label").isNotNull() & F.col("id").isNotNull()
     small_batches(vectors.sparkSession)
@@ -164,22 +203,18 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     good = keyed.where("ok")
     classes = good.groupBy("label", "h1", "h2").agg(F.min("id").alias("rid"), F.count("*").alias("copies"), F.any_value("vec").alias("vec"))
     classes = table(classes)
-    sample = classes.orderBy(F.xxhash64("rid"), "rid", "label", "h1").limit(SAMPLE).select("vec").toArrow()["vec"]
-    lengths = np.array([len(x) for x in sample], np.int64)
-    edges, found = None, None
-    if len(lengths) and (width := int(np.bincount(lengths).argmax())) >= 2:
-        x = _matrix(sample.filter(pa.array(lengths == width)))
-        index = MultiIndex(x / np.linalg.norm(x, axis=1, keepdims=True), classes.count(), cosine)
-        placed = _placed(classes.where(F.size("vec") == width).select("rid", "label", "vec", "copies"), index)
-        found = cut(_links(placed, cosine))
-        edges = found.where("rid != root").select("rid", "root").distinct()
-        found = found.groupBy("rid").agg(F.sum("links").alias("links"))
+    indexes = _indexes(classes, cosine)
+    signed = _signed(classes)
+    found = signed
+    if indexes:
+        placed = _placed(classes.where(F.size("vec").isin(*indexes)).select("rid", "label", "vec", "copies"), indexes)
+        found = _links(placed, cosine).unionByName(signed)
+    found = cut(found)
+    edges = found.where("rid != root").select("rid", "root").distinct()
+    found = found.groupBy("rid").agg(F.sum("links").alias("links"))
     classes = classes.select("label", "h1", "h2", "rid", "copies")
-    if edges is not None:
-        comp = connected_components(edges, "rid", "root").select(F.col("node").alias("rid"), "component")
-        classes = classes.join(found, "rid", "left").join(comp, "rid", "left")
-    else:
-        classes = classes.withColumns({"links": F.lit(0), "component": F.lit(None).cast("long")})
+    comp = connected_components(edges, "rid", "root").select(F.col("node").alias("rid"), "component")
+    classes = classes.join(found, "rid", "left").join(comp, "rid", "left")
     classes = classes.select("label", "h1", "h2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.coalesce("component", "rid").alias("comp"), F.lit(True).alias("ok"))
     out = keyed.select("id", "label", "h1", "h2", "ok").join(classes, ["label", "h1", "h2", "ok"], "left")
     comp = F.coalesce("comp", "id")

@@ -320,6 +320,31 @@ def test_embeddings_are_brute_force(spark):
     assert embed_dedup.near_embeddings(empty).count() == 0
 
 
+def test_embeddings_of_several_lengths(spark):
+    rng = np.random.default_rng(8)
+    vectors = []
+    for width, n in ((8, 90), (5, 60), (3, 12), (2, 2)):
+        base = rng.standard_normal((n, width))
+        vectors += [*base, *(base * 2.5), *(base[: n // 2] + rng.standard_normal((n // 2, width)) * 0.05)]
+    vectors += [np.array([x]) for x in (1.0, 2.0, 2.0, -3.0, 0.5, -1e-200)] + [base[0] * 1e200, base[0] * 1e-200, np.array([1e-300, 0.0, 0.0, 0.0])]
+    # as floats these two were one vector
+    vectors += [np.array([1.0, 0, 0, 0, 0, 0, 0]), np.array([1.0, 1e-12, 0, 0, 0, 0, 0])]
+    rows = [(i, v.tolist(), int(i % 2)) for i, v in enumerate(vectors)]
+    got = {r.vec_id: r for r in embed_dedup.near_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    links = {i: set() for i, _, _ in rows}
+    unit = [(v / np.abs(v).max()) / np.linalg.norm(v / np.abs(v).max()) for v in vectors]
+    for (i, _, a), (j, _, b) in itertools.combinations(rows, 2):
+        if a == b and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.98:
+            links[i].add(j), links[j].add(i)
+    assert {len(vectors[i]) for i in links if links[i]} >= {1, 2, 3, 5, 8}
+    found = sum(got[i].n_links for i in links)
+    assert all(got[i].n_links <= len(links[i]) for i in links) and found >= 0.95 * sum(map(len, links.values()))
+    # up to 64 vectors of a length are all compared
+    for i in links:
+        if len(vectors[i]) in (1, 2, 3, 4, 7):
+            assert got[i].n_links == len(links[i]) and got[i].component_id == min(links[i] | {i})
+
+
 def test_multi_sequence_order_is_sorted():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((400, 8))
