@@ -1,10 +1,11 @@
 """Merkle fingerprints over sections, paragraphs and runs of words; DataFrame functions only.
 
 A section ends at a blank line, a paragraph at a line feed, and a leaf is a run of ``LEAF_WORDS`` words (split at
-single spaces) of one paragraph. A node's hash is the md5 of its children's hashes, so equal roots mean equal texts and
-an edit changes only the branches above it. The fingerprint is ``root:sections:leaves``, hashes cut to 8 hex digits and
-joined by commas (the root is whole); leaves stand in text order. Null counts as the empty text, whose tree has one
-empty leaf. Likeness is the Jaccard similarity of the sets of leaves (1 for equal roots).
+single spaces) of one paragraph. A node's hash is the md5 of its children's hashes, so an edit changes only the branches
+above it. The fingerprint is ``root:sections:leaves``, hashes cut to 8 hex digits and joined by commas; leaves stand in
+text order. Its root is a whole md5 of section hashes that are cut, so equal roots do not prove equal texts: a text of one
+section has one of 2**32 roots. The operator's likeness therefore uses whole hashes: it is the Jaccard similarity of the
+sets of leaves, 1 for equal ``root_of``. Null counts as the empty text, whose tree has one empty leaf.
 """
 
 from __future__ import annotations
@@ -22,21 +23,27 @@ def _short(x: Column) -> Column:
 
 def _leaves(words: Column) -> Column:
     at = F.sequence(F.lit(1), F.size(words), F.lit(LEAF_WORDS))
-    return F.transform(at, lambda i: _short(F.concat_ws(" ", F.slice(words, i, LEAF_WORDS))))
+    return F.transform(at, lambda i: F.md5(F.concat_ws(" ", F.slice(words, i, LEAF_WORDS))))
 
 
 def tree(text: Column) -> Column:
-    """Sections of paragraphs of leaf hashes."""
+    """Sections of paragraphs of whole leaf hashes."""
     sections = F.split(F.coalesce(text, F.lit("")), "\n\n", -1)
     # words are split once, outside the function that cuts them to leaves
     words = F.transform(sections, lambda s: F.transform(F.split(s, "\n", -1), lambda p: F.split(p, " ", -1)))
     return F.transform(words, lambda s: F.transform(s, _leaves))
 
 
+def root_of(tree: Column) -> Column:
+    """The root over whole hashes: equal for equal texts, and for others only if md5 collides."""
+    return F.md5(F.concat_ws(",", F.transform(tree, lambda s: F.md5(F.concat_ws(",", F.transform(s, lambda p: F.md5(F.concat_ws(",", p))))))))
+
+
 def fingerprint_of(tree: Column) -> Column:
-    section_hashes = F.transform(tree, lambda s: _short(F.concat_ws(",", F.transform(s, lambda p: _short(F.concat_ws(",", p))))))
+    cut = lambda hashes: F.concat_ws(",", F.transform(hashes, lambda h: F.substring(h, 1, 8)))
+    section_hashes = F.transform(tree, lambda s: _short(F.concat_ws(",", F.transform(s, lambda p: _short(cut(p))))))
     sections = F.concat_ws(",", section_hashes)
-    return F.concat(F.md5(sections), F.lit(":"), sections, F.lit(":"), F.concat_ws(",", F.flatten(F.flatten(tree))))
+    return F.concat(F.md5(sections), F.lit(":"), sections, F.lit(":"), cut(F.flatten(F.flatten(tree))))
 
 
 def leaves_of(fingerprint: Column) -> Column:
@@ -44,11 +51,18 @@ def leaves_of(fingerprint: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Likeness of two fingerprints, 0 to 1."""
+    """Likeness of two fingerprints, 0 to 1, by the cut hashes they hold."""
     shared = F.size(F.array_intersect(leaves_of(a), leaves_of(b)))
     return F.when(a == b, F.lit(1.0)).otherwise(shared / F.size(F.array_union(leaves_of(a), leaves_of(b))))
 
 
+def tree_likeness(a: Column, b: Column) -> Column:
+    """Likeness of two trees by whole hashes, 0 to 1."""
+    of_a, of_b = F.flatten(F.flatten(a)), F.flatten(F.flatten(b))
+    shared = F.size(F.array_intersect(of_a, of_b))
+    return F.when(root_of(a) == root_of(b), F.lit(1.0)).otherwise(shared / F.size(F.array_union(of_a, of_b)))
+
+
 def differing_leaves(a: Column, b: Column) -> Column:
     """Where two texts differ: the positions (from 0) of leaves of ``a`` that ``b`` doesn't hold."""
     other = leaves_of(b)
@@ -94,17 +108,18 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Edited: the last floor(n_chars / 3) code points give way to as many (or all) from the start of the next document by
     descending id. One row for each row.
     """
-    rows = with_next(docs, id_col, text_col, {"fp": fingerprint_of(tree(F.col("text")))})
+    rows = with_next(docs, id_col, text_col, {})
     text, following = F.coalesce("text", F.lit("")), F.coalesce("next_text", F.lit(""))
     rows = rows.withColumn("n", F.length(text)).withColumn("k", F.floor(F.col("n") / 3).cast("int"))
     edited = F.concat(F.substring(text, F.lit(1), F.col("n") - F.col("k")), F.substring(following, F.lit(1), F.col("k")))
-    rows = rows.withColumn("edited", edited).withColumn("edited_fp", fingerprint_of(tree(F.col("edited"))))
+    rows = rows.withColumn("edited", edited)
+    rows = rows.withColumns({"tree": tree(F.col("text")), "edited_tree": tree(F.col("edited")), "next_tree": tree(F.col("next_text"))})
     return rows.select(
         F.col("id").alias(id_col),
         F.col("n").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        F.col("fp").alias("fingerprint"),
-        F.col("edited_fp").alias("edited_fingerprint"),
-        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
-        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        fingerprint_of(F.col("tree")).alias("fingerprint"),
+        fingerprint_of(F.col("edited_tree")).alias("edited_fingerprint"),
+        tree_likeness(F.col("tree"), F.col("edited_tree")).alias("near_edited"),
+        tree_likeness(F.col("tree"), F.col("next_tree")).alias("near_next"),
     )

@@ -295,6 +295,19 @@ def test_merkle_neighbours_edits_and_places(spark, texts):
     assert again == rows
 
 
+def test_merkle_likeness_survives_short_collisions(spark):
+    seen, pair = {}, None
+    for i in itertools.count():
+        short = hashlib.md5(f"text {i}".encode()).hexdigest()[:8]
+        if (j := seen.setdefault(short, i)) != i:
+            pair = [f"text {j}", f"text {i}"]
+            break
+    rows = {r.doc_id: r for r in merkle.fingerprint_edits(docs_of(spark, [*pair, pair[0], pair[0]])).collect()}
+    assert rows[0].fingerprint == rows[1].fingerprint  # the listed hashes are cut
+    # the next document is the one before, and the last one for the first
+    assert [rows[i].near_next for i in range(4)] == [1.0, 0.0, 0.0, 1.0]
+
+
 def test_embeddings_are_brute_force(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((60, 8)).astype(np.float32)
