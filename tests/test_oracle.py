@@ -5,6 +5,7 @@ import math
 import duckdb
 import pytest
 
+import __spark_entry__ as entry_module
 from clickflow.plans import registry as E
 from conftest import SMOKE_DIR
 
@@ -52,7 +53,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_entry_smoke(spark):
-    df = E.entry(spark)
+    df = entry_module.entry(spark)
     out = df.collect()
     assert len(out) == 1
     assert df.columns[:2] == ["taskid", "session_count"]
