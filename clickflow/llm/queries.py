@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import bpe, embed_dedup, line_dedup, merkle, minhash, mixing, pii, quality, suffix_dedup, url_filter
+from clickflow.llm import bpe, embed_dedup, hard_negatives, line_dedup, merkle, minhash, mixing, periodic_runs, pii, quality, suffix_dedup, topk, url_filter
 from clickflow.llm.common import read
 
 #: Whole-number weights of the mix; all other sources share the last one.
@@ -58,9 +58,40 @@ def op10_multi_index_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_embeddings(read(spark, sf_dir, "embeddings"))
 
 
+def op11_rns_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").withColumn("label", moved)
+    found = hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op12_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def repeated_tail(text: Column, h: Column) -> Column:
+    """Where ``h`` ends in 0, the words with those from a on replaced by the first p of them, over and over."""
+    words, g = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), F.floor(h / 10)
+
+    def made(w: Column) -> Column:
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = lambda i: F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int")
+        return F.when(n > 0, F.concat_ws(" ", F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, place(i)))))
+
+    return F.coalesce(F.when(h % 10 == 0, F.transform(F.array(words), made)[0]), text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return periodic_runs.periodic_runs(docs.withColumn("text", repeated_tail(F.col("text"), F.crc32(F.col("doc_id").cast("string")))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_template_line_dedup, op2_redirect_url_filter, op3_subword_quality, op4_suffix_dedup, op5_bpe_round_trip,
     op6_feistel_pseudonyms, op7_minhash_near_dedup, op8_pfair_mixing, op9_merkle_fingerprint, op10_multi_index_near_dedup,
+    op11_rns_hard_negatives, op12_threshold_top_k, op13_periodic_runs,
 )}
 
 _A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -202,6 +233,58 @@ SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, v
 FROM vecs LEFT JOIN counts ON a = vec_id LEFT JOIN comps ON node = vec_id
 """
 
+_INTEGERS = """SELECT vec_id, {label} AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+_OP11 = f"""
+WITH moved AS (SELECT * REPLACE (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label) FROM embeddings),
+vecs AS (SELECT row_number() OVER () AS r, * FROM ({_INTEGERS.format(label="label").replace("FROM embeddings", "FROM moved")} AND label IS NOT NULL)),
+scored AS (SELECT a.r AS ar, b.r AS br, a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM vecs a JOIN vecs b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.v) = len(b.v)),
+positives AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, b, br) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, (row_number() OVER (PARTITION BY p.ar, p.br ORDER BY n.score DESC, n.b, n.br))::INT AS rank,
+    n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.ar = p.ar AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+_OP12 = f"""
+WITH vecs AS (SELECT row_number() OVER () AS r, * FROM ({_INTEGERS.format(label="NULL")}))
+SELECT a.vec_id AS query_id, (row_number() OVER (PARTITION BY a.r ORDER BY list_inner_product(a.v, b.v) DESC, b.vec_id, b.r))::INT AS rank,
+    b.vec_id, list_inner_product(a.v, b.v)::BIGINT AS score
+FROM vecs a JOIN vecs b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.v) = len(b.v) QUALIFY rank <= 5
+"""
+
+#: CRC-32 bit by bit; 3988292384 is its reversed polynomial.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda h, c: list_reduce(list_concat([xor(h, c)], range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+#: Every lag that a run can have, word by word; a stretch found at two lags is a run of the smaller one.
+_OP13 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(text, '[ 	-]+'), lambda x: x <> '') AS w,
+    CASE WHEN doc_id IS NOT NULL THEN {_CRC32} END AS h FROM documents),
+sized AS (SELECT r, doc_id, coalesce(w, []) AS w, coalesce(len(w), 0) AS n, CASE WHEN h % 10 = 0 THEN h // 10 END AS g FROM docs),
+tails AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM sized),
+steps AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM tails),
+texts AS (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w
+    ELSE list_transform(range(n), lambda i: w[(CASE WHEN i >= a THEN a + (i - a) % p ELSE i END) + 1]) END AS w FROM steps),
+words AS (SELECT r, n, generate_subscripts(w, 1) - 1 AS i, unnest(w) AS word FROM texts),
+grams AS (SELECT r, n, i, word, lag(word) OVER t AS w1, lag(word, 2) OVER t AS w2, lag(word, 3) OVER t AS w3, lag(word, 4) OVER t AS w4 FROM words WINDOW t AS (PARTITION BY r ORDER BY i)),
+-- the fifth and later matches of every lag; five are the least that a run has
+met AS (SELECT y.r, y.i - x.i AS lag, y.i FROM grams x JOIN grams y ON x.r = y.r AND x.word = y.word AND x.w1 = y.w1 AND x.w2 = y.w2 AND x.w3 = y.w3 AND x.w4 = y.w4
+    AND x.i < y.i AND 4 * (y.i - x.i) <= y.n),
+islands AS (SELECT r, lag, i, i - row_number() OVER (PARTITION BY r, lag ORDER BY i) AS island FROM met),
+stretches AS (SELECT r, lag, min(i) - 4 - lag AS s, max(i) - min(i) + 5 + lag AS len FROM islands GROUP BY r, lag, island),
+runs AS (SELECT r, s, len, min(lag) AS p FROM stretches WHERE len >= greatest(6, 4 * lag) GROUP BY r, s, len),
+listed AS (SELECT r, count(*) AS n, string_agg(s || ',' || len || ',' || p || chr(10), '' ORDER BY s, p) AS txt FROM runs GROUP BY r),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY len::HUGEINT * 1000000000000 // p DESC, s, p) = 1),
+gone AS (SELECT DISTINCT r, unnest(range(s + p, s + len)) AS i FROM runs),
+kept AS (SELECT words.r, string_agg(word, ' ' ORDER BY words.i) AS txt FROM words ANTI JOIN gone ON words.r = gone.r AND words.i = gone.i GROUP BY words.r)
+SELECT doc_id, coalesce(listed.n, 0) AS n_runs, s AS start, len AS length, p AS period, 1000 * len // p AS exponent_milli,
+    sha256(coalesce(listed.txt, '')) AS runs_sha256, sha256(coalesce(kept.txt, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed ON texts.r = listed.r LEFT JOIN best ON texts.r = best.r LEFT JOIN kept ON texts.r = kept.r
+"""
+
 ORACLE_SQL = {
     "op1_template_line_dedup": _OP1,
     "op2_redirect_url_filter": _OP2,
@@ -209,4 +292,7 @@ ORACLE_SQL = {
     "op8_pfair_mixing": _OP8,
     "op9_merkle_fingerprint": _OP9,
     "op10_multi_index_near_dedup": _OP10,
+    "op11_rns_hard_negatives": _OP11,
+    "op12_threshold_top_k": _OP12,
+    "op13_periodic_runs": _OP13,
 }
