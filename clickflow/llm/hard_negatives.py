@@ -110,7 +110,7 @@ def best_allowed(scores: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.nd
     return i[keep], j[keep]
 
 
-def _tiles(batches: Iterator[pa.RecordBatch], keys: int, select: Callable[[pa.Table, pa.Table, np.ndarray], Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+def _tiles(batches: Iterator[pa.RecordBatch], keys: int, select: Callable[[pa.Table, pa.Table, np.ndarray], Iterator[pa.RecordBatch]], step: int) -> Iterator[pa.RecordBatch]:
     """``select(anchors, rows, scores)`` for each tile and step of anchors; the rows come sorted by id."""
     for g in runs(batches, keys):
         anchors, rows = g.filter(g["anchor"]), g.filter(pc.invert(g["anchor"])).sort_by("id")
@@ -119,8 +119,8 @@ def _tiles(batches: Iterator[pa.RecordBatch], keys: int, select: Callable[[pa.Ta
         a, b = integers(anchors["vec"]), integers(rows["vec"])
         mods = moduli(largest_score(a, b))
         a, b = residues(a, mods), residues(b, mods)
-        for at in range(0, len(anchors), STEP):
-            yield from select(anchors.slice(at, STEP), rows, products([x[at : at + STEP] for x in a], b, mods))
+        for at in range(0, len(anchors), step):
+            yield from select(anchors.slice(at, step), rows, products([x[at : at + step] for x in a], b, mods))
 
 
 def _same_label(anchors: pa.Table, rows: pa.Table) -> np.ndarray:
@@ -144,7 +144,7 @@ def _ranked(df: DataFrame, keys: list[str], k: int) -> DataFrame:
     return df.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def _positives(rows: DataFrame, k: int) -> DataFrame:
+def _positives(rows: DataFrame, k: int, step: int) -> DataFrame:
     """(anchor_row, row, id, score) of the best k rows of each anchor's label."""
     sizes = table(rows.groupBy("label", "dim").agg(F.count("*").alias("n"), F.sum(F.col("asks").cast("long")).alias("na")).where("na > 0"))
     sizes = sizes.select("label", "dim", *(F.ceil(F.col(c) / TILE).cast("int").alias(t) for c, t in (("n", "tr"), ("na", "ta"))))
@@ -159,20 +159,20 @@ def _positives(rows: DataFrame, k: int) -> DataFrame:
         i, j = best_allowed(scores, _same_label(anchors, rows) & ~own, k)
         yield _named(NEAR, anchors["row"].take(i), rows["row"].take(j), rows["id"].take(j), scores[i, j])
 
-    found = meet.mapInArrow(lambda batches: _tiles(batches, 4, select), ", ".join(f"{c} long" for c in NEAR.split()))
+    found = meet.mapInArrow(lambda batches: _tiles(batches, 4, select, step), ", ".join(f"{c} long" for c in NEAR.split()))
     return _ranked(found, ["anchor_row"], k)
 
 
 def mine(
     vectors: DataFrame, anchors: Column, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95,
-    id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
+    id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", step: int = STEP,
 ) -> DataFrame:
     """``(anchor_id, positive_id, rank, negative_id, positive_score, negative_score)``; ``low`` and ``high`` in percent."""
     rows = numbered(vectors.where(F.col(label_col).isNotNull()), id_col, vector_col, F.col(label_col).alias("label"), F.coalesce(anchors, F.lit(False)).alias("asks"))
     count, asking = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("asks").cast("long")), F.lit(0))).first()
     tr, ta = -(-count // TILE) or 1, -(-asking // TILE) or 1
     # a positive score below 0 has no window; at most ``positives`` of them make the list of an anchor
-    pairs = _positives(rows, positives).where("score >= 0").groupBy("anchor_row").agg(F.collect_list(F.struct("row", "id", "score")).alias("wanted"))
+    pairs = _positives(rows, positives, step).where("score >= 0").groupBy("anchor_row").agg(F.collect_list(F.struct("row", "id", "score")).alias("wanted"))
     asks = rows.where("asks").join(pairs.withColumnRenamed("anchor_row", "row"), "row")
     asks = asks.select("dim", dealt(F.col("row"), ta).alias("a"), F.explode(F.sequence(F.lit(0), F.lit(tr - 1))).alias("r"), F.lit(True).alias("anchor"), "label", "row", "id", "vec", "wanted")
     lives = rows.select("dim", F.explode(F.sequence(F.lit(0), F.lit(ta - 1))).alias("a"), dealt(F.col("row"), tr).alias("r"), F.lit(False).alias("anchor"), "label", "row", "id", "vec")
@@ -188,6 +188,6 @@ def mine(
             positive = (pa.array([have[x][c] for x in i], pa.int64()) for c in ("row", "id"))
             yield _named(PAIR, anchors["row"].take(i), anchors["id"].take(i), *positive, p[i], rows["id"].take(j), scores[i, j])
 
-    found = meet.mapInArrow(lambda batches: _tiles(batches, 3, select), ", ".join(f"{c} long" for c in PAIR.split()))
+    found = meet.mapInArrow(lambda batches: _tiles(batches, 3, select, step), ", ".join(f"{c} long" for c in PAIR.split()))
     best = _ranked(found, ["anchor_row", "positive_row"], negatives)
     return best.select("anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

@@ -155,7 +155,7 @@ def _rows(ids: list, held: list[tuple[list[bytes], np.ndarray]], schema: pa.Sche
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
 
-def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """``(id_col, n_runs, start, length, period, exponent_milli, runs_sha256, collapsed_sha256)``, one row for each row.
 
     The run named is the one of most periods. ``runs_sha256`` is of the lines ``start,length,period`` of every run,
@@ -173,7 +173,7 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 ids.append(doc)
                 held.append(_numbered(text.as_py()))
                 size += len(held[-1][0])
-                if size >= CHUNK_WORDS:
+                if size >= chunk_words:
                     yield _rows(ids, held, schema)
                     ids, held, size = [], [], 0
             if ids:
