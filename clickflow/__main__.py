@@ -29,7 +29,6 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--lines-dir", help="ads: folder of log text files")
     ap.add_argument("--kafka-servers", help="ads: Kafka bootstrap servers")
     ap.add_argument("--topic", help="ads: Kafka topic")
-    ap.add_argument("--checkpoint", help="ads: query checkpoint folder (default: <out>/_checkpoint)")
     ap.add_argument("--available-now", action="store_true", help="ads: process what is there, then stop")
     args = ap.parse_args(argv)
 
@@ -42,10 +41,8 @@ def main(argv: list[str] | None = None) -> None:
         if args.kafka_servers:
             lines = kafka_lines(spark, args.kafka_servers, args.topic)
         else:
-            lines = file_lines(spark, args.lines_dir, 1)
-        trigger = {"availableNow": True} if args.available_now else None
-        query = PG.ad_program(lines, params, args.out, args.checkpoint or f"{args.out}/_checkpoint", trigger)
-        query.awaitTermination()
+            lines = file_lines(spark, args.lines_dir)
+        PG.ad_program(lines, params, args.out, rounds=1 if args.available_now else None)
         return
 
     if args.tables_dir:

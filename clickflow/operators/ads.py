@@ -20,12 +20,16 @@ FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
 
 
 def _fields(lines: DataFrame, column: str) -> DataFrame:
-    parts = F.split(F.col(column), " ", -1)
+    """Each line with its fields. The line is split once: what stands above the generator reads its column, and no filter
+    is pushed below it."""
+    split = F.split(F.col(column), " ", -1)
+    parted = lines.select(F.col(column).alias("line"), F.explode(F.array(split)).alias("parts"))
+    parts = F.col("parts")
     ts_millis = F.get(parts, 0).try_cast("bigint")
     userid, adid = (F.get(parts, i).try_cast("bigint") for i in (3, 4))
     good = ts_millis.between(FIRST_MILLIS, LAST_MILLIS) & userid.isNotNull() & adid.isNotNull()
-    return lines.select(
-        F.col(column).alias("line"),
+    return parted.select(
+        "line",
         F.when(F.coalesce(good, F.lit(False)), ts_millis).alias("ts_millis"),
         F.get(parts, 1).alias("province"),
         F.get(parts, 2).alias("city"),
@@ -38,16 +42,21 @@ def parse_ad_log(lines: DataFrame, column: str = "value") -> DataFrame:
     """``epoch_millis province city userid adid`` → typed columns.
 
     Ids and time are any Long; further fields are ignored. Lines without five fields, with an id or time that is no
-    number, or with a time outside the years 1 to 9999 are no clicks: see ``rejected_ad_lines``.
+    number, or with a time outside the years 1 to 9999 are no clicks: see ``lines_no_clicks``.
     """
     fields = _fields(lines, column).where(F.col("ts_millis").isNotNull()).drop("line")
     date = F.date_format(F.timestamp_millis(F.col("ts_millis")), DATEKEY_FORMAT)
     return fields.select("ts_millis", date.alias("date"), "province", "city", "userid", "adid")
 
 
+def lines_no_clicks(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The lines that ``parse_ad_log`` leaves out, as they are: (value)."""
+    return _fields(lines, column).where(F.col("ts_millis").isNull()).select(F.col("line").alias("value"))
+
+
 def rejected_ad_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """The lines that ``parse_ad_log`` leaves out, each with how often it occurs: (line, occurrences)."""
-    bad = _fields(lines, column).where(F.col("ts_millis").isNull())
+    bad = lines_no_clicks(lines, column).select(F.col("value").alias("line"))
     return bad.groupBy("line").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
@@ -107,22 +116,39 @@ def ad_click_trend(clicks: DataFrame) -> DataFrame:
     return keyed.groupBy("date", "hour", "minute", "adid").agg(_count())
 
 
+def named_windows(counts: DataFrame) -> DataFrame:
+    """(window, adid, click_count) with the window's ends as text."""
+    ends = (F.date_format(f"window.{end}", "yyyy-MM-dd HH:mm").alias(f"window_{end}") for end in ("start", "end"))
+    return counts.select(*ends, "adid", "click_count")
+
+
 def ad_recent_hour(clicks: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
-    """Sliding window of ``minutes`` minutes, slide 1 minute, per ad.
+    """Clicks of every ad in every window of ``minutes`` minutes, slide 1 minute, that holds one.
 
-    Counts per (minute, ad) first; only those rows fan out to the ``minutes``
-    windows that contain them, so the expansion is over aggregates, not clicks.
+    Clicks are counted by minute first. A minute's count c enters the windows that start ``minutes`` - 1 minutes before it
+    and leaves them one minute after it, so each count is two steps, +c and -c, and a window's clicks are the sum of the
+    steps up to its start. Sums run inside blocks of ``minutes`` starts: a count's two steps lie in neighbouring blocks, and
+    the later block gets what is open at its first start as a step of its own. So the network carries at most three rows
+    for each count instead of ``minutes``; the windows between two steps are filled in after it.
     """
     minute = F.expr("(ts_millis - pmod(ts_millis, 60000)) div 60000")
     per_minute = clicks.groupBy(minute.alias("m"), "adid").agg(_count())
-    fanned = per_minute.select(
-        F.explode(F.sequence(F.col("m") - (minutes - 1), F.col("m"))).alias("start_m"), "adid", "click_count"
-    )
-    per_window = fanned.groupBy("start_m", "adid").agg(F.sum("click_count").alias("click_count"))
+    first, gone, c = F.col("m") - (minutes - 1), F.col("m") + 1, F.col("click_count")
+    block = lambda at: F.floor(at / minutes)
+    step = lambda at, change: F.struct(block(at).alias("block"), at.alias("at"), change.alias("change"))
+    # the first start is the first of its block only if the second step opens the next block
+    steps = F.when(first % minutes == 0, F.array(step(first, c))).otherwise(F.array(step(first, c), step(block(gone) * minutes, c), step(gone, -c)))
+    rows = per_minute.select("adid", F.inline(steps))
+    at_once = rows.repartition("adid", "block").groupBy("adid", "block", "at").agg(F.sum("change").alias("change"))
+    inside = Window.partitionBy("adid", "block").orderBy("at")
+    so_far = F.sum("change").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = (F.col("block") + 1) * minutes
+    runs = at_once.select("adid", "at", so_far.alias("click_count"), F.coalesce(F.lead("at").over(inside), last).alias("until"))
+    starts = runs.where("click_count > 0").select("adid", "click_count", F.explode(F.sequence(F.col("at"), F.col("until") - 1)).alias("start"))
     fmt = "yyyy-MM-dd HH:mm"
-    return per_window.select(
-        F.date_format(F.timestamp_seconds(F.col("start_m") * 60), fmt).alias("window_start"),
-        F.date_format(F.timestamp_seconds((F.col("start_m") + minutes) * 60), fmt).alias("window_end"),
+    return starts.select(
+        F.date_format(F.timestamp_seconds(F.col("start") * 60), fmt).alias("window_start"),
+        F.date_format(F.timestamp_seconds((F.col("start") + minutes) * 60), fmt).alias("window_end"),
         "adid",
         "click_count",
     )

@@ -98,18 +98,19 @@ def q_ad_click_trend(spark, sf_dir):
     return AD.ad_click_trend(clean_clicks(spark, sf_dir))
 
 
-RECENT_HOUR_SQL = O.ad_base(
-    T,
-    "per_minute AS (SELECT ts_millis // 60000 AS m, adid, count(*) AS c FROM clean GROUP BY ALL)",
-    "fanned AS (SELECT m - i AS start_m, adid, c FROM per_minute CROSS JOIN range(0, 60) AS r(i))",
-) + (
-    " SELECT strftime(make_timestamp(start_m * 60000000), '%Y-%m-%d %H:%M') AS window_start,"
-    " strftime(make_timestamp((start_m + 60) * 60000000), '%Y-%m-%d %H:%M') AS window_end,"
-    " adid, CAST(sum(c) AS BIGINT) AS click_count FROM fanned GROUP BY start_m, adid"
-)
+def recent_hour_sql(threshold: int) -> str:
+    return O.ad_base(
+        threshold,
+        "per_minute AS (SELECT ts_millis // 60000 AS m, adid, count(*) AS c FROM clean GROUP BY ALL)",
+        "fanned AS (SELECT m - i AS start_m, adid, c FROM per_minute CROSS JOIN range(0, 60) AS r(i))",
+    ) + (
+        " SELECT strftime(make_timestamp(start_m * 60000000), '%Y-%m-%d %H:%M') AS window_start,"
+        " strftime(make_timestamp((start_m + 60) * 60000000), '%Y-%m-%d %H:%M') AS window_end,"
+        " adid, CAST(sum(c) AS BIGINT) AS click_count FROM fanned GROUP BY start_m, adid"
+    )
 
 
-@register("ad_recent_hour", RECENT_HOUR_SQL)
+@register("ad_recent_hour", recent_hour_sql(T))
 def q_ad_recent_hour(spark, sf_dir):
     return AD.ad_recent_hour(clean_clicks(spark, sf_dir))
 

@@ -11,7 +11,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from clickflow.config import shared_dir
 from clickflow.operators import areas as A
@@ -103,7 +102,8 @@ def area_program(spark: SparkSession, inputs: Inputs, params: TaskParams, sink:
     sink.write("area_top3_product", A.area_top3_products(info))
 
 
-def ad_program(lines: DataFrame, params: TaskParams, out_dir: str, checkpoint: str,
-               trigger: dict | None = None) -> StreamingQuery:
-    """The ad stream; its tables (blacklist, counts, top-3, trend) live under ``out_dir``."""
-    return AS.start_ad_stream(lines, AS.AdStreamTables(out_dir), params, checkpoint, trigger)
+def ad_program(lines: DataFrame, params: TaskParams, out_dir: str, rounds: int | None = None) -> AS.AdStream:
+    """The ad stream: a round every five seconds. Its tables, checkpoints and state live under ``out_dir``."""
+    stream = AS.AdStream(lines.sparkSession, out_dir, params)
+    stream.run(lines, rounds=rounds)
+    return stream

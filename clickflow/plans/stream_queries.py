@@ -1,7 +1,7 @@
-"""Registered streaming runs: the whole ad log of ``sf_dir`` arrives in time slices; after
-each arrival the stream job is started again from its checkpoint and takes the slice as
-one micro-batch (``availableNow``). The resulting tables are returned. Where the outcome does not depend on batch
-boundaries, the oracle is the batch query over the whole input.
+"""Registered streaming runs: the whole ad log of ``sf_dir`` arrives in time slices; after each arrival a round of the
+stream's hops takes what is new (``availableNow``, on the same checkpoints and state). Each key runs the hops that its
+table needs, on folders of its own. Where the outcome does not depend on batch boundaries, the oracle is the batch query
+over the whole input.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from clickflow.config import shared_dir
 from clickflow.params import DEFAULT_PARAMS, TaskParams
 from clickflow.plans import oracle_sql as O
+from clickflow.plans.ad_queries import recent_hour_sql
 from clickflow.plans.registry import register
 from clickflow.streaming import ad_stream as AS
 from clickflow.streaming.sources import file_lines, slice_bounds, write_ad_log_slice
@@ -18,36 +19,19 @@ from clickflow.streaming.sources import file_lines, slice_bounds, write_ad_log_s
 # counts must equal the batch counts over all clicks.
 LISTING = DEFAULT_PARAMS.with_(ad_click_threshold=2)
 COUNTING = DEFAULT_PARAMS
-SLICES = 5
+SLICES = 4
 BOUNDS = slice_bounds(COUNTING.start_date, COUNTING.end_date, SLICES)
-# Snapshot every second batch, so that the registered runs also read through snapshots.
-COMPACT_EVERY = 2
 
 
-# One stream run per (Spark context, input, parameters) serves every key that reads
-# its tables (the blacklist keys share one run, the counting keys another).
-_RUNS: dict[tuple, AS.AdStreamJob] = {}
-
-
-def run_ad_stream(spark, sf_dir: str, params: TaskParams) -> AS.AdStreamJob:
-    """Run the ad job over the time-ordered ad log of ``sf_dir``; returns the job,
-    whose readers give the resulting tables."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), params)
-    if key not in _RUNS:
-        _RUNS[key] = _run_ad_stream(spark, sf_dir, params)
-    return _RUNS[key]
-
-
-def _run_ad_stream(spark, sf_dir: str, params: TaskParams) -> AS.AdStreamJob:
+def run_ad_stream(spark, sf_dir: str, params: TaskParams, *hops: str) -> AS.AdStream:
+    """The rounds over the time-ordered ad log of ``sf_dir``; the stream's readers give the resulting tables."""
     root = shared_dir(spark, "ad_stream")
     inbox = f"{root}/input"
-    tables = AS.AdStreamTables(f"{root}/tables")
+    stream = AS.AdStream(spark, f"{root}/tables", params)
     for index in range(SLICES):
         write_ad_log_slice(spark, sf_dir, inbox, BOUNDS, index)
-        query = AS.start_ad_stream(file_lines(spark, inbox), tables, params, f"{root}/checkpoint",
-                                   trigger={"availableNow": True}, compact_every=COMPACT_EVERY)
-        query.awaitTermination()
-    return AS.AdStreamJob(tables, params, COMPACT_EVERY)
+        stream.round(file_lines(spark, inbox), hops)
+    return stream
 
 
 @register("stream_ad_log_parse", O.ad_base(2) + " SELECT * FROM ad_click", streaming=True)
@@ -78,31 +62,35 @@ BLACKLIST_FILTER_SQL = O.with_(
 
 @register("stream_blacklist_filter", BLACKLIST_FILTER_SQL, streaming=True)
 def q_stream_blacklist_filter(spark, sf_dir):
-    job = run_ad_stream(spark, sf_dir, LISTING)
-    return job.clean_clicks(spark)
+    return run_ad_stream(spark, sf_dir, LISTING).clean_clicks()
 
 
-# Listing is order-free: a user is listed iff some stored (date, ad) total passes the
+# Listing is order-free: a user is listed iff some (date, ad) total passes the
 # threshold, which is the batch blacklist over the whole input.
 @register("stream_blacklist_update", O.ad_base(2) + " SELECT * FROM blacklist", streaming=True)
 def q_stream_blacklist_update(spark, sf_dir):
-    job = run_ad_stream(spark, sf_dir, LISTING)
-    return job.blacklist(spark)
+    return run_ad_stream(spark, sf_dir, LISTING).blacklist()
 
 
 @register("stream_ad_city_count", O.ad_base(10) + " SELECT * FROM city_counts", streaming=True)
 def q_stream_ad_city_count(spark, sf_dir):
-    job = run_ad_stream(spark, sf_dir, COUNTING)
-    return job.totals(spark, "ad_stat")
+    return run_ad_stream(spark, sf_dir, COUNTING, "city_counts").city_counts()
 
 
 @register("stream_ad_province_top3", O.ad_base(10) + " SELECT * FROM province_top3", streaming=True)
 def q_stream_ad_province_top3(spark, sf_dir):
-    job = run_ad_stream(spark, sf_dir, COUNTING)
-    return job.province_top3(spark)
+    return run_ad_stream(spark, sf_dir, COUNTING, "province_top3").province_top3()
 
 
 @register("stream_ad_click_trend", O.ad_base(10) + " SELECT * FROM trend", streaming=True)
 def q_stream_ad_click_trend(spark, sf_dir):
-    job = run_ad_stream(spark, sf_dir, COUNTING)
-    return job.totals(spark, "ad_click_trend")
+    return run_ad_stream(spark, sf_dir, COUNTING, "trend").trend()
+
+
+# The hours that are over: those that end at the last click's time less the lateness of a minute, or earlier.
+RECENT_HOUR_SQL = recent_hour_sql(10) + " HAVING (start_m + 60) * 60000 <= (SELECT max(ts_millis) FROM clean) - 60000"
+
+
+@register("stream_ad_recent_hour", RECENT_HOUR_SQL, streaming=True)
+def q_stream_ad_recent_hour(spark, sf_dir):
+    return run_ad_stream(spark, sf_dir, COUNTING, "recent_hour").recent_hour()

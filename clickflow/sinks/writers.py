@@ -22,8 +22,11 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str], dynamic: bool = True) -> None:
-    """Overwrite only the partitions present in ``df`` (re-runs replace, never add)."""
-    writer = df.write.mode("overwrite").partitionBy(*partition_by)
+    """Overwrite only the partitions present in ``df`` (re-runs replace, never add).
+
+    Rows are rebalanced by the partition columns first: small partitions get one file, large ones several.
+    """
+    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)

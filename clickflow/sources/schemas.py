@@ -99,3 +99,11 @@ AD_CLICK_TREND = T.StructType(
         T.StructField("click_count", T.LongType()),
     ]
 )
+AD_RECENT_HOUR = T.StructType(
+    [
+        T.StructField("window_start", T.StringType()),  # yyyy-MM-dd HH:mm
+        T.StructField("window_end", T.StringType()),
+        T.StructField("adid", T.LongType()),
+        T.StructField("click_count", T.LongType()),
+    ]
+)

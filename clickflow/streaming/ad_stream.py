@@ -1,143 +1,196 @@
-"""The ad-click stream: blacklist filter and upkeep, running counts per city,
-province top-3 and the per-minute trend, maintained by one ``foreachBatch`` job.
-
-All state lives in tables under a folder of the shared checkpoint directory (see
-``delta_tables``): per-batch deltas replaced by batch id (a replayed batch never adds
-twice), periodic per-day snapshots (reads stay bounded), reads pruned to the days a
-batch touches. The blacklist is re-read at the start of every batch, so a user
-listed in batch n is filtered from batch n+1 on, as in the original job.
+"""The ad-click stream as a chain of Structured Streaming queries on Spark's own state.
+
+The log goes through three hops; each is exactly-once by Spark's checkpoints, state store and file sink:
+
+1. ``filter``: lines are parsed and freed of blacklisted users by an anti join with the blacklist table, and appended to
+   ``clean_clicks`` (file sink). ``rejects`` appends the lines that are no clicks to ``rejected_lines``.
+2. ``city_counts``, ``trend``, ``province_top3`` and ``recent_hour`` read ``clean_clicks`` as a stream and count with
+   ``groupBy`` over event-time windows. Counts live in the state store; a watermark drops the state of windows that ended
+   more than ``late`` ago, and clicks that come later than that.
+3. ``blacklist`` counts clicks by user, day and ad in the same way, and inserts users above the threshold if absent.
+
+A round runs the hops one after another over what has arrived. The blacklist is read anew at the start of every round and
+written only at its end, so a user listed in round n is filtered from round n+1 on. Nothing else is read back but the
+blacklist and the few rows of the last top-3: all counts come from the state.
+
+Results: ``clean_clicks``, ``rejected_lines`` and ``recent_hour`` are final rows. ``ad_stat`` and ``ad_click_trend`` hold the
+changed totals of each batch under its batch id (``sinks.changes``), which a replayed batch replaces.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from clickflow.functions.timefmt import DATEKEY_FORMAT
 from clickflow.operators import ads as AD
 from clickflow.params import TaskParams
-from clickflow.sinks.writers import write_partitioned
+from clickflow.sinks import changes as CH
 from clickflow.sources import schemas as SC
-from clickflow.streaming.delta_tables import DeltaTable, partition_values, path_exists
 
-COUNT_KEYS = {
-    "ad_user_click_count": (SC.AD_USER_CLICK_COUNT, ["date", "userid", "adid"]),
-    "ad_stat": (SC.AD_STAT, ["date", "province", "city", "adid"]),
-    "ad_click_trend": (SC.AD_CLICK_TREND, ["date", "hour", "minute", "adid"]),
+#: Event time behind the latest click after which a day's or minute's counts are closed, and the same for the sliding hour.
+LATE, LATE_IN_HOUR = "2 days", "1 minute"
+NOW = {"availableNow": True}
+
+#: Tables that are read before anything may have been written.
+TABLES = {
+    "clean_clicks": SC.AD_CLICK,
+    "rejected_lines": SC.AD_LOG_LINE,
+    "blacklist": CH.with_batch(SC.AD_BLACKLIST),
+    "ad_stat": CH.with_batch(SC.AD_STAT),
+    "ad_click_trend": CH.with_batch(SC.AD_CLICK_TREND),
+    "ad_province_top3": CH.with_slot(SC.AD_PROVINCE_TOP3),
+    "recent_hour": SC.AD_RECENT_HOUR,
 }
 
+STAT_KEYS = ["date", "province", "city", "adid"]
+TREND_KEYS = ["date", "hour", "minute", "adid"]
+
 
 @dataclass
-class AdStreamTables:
+class AdStream:
+    """The hops over one set of folders under ``root`` (shared storage), and the readers of their results."""
+
+    spark: SparkSession
     root: str
+    params: TaskParams
+    late: str = LATE
+    late_in_hour: str = LATE_IN_HOUR
+
+    def __post_init__(self) -> None:
+        for table, schema in TABLES.items():
+            CH.create(self.spark, self.path(table), schema)
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def _start(self, hop: str, df: DataFrame, trigger: dict, each: Callable[[DataFrame, int], None] | None = None, mode: str = "append") -> StreamingQuery:
+        writer = df.writeStream.outputMode(mode).option("checkpointLocation", f"{self.root}/_checkpoints/{hop}").trigger(**trigger)
+        if each is not None:
+            return writer.foreachBatch(each).start()
+        return writer.format("parquet").option("path", self.path(hop)).start()
+
+    # -- hop 1: parse and filter -------------------------------------------------------------------------------
+
+    def start_filter(self, lines: DataFrame, trigger: dict = NOW) -> StreamingQuery:
+        """Clicks of users who are not listed now. The blacklist is as it is when the query starts."""
+        clicks = AD.not_blacklisted(AD.parse_ad_log(lines), self.blacklist())
+        return self._start("clean_clicks", clicks.select(*SC.AD_CLICK.fieldNames()), trigger)
+
+    def start_rejects(self, lines: DataFrame, trigger: dict = NOW) -> StreamingQuery:
+        return self._start("rejected_lines", AD.lines_no_clicks(lines), trigger)
+
+    # -- hop 2: counts in Spark's state ------------------------------------------------------------------------
+
+    def _clicks(self, late: str) -> DataFrame:
+        clean = self.spark.readStream.schema(SC.AD_CLICK).parquet(self.path("clean_clicks"))
+        return clean.withColumn("at", F.timestamp_millis("ts_millis")).withWatermark("at", late)
+
+    def _daily(self, *keys: str) -> DataFrame:
+        """Running totals of a day; a batch brings those it changed."""
+        counts = self._clicks(self.late).groupBy(F.window("at", "1 day"), *keys).agg(F.count(F.lit(1)).alias("click_count"))
+        return counts.select(F.date_format("window.start", DATEKEY_FORMAT).alias("date"), *keys, "click_count")
+
+    def start_city_counts(self, trigger: dict = NOW) -> StreamingQuery:
+        counts = self._daily("province", "city", "adid")
+        return self._start("ad_stat", counts, trigger, lambda df, n: CH.write(df, n, self.path("ad_stat")), "update")
+
+    def start_trend(self, trigger: dict = NOW) -> StreamingQuery:
+        counts = self._clicks(self.late).groupBy(F.window("at", "1 minute"), "adid").agg(F.count(F.lit(1)).alias("click_count"))
+        start = F.col("window.start")
+        named = counts.select(
+            F.date_format(start, DATEKEY_FORMAT).alias("date"), F.date_format(start, "HH").alias("hour"), F.date_format(start, "mm").alias("minute"), "adid", "click_count"
+        )
+        return self._start("ad_click_trend", named, trigger, lambda df, n: CH.write(df, n, self.path("ad_click_trend")), "update")
+
+    def start_province_top3(self, trigger: dict = NOW) -> StreamingQuery:
+        return self._start("ad_province_top3", self._daily("province", "adid"), trigger, self._rank, "update")
+
+    def _rank(self, changed: DataFrame, batch_id: int) -> None:
+        """The top 3 after this batch, from the totals it changed and the top 3 before it.
+
+        Totals only grow, so an ad that is neither in the old top 3 nor changed cannot have entered it.
+        """
+        before = CH.snapshot(self.spark, self.path("ad_province_top3"), SC.AD_PROVINCE_TOP3, batch_id - 1)
+        now = changed.select(*before.columns)
+        # a changed ad may stand in both: its larger total is the new one
+        both = before.unionByName(now).groupBy("date", "province", "adid").agg(F.max("click_count").alias("click_count"))
+        CH.write_snapshot(AD.ad_province_top3(both), batch_id, self.path("ad_province_top3"))
+
+    def start_recent_hour(self, trigger: dict = NOW) -> StreamingQuery:
+        """Each sliding hour once, when it is over: clicks by minute first, then the hours that hold the minute."""
+        clicks = self._clicks(self.late_in_hour)
+        per_minute = clicks.groupBy(F.window("at", "1 minute"), "adid").agg(F.count(F.lit(1)).alias("click_count"))
+        hours = F.window(F.window_time("window"), f"{AD.WINDOW_MINUTES} minutes", "1 minute")
+        return self._start("recent_hour", AD.named_windows(per_minute.groupBy(hours, "adid").agg(F.sum("click_count").alias("click_count"))), trigger)
+
+    # -- hop 3: the blacklist ----------------------------------------------------------------------------------
+
+    def start_blacklist(self, trigger: dict = NOW) -> StreamingQuery:
+        return self._start("blacklist", self._daily("userid", "adid"), trigger, self._list_users, "update")
+
+    def _list_users(self, changed: DataFrame, batch_id: int) -> None:
+        """Insert the users above the threshold who are not there; a replayed batch inserts the same rows again."""
+        over = AD.ad_blacklist(changed, self.params.ad_click_threshold)
+        known = self._listed().where(F.col(CH.BATCH) < batch_id)
+        CH.write(over.join(known.select("userid"), "userid", "left_anti"), batch_id, self.path("blacklist"))
+
+    # -- rounds ------------------------------------------------------------------------------------------------
+
+    COUNTING = ("city_counts", "trend", "province_top3", "recent_hour")
+
+    def round(self, lines: DataFrame, hops: tuple[str, ...] = COUNTING) -> None:
+        """All that has arrived goes through the hops once. A round that failed is taken up where it stopped."""
+        first = [self.start_filter(lines), self.start_rejects(lines)]
+        _all_done(first)
+        _all_done([getattr(self, f"start_{hop}")() for hop in hops])
+        _all_done([self.start_blacklist()])
+
+    def run(self, lines: DataFrame, every_seconds: float = 5, rounds: int | None = None) -> None:
+        """Rounds every few seconds (for ever if ``rounds`` is None)."""
+        done = 0
+        while rounds is None or done < rounds:
+            began = time.monotonic()
+            self.round(lines)
+            done += 1
+            if rounds is None or done < rounds:
+                time.sleep(max(0.0, every_seconds - (time.monotonic() - began)))
+
+    # -- results -----------------------------------------------------------------------------------------------
+
+    def _listed(self) -> DataFrame:
+        return self.spark.read.schema(CH.with_batch(SC.AD_BLACKLIST)).parquet(self.path("blacklist"))
+
+    def blacklist(self) -> DataFrame:
+        return self._listed().select("userid")
+
+    def clean_clicks(self) -> DataFrame:
+        return self.spark.read.schema(SC.AD_CLICK).parquet(self.path("clean_clicks"))
+
+    def rejected_lines(self) -> DataFrame:
+        return self.spark.read.schema(SC.AD_LOG_LINE).parquet(self.path("rejected_lines"))
+
+    def city_counts(self) -> DataFrame:
+        return CH.latest(self.spark, self.path("ad_stat"), SC.AD_STAT, STAT_KEYS, "click_count")
+
+    def trend(self) -> DataFrame:
+        return CH.latest(self.spark, self.path("ad_click_trend"), SC.AD_CLICK_TREND, TREND_KEYS, "click_count")
+
+    def province_top3(self) -> DataFrame:
+        return CH.snapshot(self.spark, self.path("ad_province_top3"), SC.AD_PROVINCE_TOP3)
+
+    def recent_hour(self) -> DataFrame:
+        return self.spark.read.schema(SC.AD_RECENT_HOUR).parquet(self.path("recent_hour"))
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-
-class AdStreamJob:
-    """``foreachBatch`` body. Stateless between calls: all state is in the tables."""
-
-    def __init__(self, tables: AdStreamTables, params: TaskParams, compact_every: int = 50):
-        self.t = tables
-        self.threshold = params.ad_click_threshold
-        self.compact_every = compact_every
-        self.listed = DeltaTable(tables.path("blacklist"), SC.AD_BLACKLIST, ["userid"], every=compact_every)
-        self.counts = {
-            name: DeltaTable(tables.path(name), schema, keys, day="date", value="click_count", every=compact_every)
-            for name, (schema, keys) in COUNT_KEYS.items()
-        }
-
-    # -- readers of the current table contents ------------------------------------
-
-    def blacklist(self, spark: SparkSession, before_batch: int | None = None) -> DataFrame:
-        """Listed users; with ``before_batch`` only those listed by earlier batches (so
-        a replayed batch sees exactly what its first attempt saw)."""
-        return self.listed.current(spark, before=before_batch)
-
-    def totals(self, spark: SparkSession, name: str, dates: list[str] | None = None) -> DataFrame:
-        """Running totals of a counting table (all days, or only ``dates``)."""
-        return self.counts[name].current(spark, dates)
-
-    def latest_snapshots(self, spark: SparkSession, name: str, dates: list[str]) -> dict[str, int]:
-        """Day → batch id of its latest snapshot (days without one are absent)."""
-        table = self.counts[name]
-        out = {d: table.snapshot_id(spark, d) for d in dates}
-        return {d: u for d, u in out.items() if u >= 0}
-
-    def province_top3(self, spark: SparkSession) -> DataFrame:
-        path = self.t.path("ad_province_top3")
-        if not partition_values(spark, path, "date"):
-            return spark.createDataFrame([], SC.AD_PROVINCE_TOP3)
-        # Partition columns come last in a read; restore the table's column order.
-        top3 = spark.read.schema(SC.AD_PROVINCE_TOP3).parquet(path)
-        return top3.select(*SC.AD_PROVINCE_TOP3.fieldNames())
-
-    def clean_clicks(self, spark: SparkSession) -> DataFrame:
-        path = self.t.path("clean_clicks")
-        if not partition_values(spark, path, "batch_id"):
-            return spark.createDataFrame([], SC.AD_CLICK)
-        schema = T.StructType([*SC.AD_CLICK.fields, T.StructField("batch_id", T.LongType())])
-        return spark.read.schema(schema).parquet(path).drop("batch_id")
-
-    # -- one micro-batch -----------------------------------------------------------
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        listed_before = self.blacklist(spark, before_batch=batch_id)
-
-        # The filtered batch is written once and read back from its own folder: the
-        # written partition cuts the lineage (later writes to the blacklist folder
-        # cannot re-trigger it) and no other batch's folder is listed.
-        clean_path = self.t.path("clean_clicks")
-        clean_rows = AD.not_blacklisted(batch, listed_before)
-        bid = F.lit(batch_id).cast("bigint").alias("batch_id")
-        write_partitioned(clean_rows.select(*SC.AD_CLICK.fieldNames(), bid), clean_path, ["batch_id"])
-        batch_path = f"{clean_path}/batch_id={batch_id}"
-        if not path_exists(spark, batch_path):
-            return  # every click of the batch came from listed users: nothing to count
-        clean = spark.read.schema(SC.AD_CLICK).parquet(batch_path)
-
-        # The days of one batch: a handful of values, used for partition pruning.
-        dates = [r["date"] for r in clean.select("date").distinct().collect()]
-        if not dates:
-            return
-
-        # Blacklist upkeep: store this batch's counts, then threshold the totals of the
-        # keys it touched; only users not listed yet form this batch's delta.
-        user_delta = AD.ad_user_click_count(clean)
-        self.counts["ad_user_click_count"].write(user_delta, batch_id)
-        touched = user_delta.select("date", "userid", "adid")
-        totals = self.totals(spark, "ad_user_click_count", dates).join(touched, ["date", "userid", "adid"], "left_semi")
-        added = AD.ad_blacklist(totals, self.threshold).join(listed_before, "userid", "left_anti")
-        self.listed.write(added, batch_id)
-
-        # Running counts per (date, province, city, ad) and per (minute, ad).
-        self.counts["ad_stat"].write(AD.ad_city_count(clean), batch_id)
-        self.counts["ad_click_trend"].write(AD.ad_click_trend(clean), batch_id)
-
-        # Province top-3 of the touched days, recomputed from the running totals;
-        # whole days are replaced (every province of a day is recomputed).
-        top3 = AD.ad_province_top3(AD.ad_province_count(self.totals(spark, "ad_stat", dates)))
-        write_partitioned(top3, self.t.path("ad_province_top3"), ["date"])
-
-        if (batch_id + 1) % self.compact_every == 0:
-            for table in self.counts.values():
-                table.compact(spark, dates, batch_id)
-            self.listed.compact(spark, None, batch_id)
-
-
-def start_ad_stream(lines: DataFrame, tables: AdStreamTables, params: TaskParams, checkpoint: str,
-                    trigger: dict | None = None, compact_every: int = 50) -> StreamingQuery:
-    """Start the ad job on a stream of log lines (Kafka or files)."""
-    job = AdStreamJob(tables, params, compact_every)
-    clicks = AD.parse_ad_log(lines)
-    writer = clicks.writeStream.foreachBatch(job.process).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(**(trigger or {"processingTime": "5 seconds"}))
-    return writer.start()
+
+def _all_done(queries: list[StreamingQuery]) -> None:
+    for query in queries:
+        query.awaitTermination()
 
 
 def start_parse_stream(lines: DataFrame, out_path: str, checkpoint: str,

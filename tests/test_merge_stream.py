@@ -1,13 +1,20 @@
-"""Merge forms (properties), table sinks, and the ad stream job (replay, blacklist)."""
+"""Merge forms (properties), table sinks, and the ad stream (state, replay, expiry, blacklist)."""
+
+import datetime as dt
+import random
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from clickflow.config import shared_dir
+from clickflow.operators import ads as AD
 from clickflow.params import TaskParams
+from clickflow.plans import programs as PG
 from clickflow.sinks import merge as M
-from clickflow.sinks.writers import replace_table
-from clickflow.sources.schemas import AD_CLICK, AD_STAT
+from clickflow.sinks.writers import replace_table, write_partitioned
+from clickflow.sources.schemas import AD_STAT
 from clickflow.streaming import ad_stream as AS
+from clickflow.streaming.sources import file_lines
 from conftest import rows
 
 KEYS = ["date", "province", "city", "adid"]
@@ -50,147 +57,154 @@ def test_replace_table(spark):
     spark.sql("DROP TABLE clickflow_test_t")
 
 
-def clicks(spark, data):
-    """(millis, province, city, user, ad) → parsed clicks of 2024-01-01."""
-    return spark.createDataFrame(
-        [(1704067200000 + m, "20240101", p, c, u, a) for m, p, c, u, a in data], AD_CLICK
-    )
-
-
-def make_job(spark, threshold=2, compact_every=50):
-    tables = AS.AdStreamTables(shared_dir(spark, "tests", "ad_stream"))
-    job = AS.AdStreamJob(tables, TaskParams(ad_click_threshold=threshold), compact_every)
-    return job
-
-
-def test_replayed_batch_does_not_add_twice(spark):
-    job = make_job(spark)
-    batch = clicks(spark, [(0, "1", "1", 5, 7), (1000, "1", "1", 5, 7), (2000, "2", "2", 6, 7)])
-    job.process(batch, 0)
-    first = rows(job.totals(spark, "ad_stat"))
-    job.process(batch, 0)  # replay of the same batch id
-    assert rows(job.totals(spark, "ad_stat")) == first == [("20240101", "1", "1", 7, 2), ("20240101", "2", "2", 7, 1)]
-    assert rows(job.totals(spark, "ad_user_click_count"), "userid", "click_count") == [(5, 2), (6, 1)]
-
-
-def test_blacklisted_user_is_filtered_from_the_next_batch(spark):
-    job = make_job(spark, threshold=2)
-    job.process(clicks(spark, [(0, "1", "1", 5, 7), (1, "1", "1", 5, 7), (2, "1", "1", 5, 7)]), 0)
-    assert rows(job.blacklist(spark)) == [(5,)]
-    job.process(clicks(spark, [(60000, "1", "1", 5, 7), (60001, "1", "1", 6, 7)]), 1)
-    # User 5's count stopped at 3; user 6 was counted.
-    assert rows(job.totals(spark, "ad_user_click_count"), "userid", "click_count") == [(5, 3), (6, 1)]
-    assert rows(job.clean_clicks(spark).where(F.col("ts_millis") >= 1704067260000), "userid") == [(6,)]
-    top = rows(job.province_top3(spark))
-    assert top == [("20240101", "1", 7, 4)]
-
-
-def test_stream_restarts_from_its_checkpoint(spark):
-    """Stop after the first files, add more, restart on the same checkpoint: the
-    result equals one run over everything and no file is counted twice."""
-    from clickflow.operators import ads as AD
-    from clickflow.streaming.sources import file_lines
-
-    root = shared_dir(spark, "tests", "restart")
-    inbox, ckpt = f"{root}/input", f"{root}/checkpoint"
-    tables = AS.AdStreamTables(f"{root}/tables")
-    params = TaskParams()
-    lines = [f"{1704067200000 + i * 61000} {i % 3} {i % 3} {i % 7} {i % 4}" for i in range(60)]
-
-    def add_file(part):
-        spark.createDataFrame([(x,) for x in part], "value string").coalesce(1).write.mode("append").text(inbox)
-
-    def run():
-        q = AS.start_ad_stream(file_lines(spark, inbox, 1), tables, params, ckpt, trigger={"availableNow": True})
-        q.awaitTermination()
-
-    add_file(lines[:20])
-    add_file(lines[20:40])
-    run()
-    add_file(lines[40:])
-    run()
-    job = AS.AdStreamJob(tables, params)
-    batch = AD.ad_city_count(AD.parse_ad_log(spark.createDataFrame([(x,) for x in lines], "value string")))
-    assert rows(job.totals(spark, "ad_stat")) == rows(batch)
-    trend = AD.ad_click_trend(AD.parse_ad_log(spark.createDataFrame([(x,) for x in lines], "value string")))
-    assert rows(job.totals(spark, "ad_click_trend")) == rows(trend)
-
-
-def test_late_click_updates_its_own_day(spark):
-    """State is never expired: a click of an earlier day that arrives in a later
-    batch is added to that day's totals and that day's top-3 is recomputed."""
-    job = make_job(spark, threshold=100)
-    day1, day2 = 1704067200000, 1704153600000
-    job.process(clicks(spark, [(0, "1", "1", 5, 7), (1, "1", "1", 6, 8)]), 0)
-    late = spark.createDataFrame(
-        [(day2, "20240102", "1", "1", 5, 7), (2, "20240101", "1", "1", 9, 8), (3, "20240101", "1", "1", 9, 8)],
-        AD_CLICK,
-    )
-    job.process(late, 1)
-    assert rows(job.totals(spark, "ad_stat")) == [
-        ("20240101", "1", "1", 7, 1), ("20240101", "1", "1", 8, 3), ("20240102", "1", "1", 7, 1)
-    ]
-    assert rows(job.province_top3(spark)) == [("20240101", "1", 7, 1), ("20240101", "1", 8, 3), ("20240102", "1", 7, 1)]
-    assert day1 < day2
-
-
-def test_compaction_keeps_totals_and_bounds_reads(spark):
-    """With a snapshot every 2 batches, totals equal the plain sum of all batches,
-    reads start from the latest snapshot, and replaying a compaction batch is a no-op."""
-    job = make_job(spark, threshold=100, compact_every=2)
-    batches = [clicks(spark, [(i * 1000 + j, "1", str(j % 2), j % 3, j % 2) for j in range(5)]) for i in range(5)]
-    for i, b in enumerate(batches):
-        job.process(b, i)
-    assert job.latest_snapshots(spark, "ad_stat", ["20240101"]) == {"20240101": 3}
-    want = AS.AD.ad_city_count(batches[0].unionByName(batches[1]).unionByName(batches[2])
-                               .unionByName(batches[3]).unionByName(batches[4]))
-    assert rows(job.totals(spark, "ad_stat")) == rows(want)
-    job.process(batches[3], 3)  # replay of the batch that wrote the snapshot
-    assert rows(job.totals(spark, "ad_stat")) == rows(want)
-    # Keys are (date, userid, adid): users 0 and 1 click two ads each, once per batch.
-    assert rows(job.totals(spark, "ad_user_click_count"), "userid", "adid", "click_count") == [
-        (0, 0, 5), (0, 1, 5), (1, 0, 5), (1, 1, 5), (2, 0, 5)
-    ]
-
-
-def test_blacklist_snapshots_and_replay(spark):
-    """Listed users survive compaction; a replayed compaction batch filters with the
-    blacklist as it was before that batch."""
-    job = make_job(spark, threshold=1, compact_every=2)
-    job.process(clicks(spark, [(0, "1", "1", 5, 7), (1, "1", "1", 5, 7)]), 0)  # lists user 5
-    b1 = clicks(spark, [(2, "1", "1", 5, 7), (3, "1", "1", 6, 7), (4, "1", "1", 6, 7)])  # lists user 6
-    job.process(b1, 1)  # compaction batch
-    assert rows(job.blacklist(spark)) == [(5,), (6,)]
-    assert rows(job.blacklist(spark, before_batch=1)) == [(5,)]
-    job.process(b1, 1)  # replay: user 5 still filtered, user 6 counted again but not twice
-    assert rows(job.totals(spark, "ad_user_click_count"), "userid", "click_count") == [(5, 2), (6, 2)]
-    assert rows(job.blacklist(spark)) == [(5,), (6,)]
-
-
-def test_vacuum_bounds_the_folders_and_keeps_replays_exact(spark):
-    from clickflow.streaming.delta_tables import partition_values
-
-    job = make_job(spark, threshold=3, compact_every=2)
-    batches = [clicks(spark, [(i * 1000 + j, "1", "1", (i + j) % 4, j % 2) for j in range(3)]) for i in range(8)]
-    for i, b in enumerate(batches):
-        job.process(b, i)
-    stat = job.counts["ad_stat"]
-    day = "20240101"
-    assert sorted(int(u) for u in partition_values(spark, f"{stat.base}/date={day}", "upto")) == [5, 7]
-    assert sorted(int(g) for g in partition_values(spark, f"{stat.root}/date={day}", "gen")) == [3]
-    listed_before = rows(job.blacklist(spark, before_batch=7))
-    total = rows(job.totals(spark, "ad_user_click_count"))
-    job.process(batches[7], 7)  # replay of the last (compaction) batch after vacuum
-    assert rows(job.blacklist(spark, before_batch=7)) == listed_before
-    assert rows(job.totals(spark, "ad_user_click_count")) == total
-
-
-def test_batch_of_only_listed_users(spark):
-    job = make_job(spark, threshold=1)
-    job.process(clicks(spark, [(0, "1", "1", 5, 7), (1, "1", "1", 5, 7)]), 0)
-    job.process(clicks(spark, [(2, "1", "1", 5, 7)]), 1)  # everything filtered
-    assert rows(job.totals(spark, "ad_user_click_count"), "userid", "click_count") == [(5, 2)]
-    assert rows(job.blacklist(spark)) == [(5,)]
+DAY = 86_400_000
+NEW_YEAR = 1704067200000  # 2024-01-01
+
+
+class Feed:
+    """A stream over a folder of log files: each round takes what was added since the last one."""
+
+    def __init__(self, spark, hops=("city_counts", "province_top3"), threshold=100, **options):
+        self.spark, self.hops, self.root = spark, hops, shared_dir(spark, "tests", "feed")
+        self.stream = AS.AdStream(spark, f"{self.root}/tables", TaskParams(ad_click_threshold=threshold), **options)
+
+    def add(self, *clicks):
+        """Lines (millis after the new year, province, city, user, ad), or text as it is."""
+        lines = [c if isinstance(c, str) else " ".join(map(str, (NEW_YEAR + c[0], *c[1:]))) for c in clicks]
+        if lines:
+            self.spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(f"{self.root}/in")
+        self.stream.round(file_lines(self.spark, f"{self.root}/in"), self.hops)
+        return self.stream
+
+    def replay(self, hop):
+        """As after a crash between a hop's last batch and its commit."""
+        folder = Path(f"{self.root}/tables/_checkpoints/{hop}/commits".removeprefix("file:"))
+        last = max((f for f in folder.iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+        last.unlink()
+        (folder / f".{last.name}.crc").unlink(missing_ok=True)
+
+
+def state_of(stream, hop):
+    """The live groups of a hop, from Spark's own state store."""
+    return stream.spark.read.format("statestore").load(f"{stream.root}/_checkpoints/{hop}")
+
+
+def test_totals_run_on_in_the_state(spark):
+    feed = Feed(spark)
+    feed.add((0, 1, 1, 5, 7), (1000, 1, 1, 5, 7), (2000, 2, 2, 6, 7))
+    stream = feed.add((3000, 1, 1, 6, 7), (4000, 1, 1, 6, 8))
+    assert rows(stream.city_counts()) == [("20240101", "1", "1", 7, 3), ("20240101", "1", "1", 8, 1), ("20240101", "2", "2", 7, 1)]
+    assert rows(stream.province_top3()) == [("20240101", "1", 7, 3), ("20240101", "1", 8, 1), ("20240101", "2", 7, 1)]
+    state = state_of(stream, "ad_stat").select("key.province", "key.adid", "value.count")
+    assert rows(state) == [("1", 7, 3), ("1", 8, 1), ("2", 7, 1)]
+
+
+def test_replayed_batches_add_nothing(spark):
+    feed = Feed(spark, hops=("city_counts", "trend", "province_top3"), threshold=2)
+    feed.add(*[(i, 1, 1, 5, 7) for i in range(4)], (5, 2, 2, 6, 7))
+    stream = feed.add(*[(i, 1, 1, 6, 8) for i in range(10, 13)])
+    tables = (stream.city_counts, stream.trend, stream.province_top3, stream.blacklist, stream.clean_clicks)
+    before = [rows(t()) for t in tables]
+    assert before[0] == [("20240101", "1", "1", 7, 4), ("20240101", "1", "1", 8, 3), ("20240101", "2", "2", 7, 1)]
+    assert before[3] == [(5,), (6,)]
+    for hop in ("clean_clicks", "ad_stat", "ad_click_trend", "ad_province_top3", "blacklist"):
+        feed.replay(hop)
+    feed.add()
+    assert [rows(t()) for t in tables] == before
+    feed.add((20, 1, 1, 7, 7))
+    assert rows(stream.city_counts())[0] == ("20240101", "1", "1", 7, 5)
+
+
+def test_a_listed_user_is_filtered_from_the_next_round(spark):
+    feed = Feed(spark, threshold=2)
+    feed.add(*[(i, 1, 1, 5, 7) for i in range(4)])  # all four count: the user is listed after them
+    stream = feed.add((60_000, 1, 1, 5, 7), (60_001, 1, 1, 6, 7))
+    assert rows(stream.blacklist()) == [(5,)]
+    assert rows(stream.city_counts()) == [("20240101", "1", "1", 7, 5)]
+    assert rows(stream.clean_clicks().where(F.col("ts_millis") >= NEW_YEAR + 60_000), "userid") == [(6,)]
+    feed.add((70_000, 1, 1, 5, 7))  # nothing but clicks of listed users
+    assert rows(stream.city_counts()) == [("20240101", "1", "1", 7, 5)]
+    assert rows(stream._listed()) == [(5, 0)]  # inserted once
+
+
+def test_old_state_is_dropped_and_later_clicks_with_it(spark):
+    feed = Feed(spark, late="1 day")
+    stream = feed.add((0, 1, 1, 5, 7), (DAY, 1, 1, 5, 7))
+    live = lambda: rows(state_of(stream, "ad_stat").select(F.date_format("key.window.start", "yyyyMMdd")))
+    assert live() == [("20240101",), ("20240102",)]
+    feed.add((DAY - 1, 1, 1, 6, 7))  # a day late at most: counts
+    assert rows(stream.city_counts())[0] == ("20240101", "1", "1", 7, 2)
+    feed.add((9 * DAY, 1, 1, 5, 7))
+    assert live() == [("20240110",)]
+    feed.add((5, 1, 1, 8, 7), (9 * DAY + 1, 1, 1, 8, 7))
+    assert live() == [("20240110",)]
+    # results of closed days stay; the click that came later than the lateness is not in them
+    assert rows(stream.city_counts()) == [("20240101", "1", "1", 7, 2), ("20240102", "1", "1", 7, 1), ("20240110", "1", "1", 7, 2)]
+    assert rows(stream.province_top3()) == [("20240101", "1", 7, 2), ("20240102", "1", 7, 1), ("20240110", "1", 7, 2)]
+
+
+def test_sliding_hours_come_once_when_they_are_over(spark):
+    minute = 60_000
+    feed = Feed(spark, hops=("recent_hour",))
+    stream = feed.add((0, 1, 1, 5, 7), (1, 1, 1, 6, 7), (30 * minute, 1, 1, 5, 7))
+    first = rows(stream.recent_hour())
+    # the latest click is at 00:30, so hours that end at 00:29 or before are over
+    assert len(first) == 29 and first[0] == ("2023-12-31 23:01", "2024-01-01 00:01", 7, 2) and first[-1][1] == "2024-01-01 00:29"
+    feed.add((200 * minute, 1, 1, 5, 8))
+    got = rows(stream.recent_hour())
+    assert len(got) == len(set(got)) == 90 and set(first) < set(got)
+    clicks = [(0, 2), (30, 1)]
+    for start, _, ad, count in got:
+        at = (dt.datetime.fromisoformat(start) - dt.datetime(2024, 1, 1)) // dt.timedelta(minutes=1)
+        assert (ad, count) == (7, sum(c for m, c in clicks if at <= m < at + 60))
+
+
+def test_rejected_lines_are_kept(spark):
+    feed = Feed(spark, hops=())
+    stream = feed.add("", "x 1 1 5 7", "1 2 3", (0, 1, 1, 5, 7), f"{NEW_YEAR} 1 1 5 x")
+    feed.add("x 1 1 5 7")
+    assert rows(stream.rejected_lines()) == [("",), ("1 2 3",), (f"{NEW_YEAR} 1 1 5 x",), ("x 1 1 5 7",), ("x 1 1 5 7",)]
+    assert stream.clean_clicks().count() == 1
+
+
+def test_top3_from_changes_equals_the_whole(spark):
+    """Only changed totals reach the ranking; the result is that of all totals, with ties by ad."""
+    rng = random.Random(5)
+    feed, seen = Feed(spark, hops=("province_top3",)), []
+    for batch in range(4):
+        new = [(rng.randrange(3) * DAY, rng.randrange(2), 1, i, rng.randrange(8)) for i in range(25)]
+        seen += new
+        stream = feed.add(*new)
+        lines = spark.createDataFrame([(" ".join(map(str, (NEW_YEAR + c[0], *c[1:]))),) for c in seen], "value string")
+        want = AD.ad_province_top3(AD.ad_province_click_count(AD.parse_ad_log(lines)))
+        assert rows(stream.province_top3()) == rows(want), batch
+
+
+def test_a_stream_of_nothing(spark):
+    feed = Feed(spark, hops=AS.AdStream.COUNTING)
+    stream = feed.add("no click")
+    for table in (stream.city_counts, stream.trend, stream.province_top3, stream.blacklist, stream.clean_clicks, stream.recent_hour):
+        assert table().count() == 0
+
+
+def test_rounds_stop_and_go_on(spark):
+    """A new run over the same folders goes on where the last one stopped."""
+    root = shared_dir(spark, "tests", "rounds")
+    lines = [f"{NEW_YEAR + i * 61000} {i % 3} {i % 3} {i % 7} {i % 4}" for i in range(60)]
+    for part in (lines[:20], lines[20:]):
+        spark.createDataFrame([(x,) for x in part], "value string").write.mode("append").text(f"{root}/in")
+        stream = PG.ad_program(file_lines(spark, f"{root}/in"), TaskParams(), f"{root}/out", rounds=1)
+    clicks = AD.parse_ad_log(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert rows(stream.city_counts()) == rows(AD.ad_city_count(clicks))
+    assert rows(stream.trend()) == rows(AD.ad_click_trend(clicks))
+    assert rows(stream.province_top3()) == rows(AD.ad_province_top3(AD.ad_province_click_count(clicks)))
+
+
+def test_partitioned_writes_are_clustered(spark):
+    path = shared_dir(spark, "tests", "clustered")
+    write_partitioned(spark.range(1000, numPartitions=16).withColumn("day", F.col("id") % 3), path, ["day"])
+    for day in range(3):
+        assert len(list(Path(path.removeprefix("file:"), f"day={day}").glob("part-*"))) == 1
 
 
 def test_replace_groups_is_one_pass(spark):
