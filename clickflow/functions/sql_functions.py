@@ -1,24 +1,20 @@
-"""The two scalar helpers as SQL functions, callable from SQL text.
+"""The two scalar helpers as SQL functions, callable from SQL text over temp views.
 
 SQL functions are inlined by the analyzer (no Python, no opaque UDF). The distinct
 concatenation is an aggregate, which a SQL function cannot be: in SQL it is written
-``array_join(array_sort(collect_set(x)), ',')`` (see ``GROUP_CONCAT_DISTINCT_SQL``).
+``array_join(array_sort(collect_set(x)), ',')``.
 """
 
 from pyspark.sql import SparkSession
 
 SQL_FUNCTIONS = [
     "CREATE OR REPLACE TEMPORARY FUNCTION concat_long_string(v1 BIGINT, v2 STRING, sep STRING) "
-    "RETURNS STRING RETURN concat(CAST(v1 AS STRING), sep, v2)",
+    "RETURNS STRING RETURN concat_ws(sep, CAST(v1 AS STRING), v2)",
     "CREATE OR REPLACE TEMPORARY FUNCTION get_json_field(js STRING, field STRING) "
     "RETURNS STRING RETURN get_json_object(js, concat('$.', field))",
 ]
 
 
-def GROUP_CONCAT_DISTINCT_SQL(expr: str) -> str:  # noqa: N802 - reads as a SQL template
-    return f"array_join(array_sort(collect_set({expr})), ',')"
-
-
 def register_sql_functions(spark: SparkSession) -> None:
     for stmt in SQL_FUNCTIONS:
         spark.sql(stmt)

@@ -41,18 +41,14 @@ def comma_list(s: Column) -> Column:
     return F.split(s, ",")
 
 
-def kv_pattern(field: str, delimiter: str = "|") -> str:
-    """Regex matching the first ``field=value`` segment whose value holds no ``=``.
+def kv_get(record: Column, field: str, delimiter: str = "|") -> Column:
+    """Value of the first ``field=value`` segment whose value holds no ``=``; null if absent or empty.
 
-    Trailing ``=`` are allowed after the value (a split on ``=`` would drop them).
+    The delimiter may have several characters. Trailing ``=`` are allowed after the value (a split on ``=`` would drop them).
     """
-    d = re.escape(delimiter)
-    return f"(?:^|{d}){re.escape(field)}=([^{d}=]+)=*(?:{d}|$)"
-
-
-def kv_get(record: Column, field: str, delimiter: str = "|") -> Column:
-    """Value of ``field`` in a ``k=v|k=v`` record, null if absent or empty."""
-    return F.nullif(F.regexp_extract(record, kv_pattern(field, delimiter), 1), F.lit(""))
+    value = rf"^{re.escape(field)}=([^=]+)=*\z"
+    segments = F.split(record, re.escape(delimiter), -1)
+    return F.get(F.filter(F.transform(segments, lambda p: F.regexp_extract(p, value, 1)), lambda v: v != ""), F.lit(0))
 
 
 def kv_set(record: Column, field: str, value: Column | str, delimiter: str = "|") -> Column:

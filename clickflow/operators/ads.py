@@ -19,23 +19,23 @@ WINDOW_MINUTES = 60
 FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
 
 
-def _fields(lines: DataFrame, column: str) -> DataFrame:
-    """Each line with its fields. The line is split once: what stands above the generator reads its column, and no filter
+def _field(i: int) -> Column:
+    return F.get("parts", F.lit(i))
+
+
+def _number(i: int) -> Column:
+    return _field(i).try_cast("bigint")
+
+
+def _parted(lines: DataFrame, column: str) -> DataFrame:
+    """Each line with its parts. The line is split once: what stands above the generator reads its column, and no filter
     is pushed below it."""
-    split = F.split(F.col(column), " ", -1)
-    parted = lines.select(F.col(column).alias("line"), F.explode(F.array(split)).alias("parts"))
-    parts = F.col("parts")
-    ts_millis = F.get(parts, 0).try_cast("bigint")
-    userid, adid = (F.get(parts, i).try_cast("bigint") for i in (3, 4))
-    good = ts_millis.between(FIRST_MILLIS, LAST_MILLIS) & userid.isNotNull() & adid.isNotNull()
-    return parted.select(
-        "line",
-        F.when(F.coalesce(good, F.lit(False)), ts_millis).alias("ts_millis"),
-        F.get(parts, 1).alias("province"),
-        F.get(parts, 2).alias("city"),
-        userid.alias("userid"),
-        adid.alias("adid"),
-    )
+    return lines.select(F.col(column).alias("line"), F.explode(F.array(F.split(F.col(column), " ", -1))).alias("parts"))
+
+
+def _is_click() -> Column:
+    good = _number(0).between(FIRST_MILLIS, LAST_MILLIS) & _number(3).isNotNull() & _number(4).isNotNull()
+    return F.coalesce(good, F.lit(False))
 
 
 def parse_ad_log(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -44,14 +44,20 @@ def parse_ad_log(lines: DataFrame, column: str = "value") -> DataFrame:
     Ids and time are any Long; further fields are ignored. Lines without five fields, with an id or time that is no
     number, or with a time outside the years 1 to 9999 are no clicks: see ``lines_no_clicks``.
     """
-    fields = _fields(lines, column).where(F.col("ts_millis").isNotNull()).drop("line")
-    date = F.date_format(F.timestamp_millis(F.col("ts_millis")), DATEKEY_FORMAT)
-    return fields.select("ts_millis", date.alias("date"), "province", "city", "userid", "adid")
+    millis = _number(0)
+    return _parted(lines, column).where(_is_click()).select(
+        millis.alias("ts_millis"),
+        F.date_format(F.timestamp_millis(millis), DATEKEY_FORMAT).alias("date"),
+        _field(1).alias("province"),
+        _field(2).alias("city"),
+        _number(3).alias("userid"),
+        _number(4).alias("adid"),
+    )
 
 
 def lines_no_clicks(lines: DataFrame, column: str = "value") -> DataFrame:
     """The lines that ``parse_ad_log`` leaves out, as they are: (value)."""
-    return _fields(lines, column).where(F.col("ts_millis").isNull()).select(F.col("line").alias("value"))
+    return _parted(lines, column).where(~_is_click()).select(F.col("line").alias("value"))
 
 
 def rejected_ad_lines(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from clickflow.functions.aggregates import group_concat_distinct
 from clickflow.functions.text import concat_long_string, get_json_field
-from clickflow.operators.joins import broadcast_bounded
 from clickflow.operators.ranking import rank_within_groups
-from clickflow.sources.cities import CITY_AREA_ROWS, area_level
+from clickflow.sources.cities import area_level
 
 TOP_PRODUCTS = 3
 
@@ -20,9 +19,8 @@ def city_product_clicks(actions: DataFrame) -> DataFrame:
 
 
 def area_basic_info(clicks: DataFrame, cities: DataFrame) -> DataFrame:
-    """Clicks ⋈ city dimension (10 rows, broadcast); clicks of unknown cities drop."""
-    dim = broadcast_bounded(cities, len(CITY_AREA_ROWS))
-    return clicks.join(dim, "city_id", "inner").select(
+    """Clicks ⋈ city dimension (a literal table of 10 rows, which Spark broadcasts); clicks of unknown cities drop."""
+    return clicks.join(cities, "city_id", "inner").select(
         "city_id", "city_name", "area", F.col("click_product_id").alias("pid")
     )
 
@@ -50,8 +48,13 @@ def area_product_info(counts: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def area_products_sorted(info: DataFrame) -> DataFrame:
-    """All rows by click count descending (range-partitioned global sort)."""
-    return info.orderBy(F.desc("click_count"), F.asc("area"), F.asc("pid"))
+    """All rows by click count descending, ties by area and product, with their ``position`` in that order.
+
+    The position is computed apart from the sort (``rank_within_groups`` over one group), so the order can be checked
+    and survives a write. The sort itself is range-partitioned.
+    """
+    placed = rank_within_groups(info, [], [-F.col("click_count"), F.col("area")], "pid", "position")
+    return placed.orderBy("position")
 
 
 def _rank_window():
@@ -64,7 +67,8 @@ def area_products_ranked(info: DataFrame) -> DataFrame:
     No limit applies, so an area is ranked with ``rank_within_groups``: a large area
     is spread over many tasks instead of being sorted by one.
     """
-    return rank_within_groups(info, ["area"], [F.desc("click_count"), F.asc("pid")])
+    ranked = rank_within_groups(info, ["area"], [-F.col("click_count")], "pid")
+    return ranked.withColumn("rank", F.col("rank").cast("int"))
 
 
 def area_top3_products(info: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickflow.operators.joins import broadcast_bounded
 
 CLICK, ORDER, PAY = 1, 2, 3
 TOP_CATEGORIES = 10
@@ -88,7 +87,7 @@ def top_categories(full_count: DataFrame, n: int = TOP_CATEGORIES) -> DataFrame:
 
 def actions_in_categories(actions: DataFrame, categories: DataFrame) -> DataFrame:
     """Actions whose clicked category is in ``categories`` (a top-n list: bounded)."""
-    top = broadcast_bounded(categories.select(F.col("category_id").alias("click_category_id")), TOP_CATEGORIES)
+    top = categories.select(F.col("category_id").alias("click_category_id"))
     return actions.join(top, "click_category_id", "left_semi")
 
 
@@ -128,8 +127,7 @@ def top_sessions_of_counts(counts: DataFrame, categories: DataFrame, n: int = TO
     ``row_number() <= n`` lets Catalyst put a partial WindowGroupLimit before the
     shuffle, so each task forwards at most n sessions per category.
     """
-    top = broadcast_bounded(categories.select("category_id"), TOP_CATEGORIES)
-    per_session = counts.where(F.col("click_count") > 0).join(top, "category_id", "left_semi")
+    per_session = counts.where(F.col("click_count") > 0).join(categories.select("category_id"), "category_id", "left_semi")
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
     return (
         per_session.withColumn("rank", F.row_number().over(w))

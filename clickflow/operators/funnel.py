@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from clickflow.functions.numbers import ratio_half_up
 from clickflow.functions.timefmt import parse_time
-from clickflow.operators.joins import broadcast_bounded
 from clickflow.params import TaskParams
 from clickflow.sources.literal import local_table
 
@@ -110,7 +109,7 @@ def page_conversion_rate(actions: DataFrame, transitions: DataFrame, params: Tas
     transitions are computed once.
     """
     spark = actions.sparkSession
-    flow = broadcast_bounded(flow_pairs(spark, params), max(len(params.page_pairs), 1))
+    flow = flow_pairs(spark, params)  # a literal table, which Spark broadcasts by its known size
     on_flow = transitions.join(flow, ["from_page_id", "to_page_id"], "inner")
     as_steps = on_flow.select(
         F.inline(

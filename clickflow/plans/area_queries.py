@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clickflow.functions.sql_functions import register_sql_functions
 from clickflow.functions.text import get_json_field
 from clickflow.operators import areas as A
 from clickflow.params import DEFAULT_PARAMS
@@ -55,7 +56,30 @@ def q_area_product_info(spark, sf_dir):
     return _info(spark, sf_dir)
 
 
-@register("area_products_sorted", O.area_base(P) + " SELECT * FROM area_info ORDER BY click_count DESC, area, pid")
+# The same statistics as a user of SQL writes them: temp views and the registered functions.
+AREA_INFO_BY_SQL = """
+WITH counted AS (
+  SELECT area, click_product_id AS product_id, count(*) AS clicks,
+         collect_set(concat_long_string(city_id, city_name, ':')) AS cities
+  FROM area_clicks JOIN area_cities USING (city_id)
+  GROUP BY area, click_product_id
+)
+SELECT area, array_join(array_sort(cities), ',') AS city_infos, product_id AS pid, product_name,
+       if(get_json_field(extend_info, 'product_status') = '0', 'Self', 'Third Party') AS product_status, clicks AS click_count
+FROM counted JOIN area_products USING (product_id)
+"""
+
+
+@register("area_product_info_sql", O.area_base(P) + " SELECT * FROM area_info")
+def q_area_product_info_sql(spark, sf_dir):
+    register_sql_functions(spark)
+    A.city_product_clicks(jobs.date_range_actions(spark, sf_dir, P)).createOrReplaceTempView("area_clicks")
+    city_area_info(spark).createOrReplaceTempView("area_cities")
+    src.load_products(spark, sf_dir).createOrReplaceTempView("area_products")
+    return spark.sql(AREA_INFO_BY_SQL)
+
+
+@register("area_products_sorted", O.area_base(P) + " SELECT *, row_number() OVER (ORDER BY click_count DESC, area, pid) AS position FROM area_info")
 def q_area_products_sorted(spark, sf_dir):
     return A.area_products_sorted(_info(spark, sf_dir))
 

@@ -1,7 +1,7 @@
 """The query registry: name → (Spark callable, DuckDB oracle SQL or None).
 
-Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the whole
-tables of ``sf_dir``. Parameter variants are fixed here, next to their oracle.
+Each callable takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables
+of ``sf_dir``; only the ``stream_*`` keys run jobs (their streams) before it is read. Parameter variants are fixed here, next to their oracle.
 """
 
 from __future__ import annotations

@@ -1,7 +1,7 @@
 """Small fixed tables as SQL ``VALUES`` relations.
 
-A ``VALUES`` relation is a LocalRelation: the optimizer knows its row count, so a
-join against it can be broadcast on a proven bound (``operators.joins``), while a
+A ``VALUES`` relation is a LocalRelation: the optimizer knows its size, so it
+broadcasts it by its own size check, while a
 ``createDataFrame`` of Python rows is an opaque RDD scan of unknown size.
 """
 

@@ -111,9 +111,12 @@ def test_rank_within_groups_matches_row_number(spark):
     data = [("hot" if rnd.random() < 0.7 else f"g{rnd.randint(0, 4)}", rnd.randint(0, 5), i) for i in range(3000)]
     df = spark.createDataFrame(data, "g string, score long, id long").repartition(12)
     order = [F.desc("score"), F.asc("id")]
-    got = rank_within_groups(df, ["g"], order)
     want = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
-    assert rows(got) == rows(want)
+    whole = df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "g", "id")))
+    for piece in (100_000, 50, 1):  # ties numbered whole, and cut into pieces
+        got = rank_within_groups(df, ["g"], [-F.col("score")], "id", piece=piece)
+        assert rows(got) == rows(want), piece
+        assert rows(rank_within_groups(df, [], [-F.col("score"), F.col("g")], "id", piece=piece)) == rows(whole), piece
 
 
 def test_row_with_several_kinds_counts_in_each(spark):

@@ -41,6 +41,22 @@ def test_kv_get(spark):
     assert one(spark, TX.kv_get(c, "missing"), rec) is None
 
 
+def test_kv_get_with_a_long_delimiter(spark):
+    c = F.col("s")
+    rec = "a=1|x||b=2||c=||d=3=4||d=5"
+    assert [one(spark, TX.kv_get(c, f, "||"), rec) for f in "abcd"] == ["1|x", "2", None, "5"]
+    assert one(spark, TX.kv_get(c, "b", ".*"), "a=1.*b=2") == "2"
+    assert one(spark, TX.kv_get(c, "a"), None) is None
+
+
+def test_today_and_yesterday(spark):
+    import datetime as dt
+
+    day, before = spark.range(1).select(TF.today(), TF.yesterday()).first()
+    assert day - before == dt.timedelta(days=1)
+    assert abs(day - dt.datetime.now(dt.timezone.utc).date()) <= dt.timedelta(days=1)
+
+
 def test_kv_set(spark):
     c = F.col("s")
     assert one(spark, TX.kv_set(c, "b", "9"), "a=1|b=2|c=3") == "a=1|b=9|c=3"

@@ -1,6 +1,7 @@
 """Hand-made rows for the session statistics: bucket edges, filters, dedup rules."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickflow.operators import sessions as S
 from clickflow.params import TaskParams
@@ -120,3 +121,14 @@ def test_ratio_half_up(spark):
 
     got = [r[0] for r in df.select(ratio_half_up("c", "t")).collect()]
     assert got == [0.29, 0.33, 0.67, None, 1.0, 0.5]  # 0.285 rounds up; exact at large counts
+
+
+def test_a_session_of_a_million_keywords(spark):
+    n = 1_000_000
+    words = spark.range(n + 1000, numPartitions=8).select(
+        F.lit("2024-01-01").alias("date"), F.lit(1).cast("long").alias("user_id"), F.lit("s").alias("session_id"),
+        F.lit("2024-01-01 00:00:00").alias("action_time"), F.concat(F.lit("k"), (F.col("id") % n).cast("string")).alias("search_keyword"),
+        F.lit(-1).cast("long").alias("click_category_id"),
+    )
+    got = S.session_summary(words).select("step_length", F.size(F.split("search_keywords", ",")).alias("n")).first()
+    assert tuple(got) == (n + 1000, n)
