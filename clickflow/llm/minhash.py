@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,7 +196,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
         held: dict = {}
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            fresh = [i for i, x in enumerate(a) if i == 0 or x != a[i - 1]]
+            # an id may come with several texts
+            other = pc.not_equal(batch.column(2)[1:], batch.column(2)[:-1]).to_pylist()
+            fresh = [i for i, x in enumerate(a) if i == 0 or x != a[i - 1] or other[i - 1]]
             ta = batch.column(2).take(pa.array(fresh, pa.int64()))
             left, keep, now = iter(text_sets(ta, k)), [], None
             starts = set(fresh)
@@ -234,13 +237,14 @@ def near_duplicates(
     hubs = ranked.groupBy("key").agg(F.max_by(F.struct("rep", "n"), F.struct("full", "n", "rep")).alias("hub"))
     hubs = hubs.select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("nb"))
     alike = f"100 * least(n, nb) >= {percent} * greatest(n, nb)"
-    lanes = reps.groupBy(F.col("id").alias("rep")).agg(F.first("lanes").alias("lanes"), F.first("bands").alias("bands"))
+    # an id with several texts may stand for several classes, each with a sketch of its own
+    lanes = reps.groupBy(F.col("id").alias("rep"), "n", "h1", "h2").agg(F.first("lanes").alias("lanes"), F.first("bands").alias("bands")).drop("h1", "h2")
     marks = F.transform("bands", lambda b: F.shiftright(b, 32).cast("int"))
 
     def likely(pairs: DataFrame) -> DataFrame:
         drawn = lanes.select("rep", "lanes")
         both = pairs.join(drawn.toDF("a", "la"), "a").join(drawn.toDF("b", "lb"), "b")
-        return both.where(_agreeing("la", "lb") >= agreeing).select("a", "b")
+        return both.where(_agreeing("la", "lb") >= agreeing).select("a", "b").distinct()
 
     stars = members.join(hubs, "key").where(F.expr(alike) & F.expr("rep != hub"))
     stars = cut(likely(stars.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()))
@@ -249,7 +253,7 @@ def near_duplicates(
     comp = connected_components(links, "a", "b")
     placed = members.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    placed = placed.join(mixed.select("key"), "key").join(lanes, "rep").withColumn("marks", marks).withColumnRenamed("rep", "a")
+    placed = placed.join(mixed.select("key"), "key").join(lanes, ["rep", "n"]).withColumn("marks", marks).withColumnRenamed("rep", "a")
     across = _across(placed, percent, agreeing)
     rest = cut(across.join(stars, ["a", "b"], "left_anti"))
     more = cut(_verified_by_tile(rest, docs, id_col, text_col, shingle_words, percent))
@@ -278,9 +282,13 @@ def near_duplicates(
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose document is the smallest id of its group; one row for an id that repeats.
 
-    Rows with a null id all stay.
+    Of an id's different texts the one of smallest md5 stays. Rows with a null id all stay.
     """
     near = near_duplicates(docs, id_col, text_col, **options)
     kept = near.where("kept").where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__kept")).distinct()
-    stay = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col])
+    stay = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi")
+    versions = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("__rows"), F.min(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("__md5"))
+    many = versions.where("__rows > 1").select(F.col(id_col).alias("__many"), "__md5")
+    stay = stay.join(many, F.col(id_col) == F.col("__many"), "left")
+    stay = stay.where(F.col("__md5").isNull() | (F.md5(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__md5"))).drop("__many", "__md5").dropDuplicates([id_col])
     return stay.unionByName(docs.where(F.col(id_col).isNull()))
