@@ -3,7 +3,8 @@
 Unit vectors are cut in two halves; each half has its own codebook (k-means on at most ``SAMPLE`` vectors), and the
 product of the two codebooks is a grid of cells. Every vector lives in its nearest cell and visits the cells that the
 multi-sequence order names first (by the sum of its two halves' distances), as many as bring ``RECALL`` of the hardest
-neighbours: vectors turned from sampled ones by exactly the threshold angle. Inside a visited cell all cosines are taken
+neighbours: vectors turned from sampled ones by exactly the threshold angle. Where that takes many cells, as in two or
+three dimensions, many are visited, if need be all. Inside a visited cell all cosines are taken
 as matrix products of doubles; links below the threshold are never reported.
 
 Vectors are compared only inside their label. Equal vectors of a label collapse into one first. A cell is dealt out in
@@ -13,7 +14,10 @@ returns one row for each vector (its links and the smallest vector it reaches th
 Vectors that are null, empty or all zero, or hold null, NaN or infinity, rows with a null label and rows with a null id
 link with nothing; a null id's component is null. Vectors are compared with those of their own length: each length has
 an index of its own, a length of at most ``CELL`` vectors is one cell, and of length 1 all vectors of one sign link.
-Repeated rows are vectors of their own, with one id.
+Every row is a vector of its own and counts its own links, also where ids repeat; components are those of ids, so the
+vectors of one id lie in one component. Labels and ids keep their types; labels are equal as Spark's ``=`` has it.
+An empty table gives no rows. Indexes are fitted one after another on the driver, on at most ``SAMPLE`` vectors each; more
+than ``LENGTHS`` lengths with over ``CELL`` vectors are an error.
 """
 
 from __future__ import annotations
@@ -27,14 +31,15 @@ from pyspark.sql import functions as F
 from clickflow.llm.common import cut, runs, small_batches, table
 from clickflow.llm.components import connected_components
 
-#: Vectors that codebooks are fitted on; largest codebook; vectors of a cell aimed at; share of neighbours to reach.
-SAMPLE, LARGEST_BOOK, CELL, RECALL, TILE = 20_000, 256, 64, 0.99, 1024
+#: Vectors that codebooks are fitted on, and of them for each centre at least; vectors of a cell aimed at; share of
+#: neighbours to reach; vectors of a tile's side; lengths that may need an index.
+SAMPLE, PER_CENTRE, CELL, RECALL, TILE, LENGTHS = 20_000, 16, 64, 0.99, 1024, 256
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, passes: int = 8) -> np.ndarray:
     centres = x[rng.choice(len(x), k, replace=False)].copy()
     for _ in range(passes):
-        near = _distances(x, centres).argmin(1)
+        near = np.concatenate([_distances(x[at : at + 1024], centres).argmin(1) for at in range(0, len(x), 1024)])
         for c in range(k):
             if (mine := near == c).any():
                 centres[c] = x[mine].mean(0)
@@ -53,18 +58,23 @@ class MultiIndex:
         rng = np.random.default_rng(seed)
         self.dim = sample.shape[1]
         self.half = self.dim // 2
-        k = max(1, min(LARGEST_BOOK, len(sample), int(np.ceil(np.sqrt(count / CELL)))))
+        k = max(1, min(-(-len(sample) // PER_CENTRE), int(np.ceil(np.sqrt(count / CELL)))))
         self.k = k
         self.books = _kmeans(sample[:, : self.half], k, rng), _kmeans(sample[:, self.half :], k, rng)
-        probe = sample[rng.choice(len(sample), min(len(sample), 2000), replace=False)]
-        turn = rng.standard_normal(probe.shape)
-        turn -= (turn * probe).sum(1, keepdims=True) * probe
+        probes = sample[rng.choice(len(sample), min(len(sample), 2000), replace=False)]
+        turn = rng.standard_normal(probes.shape)
+        turn -= (turn * probes).sum(1, keepdims=True) * probes
         turn /= np.maximum(np.linalg.norm(turn, axis=1, keepdims=True), 1e-12)
-        other = cosine * probe + np.sqrt(1 - cosine * cosine) * turn
+        others = cosine * probes + np.sqrt(1 - cosine * cosine) * turn
         most = min(k * k, 256)
-        seen = self.cells(probe, most) == self.cells(other, 1)
-        reached = np.append(np.cumsum(seen.sum(0)) / len(probe), 1.0)
-        self.visits = int(min(most, np.argmax(reached >= recall) + 1))
+        while True:  # twice as many cells until enough neighbours are reached; all cells reach all
+            few = slice(max(100, 500_000 // most))
+            probe, other = probes[few], others[few]
+            reached = np.cumsum((self.cells(probe, most) == self.cells(other, 1)).sum(0)) / len(probe)
+            if reached[-1] >= recall or most == k * k:
+                break
+            most = min(k * k, 2 * most)
+        self.visits = int(np.argmax(reached >= recall)) + 1 if reached[-1] >= recall else most
 
     def cells(self, x: np.ndarray, visits: int) -> np.ndarray:
         """The first ``visits`` cells of each row in multi-sequence order.
@@ -113,7 +123,7 @@ def _spread(found_x: np.ndarray, found_y: np.ndarray, n: int) -> np.ndarray:
 
 
 def _placed(reps: DataFrame, indexes: dict[int, tuple[int, MultiIndex | None]]) -> DataFrame:
-    """Each vector with its cells: (rid, label, vec, copies, cells); a length's cells are numbered from its first one."""
+    """Each vector with its cells: (key, label, vec, copies, cells); a length's cells are numbered from its first one."""
 
     def run(batches):
         for batch in batches:
@@ -124,20 +134,23 @@ def _placed(reps: DataFrame, indexes: dict[int, tuple[int, MultiIndex | None]])
                 cells = np.zeros((len(part), 1), np.int64) if index is None else index.cells(_unit(_matrix(part.column(2))), index.visits)
                 cells = (cells + first).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * cells.shape[1]), pa.array(cells.ravel()))
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(4)), lists], names=["rid", "label", "vec", "copies", "cells"])
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(4)), lists], names=["key", "label", "vec", "copies", "cells"])
 
-    return reps.mapInArrow(run, f"rid long, label long, vec {reps.schema['vec'].dataType.simpleString()}, copies long, cells array<int>")
+    kind = {c: reps.schema[c].dataType.simpleString() for c in ("label", "vec")}
+    return reps.mapInArrow(run, f"key long, label {kind['label']}, vec {kind['vec']}, copies long, cells array<int>")
 
 
 def _indexes(classes: DataFrame, cosine: float) -> dict[int, tuple[int, MultiIndex | None]]:
     """Of each length from 2 on its first cell and its index, which is null where one cell holds all."""
     out, first = {}, 0
-    for width, count in sorted(classes.groupBy(F.size("vec")).count().where("count > 1").collect()):
-        if width < 2:
-            continue
+    lengths = classes.groupBy(F.size("vec").alias("width")).count().where("count > 1 AND width > 1")
+    if (many := lengths.where(F.col("count") > CELL).count()) > LENGTHS:
+        raise ValueError(f"{many} lengths need an index of their own; {LENGTHS} may")
+    # lengths of few vectors share what follows: a cell each, by their own number
+    for width, count in sorted(lengths.collect()):
         index = None
         if count > CELL:
-            sample = classes.where(F.size("vec") == width).orderBy(F.xxhash64("rid"), "rid", "label", "h1").limit(SAMPLE).select("vec").toArrow()["vec"]
+            sample = classes.where(F.size("vec") == width).orderBy(F.xxhash64("h1"), "h1", "h2", F.xxhash64("label")).limit(SAMPLE).select("vec").toArrow()["vec"]
             index = MultiIndex(_unit(_matrix(sample)), count, cosine)
         out[width] = first, index
         first += index.k**2 if index else 1
@@ -145,26 +158,26 @@ def _indexes(classes: DataFrame, cosine: float) -> dict[int, tuple[int, MultiInd
 
 
 def _signed(classes: DataFrame) -> DataFrame:
-    """(rid, root, links) of the vectors of length 1: the cosine of two of them is 1 or -1."""
-    ones = classes.where(F.size("vec") == 1).select("rid", "label", "copies", (F.col("vec")[0] > 0).alias("up"))
-    groups = ones.groupBy("label", "up").agg(F.min("rid").alias("root"), F.sum("copies").alias("all"))
-    return ones.join(groups, ["label", "up"]).select("rid", "root", (F.col("all") - F.col("copies")).alias("links")).where("links > 0")
+    """(key, root, links) of the vectors of length 1: the cosine of two of them is 1 or -1."""
+    ones = classes.where(F.size("vec") == 1).select("key", "label", "copies", (F.col("vec")[0] > 0).alias("up"))
+    groups = ones.groupBy("label", "up").agg(F.min("key").alias("root"), F.sum("copies").alias("all"))
+    return ones.join(groups, ["label", "up"]).select("key", "root", (F.col("all") - F.col("copies")).alias("links")).where("links > 0")
 
 
 def _links(placed: DataFrame, cosine: float) -> DataFrame:
-    """(rid, root, links) of each vector in each tile pair where it has links."""
-    visits = placed.select("label", F.explode("cells").alias("cell"), "rid", "vec", "copies", "cells").withColumn("home", F.col("cells")[0])
-    sizes = visits.groupBy("label", "cell").agg(F.sum((F.col("home") == F.col("cell")).cast("long")).alias("nr"), F.count("*").alias("nq"))
-    sizes = sizes.where("nr > 0 AND nq > 1").select("label", "cell", F.expr(f"int(ceil(nr / {TILE}))").alias("tr"), F.expr(f"int(ceil(nq / {TILE}))").alias("tq"))
-    rows = visits.join(sizes, ["label", "cell"])
-    mine = F.xxhash64("rid")
-    asks = rows.select("label", "cell", F.explode(F.sequence(F.lit(0), F.col("tr") - 1)).alias("r"), F.pmod(mine, F.col("tq")).cast("int").alias("q"), F.lit(True).alias("asks"), "rid", "vec", "copies", "cells")
-    lives = rows.where("home = cell").select("label", "cell", F.pmod(mine, F.col("tr")).cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.col("tq") - 1)).alias("q"), F.lit(False).alias("asks"), "rid", "vec", "copies", "cells")
-    dealt = asks.unionByName(lives).repartition("label", "cell", "r", "q").sortWithinPartitions("label", "cell", "r", "q")
+    """(key, root, links) of each vector in each tile pair where it has links."""
+    visits = placed.select(F.xxhash64("label").alias("lab"), F.explode("cells").alias("cell"), "key", "label", "vec", "copies", "cells").withColumn("home", F.col("cells")[0])
+    sizes = visits.groupBy("lab", "cell").agg(F.sum((F.col("home") == F.col("cell")).cast("long")).alias("nr"), F.count("*").alias("nq"))
+    sizes = sizes.where("nr > 0 AND nq > 1").select("lab", "cell", F.expr(f"int(ceil(nr / {TILE}))").alias("tr"), F.expr(f"int(ceil(nq / {TILE}))").alias("tq"))
+    rows = visits.join(sizes, ["lab", "cell"])
+    mine = F.xxhash64("key")
+    asks = rows.select("lab", "cell", F.explode(F.sequence(F.lit(0), F.col("tr") - 1)).alias("r"), F.pmod(mine, F.col("tq")).cast("int").alias("q"), F.lit(True).alias("asks"), "key", "label", "vec", "copies", "cells")
+    lives = rows.where("home = cell").select("lab", "cell", F.pmod(mine, F.col("tr")).cast("int").alias("r"), F.explode(F.sequence(F.lit(0), F.col("tq") - 1)).alias("q"), F.lit(False).alias("asks"), "key", "label", "vec", "copies", "cells")
+    dealt = asks.unionByName(lives).repartition("lab", "cell", "r", "q").sortWithinPartitions("lab", "cell", "r", "q")
 
     def run(batches):
         for g in runs(batches, 4):
-            asks, rid = g["asks"].to_numpy(zero_copy_only=False), g["rid"].to_numpy()
+            asks, key = g["asks"].to_numpy(zero_copy_only=False), g["key"].to_numpy()
             q, r = np.flatnonzero(asks), np.flatnonzero(~asks)
             if not len(q) or not len(r):
                 continue
@@ -172,22 +185,24 @@ def _links(placed: DataFrame, cosine: float) -> DataFrame:
             norm = np.linalg.norm(vec, axis=1)
             i, j = np.nonzero((vec[q] @ vec[r].T) / np.outer(norm[q], norm[r]) >= cosine)
             i, j = q[i], r[j]
+            label = g["label"].combine_chunks().dictionary_encode().indices.to_numpy()  # labels may share a hash
+            i, j = i[label[i] == label[j]], j[label[i] == label[j]]
             # a pair that meets in both home cells counts in the smaller one, and one of a cell counts once
             home_i, home_j = cells[i, 0], cells[j, 0]
             back = (cells[j] == home_i[:, None]).any(1)
-            once = np.where(home_i == home_j, rid[i] < rid[j], ~back | (home_i < home_j))
+            once = np.where(home_i == home_j, key[i] < key[j], ~back | (home_i < home_j))
             i, j = i[once], j[once]
             if not len(i):
                 continue
-            ids, at = np.unique(rid, return_inverse=True)
+            ids, at = np.unique(key, return_inverse=True)
             links = np.zeros(len(ids), np.int64)
             np.add.at(links, at[i], copies[j])
             np.add.at(links, at[j], copies[i])
             root = ids[_spread(at[i], at[j], len(ids))]
             some = links > 0
-            yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (ids, root, links)], names=["rid", "root", "links"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (ids, root, links)], names=["key", "root", "links"])
 
-    return dealt.mapInArrow(run, "rid long, root long, links long")
+    return dealt.mapInArrow(run, "key long, root long, links long")
 
 
 def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.98) -> DataFrame:
@@ -195,26 +210,31 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     v, finite = F.col("vec"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     # floats stay floats, all else is compared as doubles
     kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("vec"), F.col(label_col).cast("long").alias("label"))
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(kind).alias("vec"), F.col(label_col).alias("label"))
     sound = v.isNotNull() & (F.size(v) > 0) & F.forall(v, finite) & F.exists(v, lambda x: x != 0)
     sound = F.coalesce(sound, F.lit(False)) & F.col("label").isNotNull() & F.col("id").isNotNull()
     small_batches(vectors.sparkSession)
     keyed = rows.withColumn("ok", sound).withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64(F.lit(1), "vec", F.size("vec"))})
     good = keyed.where("ok")
     classes = good.groupBy("label", "h1", "h2").agg(F.min("id").alias("rid"), F.count("*").alias("copies"), F.any_value("vec").alias("vec"))
-    classes = table(classes)
+    classes = table(classes.withColumn("key", F.monotonically_increasing_id()))  # written, so its numbers stay
     indexes = _indexes(classes, cosine)
     signed = _signed(classes)
     found = signed
     if indexes:
-        placed = _placed(classes.where(F.size("vec").isin(*indexes)).select("rid", "label", "vec", "copies"), indexes)
+        placed = _placed(classes.where(F.size("vec").isin(*indexes)).select("key", "label", "vec", "copies"), indexes)
         found = _links(placed, cosine).unionByName(signed)
     found = cut(found)
-    edges = found.where("rid != root").select("rid", "root").distinct()
-    found = found.groupBy("rid").agg(F.sum("links").alias("links"))
-    classes = classes.select("label", "h1", "h2", "rid", "copies")
-    comp = connected_components(edges, "rid", "root").select(F.col("node").alias("rid"), "component")
-    classes = classes.join(found, "rid", "left").join(comp, "rid", "left")
+    named = classes.select("key", "rid")
+    edges = found.where("key != root").select("key", "root").distinct()
+    edges = edges.join(named, "key").join(named.toDF("root", "to"), "root").select("rid", "to")
+    found = found.groupBy("key").agg(F.sum("links").alias("links"))
+    classes = classes.select("label", "h1", "h2", "key", "rid", "copies")
+    # an id with several vectors ties their classes together
+    several = good.groupBy("id").agg(F.count_distinct("label", "h1", "h2").alias("n")).where("n > 1").select("id")
+    ties = good.join(several, "id", "left_semi").join(classes, ["label", "h1", "h2"]).where("id != rid").select(F.col("rid"), F.col("id").alias("to"))
+    comp = connected_components(edges.unionByName(ties), "rid", "to").select(F.col("node").alias("rid"), "component")
+    classes = classes.join(found, "key", "left").join(comp, "rid", "left")
     classes = classes.select("label", "h1", "h2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.coalesce("component", "rid").alias("comp"), F.lit(True).alias("ok"))
     out = keyed.select("id", "label", "h1", "h2", "ok").join(classes, ["label", "h1", "h2", "ok"], "left")
     comp = F.coalesce("comp", "id")
