@@ -125,6 +125,18 @@ def test_minhash_null_and_repeated_ids(spark):
     assert minhash.one_of_each_group(df).count() == 3
 
 
+def test_minhash_versions_of_one_id(spark):
+    """Rows of one id are one document: the links of all its texts count, in any order of rows."""
+    a, b, c = prose(61, 100), prose(62, 140), prose(63, 100)
+    near = lambda t, i: " ".join("changed" if j == i else w for j, w in enumerate(t.split()))
+    rows = [(1, a), (1, b), (2, near(a, 50)), (3, near(b, 70)), (4, c), (5, near(c, 3)), (5, near(a, 90)), (6, None), (6, near(c, 60))]
+    for data in (rows, rows[::-1]):
+        got = minhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()
+        assert {(r.doc_id, r.component_id) for r in got if r.n_shingles} == {(i, 1) for i in (1, 2, 3, 4, 5, 6)}
+        kept = minhash.one_of_each_group(spark.createDataFrame(data, "doc_id long, text string")).collect()
+        assert [r.text for r in kept if r.doc_id == 1] == [min((a, b), key=lambda t: hashlib.md5(t.encode()).hexdigest())]
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(0)
     for n in (1, 2, 7, 100, 5000):
@@ -213,6 +225,119 @@ def test_pseudonyms_beside_other_digits(spark):
     assert all(re.fullmatch(r"\+1 \([01]\d\d\) \d{3}-\d{4}", rows[i].text) for i in (11, 12)) and rows[11].text != rows[12].text
 
 
+def test_pseudonyms_of_very_long_texts(spark):
+    """Patterns neither recurse with the text nor go over it again and again; the address beside the noise is found."""
+    end = " write to a.b@mail1.example.com, call (415) 555-0100"
+    noise = ["x@" + "a." * 100_000 + "com", "x@" + "a." * 500_000, "a." * 500_000, "@" * 1_000_000, "a@" * 500_000, "7" * 1_000_000, "7 " * 500_000, "1." * 500_000, "1-" * 500_000, "1.1.1.1" * 100_000]
+    df = spark.createDataFrame([(i, t + end) for i, t in enumerate(noise)], "doc_id long, text string")
+    for r in pii.pseudonymise(df, "k").collect():
+        assert (r.n_email, r.n_phone) == (1, 1), r.doc_id
+        assert r.text.startswith(noise[r.doc_id]) or r.n_card, r.doc_id
+
+
+def test_pseudonyms_of_no_rows_and_clashing_names(spark):
+    assert pii.pseudonymise(docs_of(spark, ["x"]).limit(0), "k").count() == 0
+    rows = spark.createDataFrame([(1, "61.131.143.218", "h", "p", 9)] * 2, "doc_id long, text string, hits string, pattern string, n_ip int")
+    got = pii.pseudonymise(rows, "k").collect()
+    assert got[0] == got[1] and got[0].n_ip == 1 and got[0].text != "61.131.143.218"
+
+
+def brute_pseudonyms(text, key):
+    """All kinds, written anew: one scan from left to right, values permuted by a Feistel network of integers."""
+    import datetime
+
+    def feistel(v, hi, lo, kind):
+        h, low = divmod(v, lo)
+        for i in range(pii.ROUNDS):
+            f = lambda half: int(hashlib.sha256(f"{key}:{kind}:{i}:{half}".encode()).hexdigest()[:15], 16)
+            h, low = ((h + f(low)) % hi, low) if i % 2 == 0 else (h, (low + f(h)) % lo)
+        return h * lo + low
+
+    def luhn(d):
+        return sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(int(c) for c in reversed(d))) % 10 == 0
+
+    def refill(shape, digits):
+        left = iter(digits)
+        return "".join(next(left) if "0" <= c <= "9" else c for c in shape)
+
+    def date(m):
+        for mark, pattern in (("-", "%Y-%m-%d"), (".", "%d.%m.%Y"), ("/", "%m/%d/%Y")):
+            if mark in m:
+                try:
+                    at = (datetime.datetime.strptime(m, pattern).date() - datetime.date(1800, 1, 1)).days
+                except ValueError:
+                    return None
+                if not 0 <= at < 189 * 773:
+                    return None
+                day = datetime.date(1800, 1, 1) + datetime.timedelta(feistel(at, 189, 773, "date"))
+                return day.strftime(pattern)
+
+    def ip(m):
+        octets = [int(x) for x in m.split(".")]
+        if max(octets) > 255:
+            return None
+        v = feistel(int.from_bytes(bytes(octets), "big"), 65536, 65536, "ip")
+        return ".".join(map(str, v.to_bytes(4, "big")))
+
+    def ssn(m):
+        a, g, s = map(int, m.split("-"))
+        if not (0 < a < 900 and a != 666 and g and s):
+            return None
+        v = feistel((a - 1 if a < 666 else a - 2) * 99 * 9999 + (g - 1) * 9999 + s - 1, 898, 99 * 9999, "ssn")
+        a, rest = divmod(v, 99 * 9999)
+        return f"{a + 1 if a < 665 else a + 2:03d}-{rest // 9999 + 1:02d}-{rest % 9999 + 1:04d}"
+
+    def phone(m):
+        d = re.sub("[^0-9]", "", m)
+        ten = int(d[-10:])
+        new = feistel(ten - 2 * 10**9, 80_000, 100_000, "phone") + 2 * 10**9 if ten >= 2 * 10**9 else feistel(ten, 20_000, 100_000, "phone0")
+        return refill(m, d[:-10] + f"{new:010d}")
+
+    def card(m):
+        d = re.sub("[^0-9]", "", m)
+        inner = d[1:-1]
+        left = len(inner) // 2
+        body = d[0] + f"{feistel(int(inner), 10**left, 10 ** (len(inner) - left), 'card'):0{len(inner)}d}"
+        return refill(m, body + next(c for c in "0123456789" if luhn(body + c)))
+
+    cards = []
+    for shape in pii.CARD_SHAPES:
+        cards += [m[1] for m in re.finditer(rf"(?<![0-9])(?=({shape})(?![0-9]))", text) if luhn(re.sub("[^0-9]", "", m[1]))]
+    cards = list(dict.fromkeys(cards))
+    kinds = [
+        ("email", rf"(?<![A-Za-z0-9._%+-])(?:{pii.EMAIL})", lambda m: "u" + hashlib.sha256(f"{key}:email:{m.lower()}".encode()).hexdigest()[:12] + "@anon.invalid"),
+        ("date", rf"(?<![0-9.])(?:{pii.DATE})(?![0-9]|\.[0-9])", date), ("ip", rf"(?<![0-9.])(?:{pii.IP})(?![0-9]|\.[0-9])", ip),
+        ("ssn", rf"(?<![0-9+-])(?:{pii.SSN})(?![0-9-])", ssn), ("phone", rf"(?<![0-9])(?:{pii.PHONE})(?![0-9])", phone),
+    ]
+    if cards:
+        kinds.append(("card", rf"(?<![0-9])(?:{'|'.join(map(re.escape, cards))})(?![0-9])", card))
+    found = [(name, re.compile(p), make) for name, p, make in kinds]
+    counts, out, at = dict.fromkeys(pii.KINDS, 0), [], 0
+    while at < len(text):
+        for name, p, make in found:
+            if m := p.match(text, at):
+                new = make(m[0])
+                counts[name] += new is not None
+                out.append(m[0] if new is None else new)
+                at = m.end()
+                break
+        else:
+            out.append(text[at])
+            at += 1
+    return "".join(out), *counts.values()
+
+
+def test_pseudonyms_are_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(200)
+    made = ["1800-01-01 2199-12-31 2200-01-01 1799-12-31", "01.02.2003 29.02.2023 02/29/2024 13/01/2020", "0.0.0.0 255.255.255.255 256.1.1.1 1.2.3.4.5", "000-12-3456 666-12-3456 665-99-9999 667-01-0001 899-99-9999 900-01-0001"]
+    made += ["a@b.co. x@y.z u@a.b.c.museum, A@B.CO", "4111111111111111 4111-1111-1111-1111 378282246310005 6011000990139424", "(212) 555-0100 +1 212-555-0100 212.555.0100 112-555-0100", None, ""]
+    docs = docs.unionByName(spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(made)], docs.schema))
+    want = {r.doc_id: brute_pseudonyms(r.text, "k") if r.text is not None else (None, *[0] * 6) for r in docs.collect()}
+    assert sum(sum(w[1:]) for w in want.values()) > 30
+    for r in pii.pseudonymise(docs, "k").collect():
+        assert tuple(r)[1:] == want[r.doc_id], r.doc_id
+
+
 def test_mixing_deviates_by_less_than_one_block(spark):
     weights = {"a": 7, "b": 3, "c": 2, "other": 5}
     total = sum(weights.values())
@@ -358,6 +483,34 @@ def test_embeddings_of_several_lengths(spark):
             assert got[i].n_links == len(links[i]) and got[i].component_id == min(links[i] | {i})
 
 
+def test_embeddings_of_repeated_ids_and_any_types(spark):
+    a, b, near = [1.0, 0.0], [0.0, 1.0], [1.0, 0.01]
+    frame = lambda rows, kinds: embed_dedup.near_embeddings(spark.createDataFrame(rows, kinds))
+    got = frame([(1, a, 1), (1, b, 1), (2, near, 1)], "vec_id long, embedding array<float>, label int").collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 0, 1), (1, 1, 1), (2, 1, 1)]
+    # an id with two vectors ties what they link with
+    got = frame([(5, a, 1), (5, b, 1), (2, near, 1), (7, b, 1)], "vec_id long, embedding array<float>, label int").collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(2, 1, 2), (5, 1, 2), (5, 1, 2), (7, 1, 2)]
+    got = frame([(1, a, 0.2), (2, near, 0.7), (3, a, 0.7)], "vec_id long, embedding array<float>, label double").collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 0, 1), (2, 1, 2), (3, 1, 2)]
+    got = frame([("x", a, "l"), ("y", near, "l"), ("z", a, "m"), (None, a, "l")], "vec_id string, embedding array<float>, label string").collect()
+    assert sorted((r.vec_id or "", r.n_links, r.component_id) for r in got) == [("", 0, None), ("x", 1, "x"), ("y", 1, "x"), ("z", 0, "z")]
+
+
+@pytest.mark.parametrize("dim", [2, 3, 4, 16])
+def test_index_reaches_neighbours_in_few_dimensions(dim):
+    rng = np.random.default_rng(dim)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    sample = unit(rng.standard_normal((5000, dim)))
+    index = embed_dedup.MultiIndex(sample, 1_000_000, 0.98)
+    x = unit(rng.standard_normal((300, dim)))
+    turn = rng.standard_normal(x.shape)
+    turn = unit(turn - (turn * x).sum(1, keepdims=True) * x)
+    y = 0.98 * x + np.sqrt(1 - 0.98**2) * turn
+    met = (index.cells(x, index.visits) == index.cells(y, 1)).any(1)
+    assert met.mean() >= 0.95 and index.k == 125
+
+
 def test_multi_sequence_order_is_sorted():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((400, 8))
