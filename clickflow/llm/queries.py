@@ -196,13 +196,14 @@ FROM ranked JOIN weights ON weights.g = ranked.g JOIN slots ON slots.g = ranked.
 
 
 def _tree(text: str) -> str:
+    words = "array_to_string(list_transform(string_split(p, ' '), lambda w, i: CASE WHEN i = 1 THEN '' WHEN substr(md5(w), 1, 1) IN ('0', '1') THEN chr(10) ELSE ' ' END || w), '')"
     return f"""list_transform(string_split({text}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p:
-        list_transform(range(1, len(string_split(p, ' ')) + 1, 8), lambda i: substr(md5(array_to_string(string_split(p, ' ')[i:i + 7], ' ')), 1, 8))))"""
+        list_transform(string_split({words}, chr(10)), lambda x: md5(x))))"""
 
 
 def _print(tree: str) -> str:
-    sections = f"array_to_string(list_transform({tree}, lambda s: substr(md5(array_to_string(list_transform(s, lambda p: substr(md5(array_to_string(p, ',')), 1, 8)), ',')), 1, 8)), ',')"
-    return f"md5({sections}) || ':' || {sections} || ':' || array_to_string(flatten(flatten({tree})), ',')"
+    root = f"md5(array_to_string(list_transform({tree}, lambda s: md5(array_to_string(list_transform(s, lambda p: md5(array_to_string(p, ','))), ','))), ','))"
+    return f"{root} || ':' || array_to_string(list_transform({tree}, lambda s: array_to_string(list_transform(s, lambda p: array_to_string(p, ',')), '/')), ';')"
 
 
 def _alike(a: str, ta: str, b: str, tb: str) -> str:
@@ -217,7 +218,8 @@ edits AS (SELECT *, substr(text, 1, n - n // 3) || substr(following, 1, n // 3)
 trees AS (SELECT doc_id, n, edited, {_tree("text")} AS t, {_tree("edited")} AS te, {_tree("following")} AS tn FROM edits),
 prints AS (SELECT doc_id, n, edited, t, te, tn, {_print("t")} AS f, {_print("te")} AS fe, {_print("tn")} AS fn FROM trees)
 SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, f AS fingerprint, fe AS edited_fingerprint,
-    {_alike("f", "t", "fe", "te")} AS near_edited, {_alike("f", "t", "fn", "tn")} AS near_next FROM prints
+    {_alike("f", "t", "fe", "te")} AS near_edited, {_alike("f", "t", "fn", "tn")} AS near_next,
+    len(list_filter(list_distinct(flatten(flatten(te))), lambda x: NOT list_contains(flatten(flatten(t)), x)))::BIGINT AS n_changed FROM prints
 """
 
 _OP10 = """
@@ -261,7 +263,8 @@ _CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_t
 
 #: Every lag that a run can have, word by word; a stretch found at two lags is a run of the smaller one.
 _OP13 = rf"""
-WITH docs AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(text, '[ 	-]+'), lambda x: x <> '') AS w,
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(text, '[ 	-
+]+'), lambda x: x <> '') AS w,
     CASE WHEN doc_id IS NOT NULL THEN {_CRC32} END AS h FROM documents),
 sized AS (SELECT r, doc_id, coalesce(w, []) AS w, coalesce(len(w), 0) AS n, CASE WHEN h % 10 = 0 THEN h // 10 END AS g FROM docs),
 tails AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM sized),

@@ -406,31 +406,69 @@ def test_merkle_neighbours_edits_and_places(spark, texts):
         assert rows[i].n_chars == len(t) and rows[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
     assert rows[0].fingerprint == rows[1].fingerprint and rows[1].near_next == 1.0
     assert rows[13].near_edited > 0.4 and rows[13].near_next < 0.05
-    from pyspark.sql import functions as F
-
-    pair = spark.createDataFrame([(prose(1, 32), prose(1, 32).rsplit(" ", 1)[0] + " other")], "a string, b string")
-    a, b = (merkle.fingerprint_of(merkle.tree(F.col(c))) for c in "ab")
-    assert pair.select(merkle.differing_leaves(a, b).alias("d")).first().d == [3]
-    old = merkle.RANGE_ROWS
+    old = merkle.RANGE_ROWS, merkle.CUTS
     try:
-        merkle.RANGE_ROWS = 3  # several ranges give the same neighbours
+        merkle.RANGE_ROWS, merkle.CUTS = 3, 2  # several ranges give the same neighbours
         again = {r.doc_id: r for r in merkle.fingerprint_edits(docs_of(spark, texts)).collect()}
     finally:
-        merkle.RANGE_ROWS = old
+        merkle.RANGE_ROWS, merkle.CUTS = old
     assert again == rows
 
 
-def test_merkle_likeness_survives_short_collisions(spark):
-    seen, pair = {}, None
-    for i in itertools.count():
-        short = hashlib.md5(f"text {i}".encode()).hexdigest()[:8]
-        if (j := seen.setdefault(short, i)) != i:
-            pair = [f"text {j}", f"text {i}"]
-            break
-    rows = {r.doc_id: r for r in merkle.fingerprint_edits(docs_of(spark, [*pair, pair[0], pair[0]])).collect()}
-    assert rows[0].fingerprint == rows[1].fingerprint  # the listed hashes are cut
-    # the next document is the one before, and the last one for the first
-    assert [rows[i].near_next for i in range(4)] == [1.0, 0.0, 0.0, 1.0]
+def merkle_leaves(paragraph):
+    leaves = []
+    for i, w in enumerate(paragraph.split(" ")):
+        if i == 0 or hashlib.md5(w.encode()).hexdigest()[0] in "01":
+            leaves.append([])
+        leaves[-1].append(w)
+    return [hashlib.md5(" ".join(x).encode()).hexdigest() for x in leaves]
+
+
+def test_merkle_is_brute_force(spark, texts):
+    node = lambda xs: hashlib.md5(",".join(xs).encode()).hexdigest()
+    full = [t or "" for t in [*texts, "a\n\n\nb c\n", prose(71, 60) + "\n\n" + prose(72, 60) + "\n" + prose(73, 60)]]
+
+    def tree(t):
+        return [[merkle_leaves(p) for p in s.split("\n")] for s in t.split("\n\n")]
+
+    def fingerprint(t):
+        root = node([node([node(p) for p in s]) for s in tree(t)])
+        return root + ":" + ";".join("/".join(",".join(p) for p in s) for s in tree(t))
+
+    def alike(a, b):
+        a, b = ({x for s in tree(t) for p in s for x in p} for t in (a, b))
+        return len(a & b) / len(a | b)
+
+    for r in merkle.fingerprint_edits(docs_of(spark, full)).collect():
+        t, following = full[r.doc_id], full[r.doc_id - 1]
+        k = len(t) // 3
+        edited = t[: len(t) - k] + following[:k]
+        assert (r.fingerprint, r.edited_fingerprint) == (fingerprint(t), fingerprint(edited))
+        assert (r.near_edited, r.near_next) == (pytest.approx(alike(t, edited)), pytest.approx(alike(t, following)))
+        assert r.n_changed == len({x for s in tree(edited) for p in s for x in p} - {x for s in tree(t) for p in s for x in p})
+
+
+def test_merkle_edits_stay_in_their_leaf(spark):
+    from pyspark.sql import functions as F
+
+    words = [f"{w}{i}" for i, w in enumerate(prose(80, 400).split())]
+    longer = [*words[:5], "inserted", *words[5:]]
+    before = prose(81, 50) + "\n" + prose(82, 50) + "\n\n"
+    pairs = [(" ".join(words), " ".join(longer)), (before + " ".join(words), before + " ".join(longer)), (" ".join(words), " ".join(words)), ("text 1", "text 2"), (None, "")]
+    df = spark.createDataFrame(pairs, "a string, b string").select(*(merkle.fingerprint_of(merkle.tree(F.col(c))).alias(c) for c in "ab"))
+    got = df.select(merkle.likeness(F.col("a"), F.col("b")), merkle.differing_leaves(F.col("b"), F.col("a")), merkle.changed_leaves(F.col("b"), F.col("a"))).collect()
+    assert all(x > 0.9 for x, _, _ in got[:2])
+    assert [tuple(x) for x in got[0][1]] == [(0, 0, got[0][1][0].leaf)] and got[0][1][0].leaf < 6
+    assert [tuple(x) for x in got[1][1]] == [(1, 0, got[0][1][0].leaf)]
+    assert [len(x[2]) for x in got] == [1, 1, 0, 1, 0] and [x[0] for x in got[2:]] == [1.0, 0.0, 1.0]
+
+
+def test_merkle_of_one_row_and_none(spark):
+    one = merkle.fingerprint_edits(docs_of(spark, ["a b c d e f"])).collect()
+    assert len(one) == 1 and one[0].near_next == 1.0 and one[0].n_chars == 11
+    assert merkle.fingerprint_edits(docs_of(spark, ["x"]).limit(0)).count() == 0
+    plan = merkle.fingerprint_edits(docs_of(spark, ["a"] * 9))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan and "Python" not in plan
 
 
 def test_embeddings_are_brute_force(spark):
@@ -540,6 +578,21 @@ def test_pipeline_stages(spark):
     assert all(k for _, _, k in brute_groups(left, 5).values())
 
 
+def test_pipeline_runs_on_nulls_and_on_nothing(spark, tmp_path):
+    import corpus_pipeline as p
+
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    good = [(i, prose(100 + i, 40), "en", "src0", 1) for i in range(6)]
+    odd = [(50, None, "en", "src1", None), (51, "", None, None, 0), (None, prose(7, 30), None, "src1", 3), (None, None, None, None, None), (52, good[0][1], "en", "src2", 1)]
+    labels = [(i, int(i % 2), 0) for i in range(6)]
+    for name, docs in (("some", [*good, *odd]), ("none", [])):
+        spark.createDataFrame(docs, kinds).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        rows = p.run(spark, f"{tmp_path}/{name}").collect()
+        assert all(r.exact for r in rows) and len(rows) <= len(docs)
+        assert name == "none" or {50, 51} <= {r.doc_id for r in rows}
+
+
 def test_pipeline_tokens_carry_the_mix(spark, tmp_path):
     import corpus_pipeline as p
 
