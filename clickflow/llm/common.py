@@ -10,9 +10,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass works on; a longer document is one pass of its own.
 CHUNK_BYTES = 1 << 20
+#: A key that holds this share of the rows, or more, is dealt over ``PARTS`` partitions by ``spread_join``.
+HEAVY_SHARE, PARTS = 1 / 1000, 64
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -50,6 +53,22 @@ def table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_join(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str, by: str) -> DataFrame:
+    """Inner join of ``rows`` with the written table ``keyed`` (one row for each key) where a few keys may hold most rows.
+
+    ``weight`` is the number of ``rows`` of a key (dropped from the result). Keys with ``HEAVY_SHARE`` of all weight are at
+    most ``1 / HEAVY_SHARE``, so their list is broadcast; their rows are dealt over ``PARTS`` partitions by the column ``by``.
+    """
+    total = keyed.agg(F.sum(weight)).first()[0] or 0
+    heavy = keyed.where(F.col(weight) >= total * HEAVY_SHARE).select(*keys, F.lit(True).alias("__heavy"))
+    one, parts = F.array(F.lit(0)), F.sequence(F.lit(0), F.lit(PARTS - 1))
+    part = F.when(F.col("__heavy"), F.pmod(F.xxhash64(by), F.lit(PARTS)).cast("int")).otherwise(0)
+    dealt = rows.join(F.broadcast(heavy), keys, "left").withColumn("__part", part).drop("__heavy")
+    is_heavy = F.col(weight) >= total * HEAVY_SHARE
+    copies = keyed.withColumn("__part", F.explode(F.when(is_heavy, parts).otherwise(one))).drop(weight)
+    return dealt.join(copies, [*keys, "__part"]).drop("__part")
+
+
 def text_pieces(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole texts: (first row, end row, UTF-8 bytes, offsets of the texts in them). Null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -13,8 +13,13 @@ Plan: leaves are counted on hashes alone (a document names each leaf once); only
 documents are looked at again, as distinct lines, with their tokens as hashes. Every count is pre-aggregated before its
 shuffle, so a line that stands in a third of all documents is one row for each task.
 
+A leaf, line or template that holds a large share of all rows is dealt over many partitions where it is joined
+(``spread_join``). Rows are told apart by a hash of id and text, so rows of a null or shared id don't meet either.
+
 Null and empty texts have no lines and stay as they are; blank lines are never dropped. Rows of one id are one document
-when documents are counted, and each row is rewritten by its own text. A null id counts as one document.
+when documents are counted, and each row is rewritten by its own text. A null id counts as one document. An empty table
+gives an empty result. A text is read whole, in one pass over its bytes, however long it is. Extra columns are kept; their
+names may be those used inside, but for ``__lines``, ``__dropped`` and ``__drop``, ``__key``.
 """
 
 from __future__ import annotations
@@ -22,11 +27,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm import hashing as H
-from clickflow.llm.common import small_batches, table, text_pieces
+from clickflow.llm.common import small_batches, spread_join, table, text_pieces
 
 DEPTH, MIN_DOCS, FIXED_SHARE, COPY_SHARE = 3, 5, 0.6, 0.5
 _LINE_FEED = 10
@@ -66,7 +71,7 @@ class Lines:
 
 
 def _leaves(docs: DataFrame, depth: int) -> DataFrame:
-    id_type = docs.schema["id"].dataType.simpleString()
+    """``(key, leaf)``: the distinct leaves of each row of ``(key, id, text)``."""
 
     def run(batches):
         for batch in batches:
@@ -74,9 +79,9 @@ def _leaves(docs: DataFrame, depth: int) -> DataFrame:
                 lines = Lines(buf, offsets, depth)
                 if len(lines.first):
                     rows, leaves = np.unique(np.stack([lines.text, lines.leaf]), axis=1)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + rows)), pa.array(leaves)], names=["id", "leaf"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + rows)), pa.array(leaves)], names=["key", "leaf"])
 
-    return docs.mapInArrow(run, f"id {id_type}, leaf long")
+    return docs.select("key", "text").mapInArrow(run, "key long, leaf long")
 
 
 def _candidates(docs: DataFrame, depth: int) -> DataFrame:
@@ -85,8 +90,8 @@ def _candidates(docs: DataFrame, depth: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            wanted = batch.column(2)
-            for first, end, buf, offsets in text_pieces(batch.column(1)):
+            wanted = batch.column(3)
+            for first, end, buf, offsets in text_pieces(batch.column(2)):
                 lines = Lines(buf, offsets, depth)
                 part = wanted.slice(first, end - first)
                 owner = np.repeat(np.arange(end - first), pc.list_value_length(part).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -100,20 +105,25 @@ def _candidates(docs: DataFrame, depth: int) -> DataFrame:
                 n = lines.n[pick]
                 flat = np.repeat(lines.first[pick] - np.cumsum(n) + n, n) + np.arange(n.sum())
                 tokens = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(lines.tokens[flat].view(np.int64)))
-                ids = batch.column(0).take(pa.array(first + lines.text[pick]))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(lines.leaf[pick]), pa.array(lines.line[pick]), tokens], names=["id", "leaf", "line", "tokens"])
+                row = pa.array(first + lines.text[pick])
+                columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(lines.leaf[pick]), pa.array(lines.line[pick]), tokens]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "leaf", "line", "tokens"])
+
+    return docs.mapInArrow(run, f"key long, id {id_type}, leaf long, line long, tokens array<long>")
+
 
-    return docs.mapInArrow(run, f"id {id_type}, leaf long, line long, tokens array<long>")
+def _row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
 def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int = DEPTH, min_docs: int = MIN_DOCS, fixed_share: float = FIXED_SHARE) -> DataFrame:
-    """``(id, drop array<long>)``: hashes of the lines of each document whose template recurs."""
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """``(key, drop array<long>)``: hashes of the lines of each row whose template recurs; the key is that of ``_row_key``."""
+    narrow = docs.select(_row_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     small_batches(docs.sparkSession)
     leaves = _leaves(narrow, depth)
-    hot = leaves.groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
-    wanted = leaves.join(hot, "leaf").groupBy(F.col("id").alias("wid")).agg(F.collect_set("leaf").alias("leaves"))
-    found = table(_candidates(narrow.join(wanted, F.col("id").eqNullSafe(F.col("wid"))).select("id", "text", "leaves"), depth))
+    hot = table(leaves.groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs))
+    wanted = spread_join(leaves, hot, ["leaf"], "docs", "key").groupBy("key").agg(F.collect_set("leaf").alias("leaves"))
+    found = table(_candidates(narrow.join(wanted, "key").select("key", "id", "text", "leaves"), depth))
     lines = found.groupBy("leaf", "line").agg(F.count("*").alias("lines"), F.any_value("tokens").alias("tokens"))
     tokens = lines.select("leaf", "line", "lines", F.posexplode("tokens").alias("at", "token"))
     # a leaf's counts are kept apart by place and token, so a leaf with very many lines is spread over many keys
@@ -121,12 +131,15 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int = DE
     fixed = (F.col("have") >= min_docs) & (F.col("token") != F.lit(int(np.array(_VARIABLE).view(np.int64))))
     marked = tokens.join(support, ["leaf", "at", "token"]).withColumn("fixed", fixed)
     part = F.when(F.col("fixed"), F.xxhash64("at", "token")).otherwise(F.xxhash64("at"))
-    shapes = marked.groupBy("leaf", "line").agg(F.bit_xor(part).alias("shape"), F.avg(F.col("fixed").cast("double")).alias("share"))
-    shapes = shapes.where(F.col("share") >= fixed_share).select("leaf", "line", "shape")
-    held = found.select("id", "leaf", "line").join(shapes, ["leaf", "line"])
-    counted = held.select("leaf", "shape", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("of")).distinct()
-    often = counted.groupBy("leaf", "shape").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
-    return held.join(often, ["leaf", "shape"]).groupBy("id").agg(F.collect_set("line").alias("drop"))
+    shapes = marked.groupBy("leaf", "line").agg(
+        F.bit_xor(part).alias("shape"), F.avg(F.col("fixed").cast("double")).alias("share"), F.first("lines").alias("lines")
+    )
+    shapes = table(shapes.where(F.col("share") >= fixed_share).select("leaf", "line", "shape", "lines"))
+    held = spread_join(found.select("key", "id", "leaf", "line"), shapes, ["leaf", "line"], "lines", "key")
+    counted = held.groupBy("leaf", "shape", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("of")).agg(F.count("*").alias("rows"))
+    often = counted.groupBy("leaf", "shape").agg(F.count("*").alias("docs"), F.sum("rows").alias("rows"))
+    often = table(often.where(F.col("docs") >= min_docs).select("leaf", "shape", "rows"))
+    return spread_join(held, often, ["leaf", "shape"], "rows", "key").groupBy("key").agg(F.collect_set("line").alias("drop"))
 
 
 def drop_recurring_lines(
@@ -135,8 +148,8 @@ def drop_recurring_lines(
 ) -> DataFrame:
     """All columns of ``docs`` with the text rewritten, and ``__lines``, ``__dropped``: its lines and those dropped."""
     drop = recurring_lines(docs, id_col, text_col, depth, min_docs, fixed_share)
-    drop = drop.select(F.col("id").alias("__id"), F.col("drop").alias("__drop"))
-    joined = docs.join(drop, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id")
+    drop = drop.select(F.col("key").alias("__key"), F.col("drop").alias("__drop"))
+    joined = docs.join(drop, _row_key(id_col, text_col) == F.col("__key"), "left").drop("__key")
     others = [c for c in docs.columns if c != text_col]
     sent = joined.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others)), F.col(text_col).alias("text"), F.col("__drop").alias("drop"))
     types = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(others))

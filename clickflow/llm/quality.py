@@ -1,27 +1,33 @@
 """Quality classifier: supervised subword embeddings, averaged per document, softmax output, trained by SGD in numpy.
 
-Every word, every pair of adjacent words (two equal words share one feature) and every run of 3 to 5 bytes that does not
-reach over a word's border owns a learned vector, found by hash in a table of ``BUCKETS`` rows. A document is the mean
+Every word, every pair of adjacent words (two equal words share one feature) and every run of 3 to 5 characters (code
+points) owns a learned vector, found by hash in a table of ``BUCKETS`` rows. A run lies within a word or reaches one
+space beyond its borders, and white space of any kind counts as the same. A document is the mean
 of its features' vectors; a softmax layer over two classes gives its score. Learning runs in one task over at most
-``SAMPLE`` labelled rows, those of smallest hash of their id: a documented bound, so its cost does not grow. As the mean
-and the layer are linear, scoring needs only each row's product with the difference of the two output vectors: one
-megabyte, sent to the tasks, which score whole texts in one pass over their bytes without any shuffle.
+``SAMPLE`` labelled rows, those of smallest hash of their id, and of these, in that order, over whole texts until
+``SAMPLE_BYTES`` are reached: documented bounds, so its cost and memory do not grow. The rows are chosen by id, hash
+and length alone. As the mean and the layer are linear, scoring needs only each row's product
+with the difference of the two output vectors: one megabyte, sent to the tasks, which score whole texts in one pass over
+their bytes without any shuffle.
 
 Null and empty texts have no features and score the prior of the learned rows. Without labelled rows of both classes the
 score is the share of label 1 (0.5 without any). Labels that are null or neither 0 nor 1 are ignored; of several labels
-of one id the smallest holds. Rows are scored independently; repeated rows give repeated results.
+of one id the smallest holds. Rows are scored independently; repeated rows give repeated results, and are learned from
+once. An empty table gives an empty result, and a model without features.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.llm import hashing as H
 from clickflow.llm.common import small_batches, text_pieces
 
+#: Bytes of text that are learned from: the row that reaches them is the last.
+SAMPLE_BYTES = 64 << 20
 #: Labelled rows that are learned from at most; rows of the table; length of a vector; passes; step size.
 SAMPLE, BITS, WIDTH, EPOCHS, RATE = 6000, 18, 8, 6, 0.5
 BUCKETS = 1 << BITS
@@ -35,7 +41,7 @@ def _bucket(h: np.ndarray, kind: int) -> np.ndarray:
 
 
 def _features(buf: np.ndarray, offsets: np.ndarray):
-    """Arrays (bucket, place in the buffer) for words, word pairs and byte runs; places are in order in each."""
+    """Arrays (bucket, place in the buffer) for words, word pairs and character runs; places are in order in each."""
     starts, ends, at = H.spans(buf, offsets)
     words = H.run_hashes(buf, starts, ends)
     yield _bucket(words, 1), starts
@@ -50,14 +56,21 @@ def _features(buf: np.ndarray, offsets: np.ndarray):
     space = H.IS_SPACE[buf]
     spaces = np.zeros(len(buf) + 1, np.int32)
     np.cumsum(space, out=spaces[1:])
-    owner_end = np.repeat(offsets[1:], np.diff(offsets))
+    # characters start at every byte that is not a continuation byte of UTF-8
+    at_char = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))
+    n_chars = len(at_char) - 1
+    text_end = np.searchsorted(at_char, offsets)  # in characters
+    owner_end = np.repeat(text_end[1:], np.diff(text_end))
+    spaces = spaces[at_char]
     for n in (3, 4, 5):
-        if len(buf) < n:
+        if n_chars < n:
             break
-        i = np.arange(len(buf) - n + 1)
-        inside = (spaces[n - 1 : len(buf)] == spaces[1 : len(buf) - n + 2]) & (i + n <= owner_end[: len(i)])
+        i = np.arange(n_chars - n + 1)
+        # no space between the first and the last character
+        inside = (spaces[n - 1 : n_chars] == spaces[1 : n_chars - n + 2]) & (i + n <= owner_end[: len(i)])
         i = np.flatnonzero(inside)
-        yield _bucket((sums[i + n] - sums[i]) * up[i], n + 1), i
+        first, last = at_char[i], at_char[i + n]
+        yield _bucket((sums[last] - sums[first]) * up[first], n + 1), first
 
 
 def _document_features(column: pa.Array):
@@ -98,18 +111,29 @@ def learn(column: pa.Array, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
     return (table @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """The model learned from at most ``sample`` of ``labels`` (rows of ``(id_col, label_col)``)."""
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+    sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES,
+) -> tuple[np.ndarray, float]:
+    """The model learned from at most ``sample`` of ``labels`` (rows of ``(id_col, label_col)``), up to ``sample_bytes``."""
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).alias("__label"))
     known = known.orderBy(F.xxhash64("__id"), "__id").limit(sample)
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(known), "__id")
-    # rows of one id that differ are all learned from, up to the bound
-    rows = texts.select("__id", "__label", "__text").orderBy(F.xxhash64("__id"), "__id", F.md5("__text")).limit(sample)
+    texts = texts.withColumn("__hash", F.coalesce(F.md5("__text"), F.lit("")))
+    # rows of one id that differ are all learned from, up to the bounds
+    order = ["__of", "__id", "__hash"]
+    sizes = texts.groupBy("__id", "__hash").agg(F.first(F.coalesce(F.octet_length("__text"), F.lit(0)).cast("long")).alias("__bytes"))
+    sizes = sizes.withColumn("__of", F.xxhash64("__id")).orderBy(*order).limit(sample)
+    before = F.sum("__bytes").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    # at most ``sample`` rows of ids and hashes: a bounded window and a bounded broadcast
+    chosen = sizes.withColumn("__before", F.coalesce(before, F.lit(0))).where(F.col("__before") < sample_bytes).select("__id", "__hash")
+    rows = texts.join(F.broadcast(chosen), ["__id", "__hash"]).groupBy("__id", "__hash", "__label").agg(F.first("__text").alias("__text"))
+    rows = rows.select(F.xxhash64("__id").alias("__of"), *rows.columns)
 
     def run(batches):
         got = [b for b in batches if b.num_rows]
         if got:
-            t = pa.Table.from_batches(got)
+            t = pa.Table.from_batches(got).sort_by([("__of", "ascending"), ("__id", "ascending"), ("__hash", "ascending")])
             y = t["__label"].to_numpy().astype(np.int64)
             if 0 < y.sum() < len(y):
                 table, bias = learn(t["__text"].combine_chunks(), y)
