@@ -11,7 +11,8 @@ others keep their order. Every row is placed; none is repeated or left out.
 A row's place in its source is its rank by the md5 of its id, which shuffles the source. Ranks come from counts of
 ``16 ** 3`` prefixes of that hash and a rank inside each prefix, so a source with a third of all rows is spread over 4,096
 groups. Sources that have no weight, and null, share the group ``other`` with ``other_weight``. Rows of one id, null ids
-included, stand next to each other. An empty table gives an empty result.
+included, stand next to each other. An empty table gives an empty result. Texts are moved, never looked at. Other columns
+may have any name: rows are packed while they are placed; only ``mix`` puts its own columns in the place of equal names.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 BLOCK, PERIOD = 64, 100_000
 OTHER = "other"
+ADDED = ("__group", "__block", "__slot", "__place")
 
 
 def period(weights: dict[str, int]) -> list[tuple[str, int, int]]:
@@ -48,13 +50,10 @@ def period(weights: dict[str, int]) -> list[tuple[str, int, int]]:
     return out
 
 
-def mix(
-    docs: DataFrame, weights: dict[str, int], other_weight: int = 1, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source"
+def _placed(
+    docs: DataFrame, kept: list[str], weights: dict[str, int], other_weight: int = 1, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source"
 ) -> DataFrame:
-    """All columns of ``docs`` and ``__group``, ``__block``, ``__slot``, ``__place``.
-
-    The mixed order is (``__slot``, ``__place``); ``__place`` is the row's place in its block.
-    """
+    """``__row`` (the columns ``kept`` as a struct), ``__group``, ``__block``, ``__slot``, ``__place``."""
     spark = docs.sparkSession
     weights = dict(weights) | {OTHER: other_weight}
     total = sum(weights.values())
@@ -62,7 +61,8 @@ def mix(
     source = F.col(source_col)
     group = F.when(source.isin(named), source).otherwise(F.lit(OTHER)) if named else F.lit(OTHER)
     digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    rows = docs.withColumns({"__group": group, "__h": digest, "__p": F.substring(digest, 1, 3)})
+    row = F.struct(*(F.col(f"`{c}`") for c in kept))
+    rows = docs.select(row.alias("__row"), group.alias("__group"), digest.alias("__h"), F.substring(digest, 1, 3).alias("__p"))
     # rows before a prefix in its group: 4,096 counts for each group at most
     counts = rows.groupBy("__group", "__p").agg(F.count("*").alias("__n"))
     before = Window.partitionBy("__group").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
@@ -77,10 +77,18 @@ def mix(
     placed = ranked.join(F.broadcast(share), "__group").withColumn("__k", F.expr("__block % __w"))
     placed = placed.join(F.broadcast(slots), ["__group", "__k"])
     placed = placed.withColumn("__slot", F.expr(f"(__block div __w) * {total} + __s"))
-    return placed.select(*docs.columns, "__group", "__block", "__slot", "__place")
+    return placed.select("__row", *ADDED)
+
+
+def mix(docs: DataFrame, weights: dict[str, int], other_weight: int = 1, **options) -> DataFrame:
+    """All columns of ``docs`` and ``__group``, ``__block``, ``__slot``, ``__place``.
+
+    The mixed order is (``__slot``, ``__place``); ``__place`` is the row's place in its block.
+    """
+    kept = [c for c in docs.columns if c not in ADDED]
+    return _placed(docs, kept, weights, other_weight, **options).select("__row.*", *ADDED)
 
 
 def in_mixed_order(docs: DataFrame, weights: dict[str, int], **options) -> DataFrame:
     """The rows of ``docs`` in the mixed order: partitions are ranges of slots, sorted inside."""
-    mixed = mix(docs, weights, **options)
-    return mixed.orderBy("__slot", "__place").select(*docs.columns)
+    return _placed(docs, docs.columns, weights, **options).orderBy("__slot", "__place").select("__row.*")

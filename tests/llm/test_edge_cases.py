@@ -146,3 +146,11 @@ def test_hashes_of_equal_words_are_equal():
     starts, ends, at = hashing.spans(buf, np.array([0, len(buf)]))
     h = hashing.run_hashes(buf, starts, ends)
     assert h[0] == h[2] != h[1] and at.tolist() == [0, 3]
+
+
+def test_mixing_puts_its_columns_in_the_place_of_equal_names(spark):
+    docs = docs_of(spark, [(i, f"text {i}") for i in range(200)])
+    out = mixing.mix(docs, {"a": 1})
+    assert sorted(out.columns) == sorted({*docs.columns, *mixing.ADDED})
+    plain = mixing.mix(docs.drop("__slot"), {"a": 1}).select(*out.columns)
+    assert out.exceptAll(plain).count() == 0 and out.select("__slot").distinct().count() > 1
