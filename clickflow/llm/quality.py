@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from clickflow.llm import hashing as H
 from clickflow.llm.common import small_batches, text_pieces
 
+#: Bytes of text in one numpy pass; a longer document is one pass of its own.
+_PASS_BYTES = 1 << 18
 #: Bytes of text that are learned from: the row that reaches them is the last.
 SAMPLE_BYTES = 64 << 20
 #: Labelled rows that are learned from at most; rows of the table; length of a vector; passes; step size.
@@ -57,25 +59,25 @@ def _features(buf: np.ndarray, offsets: np.ndarray):
     spaces = np.zeros(len(buf) + 1, np.int32)
     np.cumsum(space, out=spaces[1:])
     # characters start at every byte that is not a continuation byte of UTF-8
-    at_char = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))
+    at_char = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf)).astype(np.int32)
     n_chars = len(at_char) - 1
-    text_end = np.searchsorted(at_char, offsets)  # in characters
+    text_end = np.searchsorted(at_char, offsets).astype(np.int32)  # in characters
     owner_end = np.repeat(text_end[1:], np.diff(text_end))
     spaces = spaces[at_char]
     for n in (3, 4, 5):
         if n_chars < n:
             break
-        i = np.arange(n_chars - n + 1)
+        i = np.arange(n_chars - n + 1, dtype=np.int32)
         # no space between the first and the last character
         inside = (spaces[n - 1 : n_chars] == spaces[1 : n_chars - n + 2]) & (i + n <= owner_end[: len(i)])
-        i = np.flatnonzero(inside)
+        i = i[inside]
         first, last = at_char[i], at_char[i + n]
         yield _bucket((sums[last] - sums[first]) * up[first], n + 1), first
 
 
 def _document_features(column: pa.Array):
     """(distinct buckets, their shares) of each text."""
-    for first, end, buf, offsets in text_pieces(column):
+    for first, end, buf, offsets in text_pieces(column, _PASS_BYTES):
         parts = list(_features(buf, offsets)) if len(buf) else []
         for a, b in zip(offsets, offsets[1:]):
             ids = [f[np.searchsorted(p, a) : np.searchsorted(p, b)] for f, p in parts]
@@ -163,7 +165,7 @@ def scores(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_
         table, bias = sent.value
         for batch in batches:
             logits = [np.zeros(0)]
-            for first, end, buf, offsets in text_pieces(batch.column(place), 1 << 19):
+            for first, end, buf, offsets in text_pieces(batch.column(place), _PASS_BYTES):
                 total, n = np.zeros(end - first), np.zeros(end - first)
                 for f, at in _features(buf, offsets) if len(buf) else ():
                     run_sums = np.zeros(len(f) + 1)
