@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.llm import hashing as H
-from clickflow.llm.common import small_batches, text_pieces
+from clickflow.llm.common import give_back, small_batches, text_pieces
 
 #: Bytes of text in one numpy pass; a longer document is one pass of its own.
 _PASS_BYTES = 1 << 18
@@ -76,14 +76,14 @@ def _features(buf: np.ndarray, offsets: np.ndarray):
 
 
 def _document_features(column: pa.Array):
-    """(distinct buckets, their shares) of each text."""
+    """(distinct buckets, how often each, number of all features) of each text, in the smallest types that hold them."""
     for first, end, buf, offsets in text_pieces(column, _PASS_BYTES):
         parts = list(_features(buf, offsets)) if len(buf) else []
         for a, b in zip(offsets, offsets[1:]):
             ids = [f[np.searchsorted(p, a) : np.searchsorted(p, b)] for f, p in parts]
             ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             at, n = np.unique(ids, return_counts=True)
-            yield at, (n / max(len(ids), 1)).astype(np.float32)
+            yield at, n.astype(np.min_scalar_type(int(n.max(initial=0)))), np.float64(max(len(ids), 1))
 
 
 def learn(column: pa.Array, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -95,7 +95,8 @@ def learn(column: pa.Array, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
     steps, done = EPOCHS * len(rows), 0
     for _ in range(EPOCHS):
         for r in rng.permutation(len(rows)):
-            at, share = rows[r]
+            at, n, total = rows[r]
+            share = (n / total).astype(np.float32)
             rate = RATE * (1 - done / steps)
             done += 1
             vectors = table[at]
@@ -136,11 +137,14 @@ def fit(
         got = [b for b in batches if b.num_rows]
         if got:
             t = pa.Table.from_batches(got).sort_by([("__of", "ascending"), ("__id", "ascending"), ("__hash", "ascending")])
-            y = t["__label"].to_numpy().astype(np.int64)
+            y, texts = t["__label"].to_numpy().astype(np.int64), t["__text"].combine_chunks()
+            del got, t
             if 0 < y.sum() < len(y):
-                table, bias = learn(t["__text"].combine_chunks(), y)
+                table, bias = learn(texts, y)
             else:
                 table, bias = np.zeros(BUCKETS, np.float32), 40.0 * (2 * float(y.mean()) - 1)
+            del texts
+            give_back()
             yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary()), pa.array([bias], pa.float64())], names=["t", "b"])
 
     made = rows.coalesce(1).mapInArrow(run, "t binary, b double").collect()
