@@ -76,14 +76,14 @@ def _features(buf: np.ndarray, offsets: np.ndarray):
 
 
 def _document_features(column: pa.Array):
-    """(distinct buckets, how often each, number of all features) of each text, in the smallest types that hold them."""
+    """(distinct buckets, their shares) of each text."""
     for first, end, buf, offsets in text_pieces(column, _PASS_BYTES):
         parts = list(_features(buf, offsets)) if len(buf) else []
         for a, b in zip(offsets, offsets[1:]):
             ids = [f[np.searchsorted(p, a) : np.searchsorted(p, b)] for f, p in parts]
             ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             at, n = np.unique(ids, return_counts=True)
-            yield at, n.astype(np.min_scalar_type(int(n.max(initial=0)))), np.float64(max(len(ids), 1))
+            yield at, (n / max(len(ids), 1)).astype(np.float32)
 
 
 def learn(column: pa.Array, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -95,8 +95,7 @@ def learn(column: pa.Array, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
     steps, done = EPOCHS * len(rows), 0
     for _ in range(EPOCHS):
         for r in rng.permutation(len(rows)):
-            at, n, total = rows[r]
-            share = (n / total).astype(np.float32)
+            at, share = rows[r]
             rate = RATE * (1 - done / steps)
             done += 1
             vectors = table[at]
