@@ -227,3 +227,34 @@ def test_time_slices_hold_the_whole_log(spark, tmp_path):
     for index in range(3):
         write_ad_log_slice(spark, sf, str(tmp_path / "log"), bounds, index)
     assert spark.read.text(str(tmp_path / "log")).count() == src.load_ad_log(spark, sf).count()
+
+
+def test_blacklist_filter_takes_the_log_in_five_slices(spark, tmp_path):
+    import duckdb
+
+    from clickflow.plans import stream_queries as SQ
+
+    assert SQ.SLICES == 5
+    assert [f"{b:%m-%d %H}" for b in SQ.BOUNDS] == ["01-07 00", "01-13 00", "01-19 00", "01-25 00"]
+    times = {
+        # listed by the first slice, whose clicks pass; none after it does
+        7: ["01-05 08:00", "01-05 09:00", "01-05 10:00", "01-06 23:59", "01-07 00:00", "01-08 06:00", "01-30 06:00"],
+        # listed by the third slice
+        8: ["01-02 08:00", "01-13 00:00", "01-13 01:00", "01-13 02:00", "01-18 23:59", "01-19 00:00", "01-24 12:00"],
+        # never above two clicks a day
+        9: ["01-07 00:00", "01-07 01:00", "01-25 00:00"],
+    }
+    clicks = [(i, f"2024-{at}:00", user) for i, (user, at) in enumerate((u, at) for u, ats in times.items() for at in ats)]
+    events = spark.createDataFrame(clicks, "event_id long, at string, user_id long")
+    events = events.withColumn("ts", F.col("at").cast("timestamp_ntz")).withColumn("event_type", F.lit("click")).withColumn("value", F.lit(1.0))
+    events.withColumn("props", F.lit('{"k": 3}')).drop("at").write.parquet(f"{tmp_path}/events.parquet")
+
+    got = rows(SQ.q_stream_blacklist_filter(spark, str(tmp_path)))
+    assert sorted((r[4], f"{dt.datetime.fromtimestamp(r[0] / 1000, dt.timezone.utc):%m-%d %H:%M}") for r in got) == sorted(
+        [(7, at) for at in times[7][:4]] + [(8, at) for at in times[8][:5]] + [(9, at) for at in times[9]])
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    for other in ("customer", "part"):
+        con.execute(f"CREATE VIEW {other} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{other}.parquet')")
+    assert sorted(con.execute(SQ.BLACKLIST_FILTER_SQL).fetchall()) == got
