@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import small_batches
+from clickflow.llm.common import lean, small_batches
 
 #: The published pattern of this family of byte-level vocabularies (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -156,7 +156,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(k) for k, c in zip(kept, keep)))
-    return rows.mapInArrow(run, f"id {id_type}, n_tokens long, ids array<int>, exact boolean{types}").toDF(id_col, "n_tokens", "ids", "exact", *keep)
+    return rows.mapInArrow(lean(run), f"id {id_type}, n_tokens long, ids array<int>, exact boolean{types}").toDF(id_col, "n_tokens", "ids", "exact", *keep)
 
 
 def decoded(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

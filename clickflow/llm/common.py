@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass works on; a longer document is one pass of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 #: A key that holds this share of the rows, or more, is dealt over ``PARTS`` partitions by ``spread_join``.
 HEAVY_SHARE, PARTS = 1 / 1000, 64
 
@@ -36,6 +36,16 @@ def give_back() -> None:
         trim(0)
 
 
+def lean(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``, giving back at its end what the task has freed."""
+
+    def task(batches):
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a private one only on a local master where that is unset (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

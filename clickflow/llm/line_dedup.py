@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm import hashing as H
-from clickflow.llm.common import small_batches, spread_join, table, text_pieces
+from clickflow.llm.common import lean, small_batches, spread_join, table, text_pieces
 
 DEPTH, MIN_DOCS, FIXED_SHARE, COPY_SHARE = 3, 5, 0.6, 0.5
 _LINE_FEED = 10
@@ -81,7 +81,7 @@ def _leaves(docs: DataFrame, depth: int) -> DataFrame:
                     rows, leaves = np.unique(np.stack([lines.text, lines.leaf]), axis=1)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + rows)), pa.array(leaves)], names=["key", "leaf"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, leaf long")
+    return docs.select("key", "text").mapInArrow(lean(run), "key long, leaf long")
 
 
 def _candidates(docs: DataFrame, depth: int) -> DataFrame:
@@ -109,7 +109,7 @@ def _candidates(docs: DataFrame, depth: int) -> DataFrame:
                 columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(lines.leaf[pick]), pa.array(lines.line[pick]), tokens]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "leaf", "line", "tokens"])
 
-    return docs.mapInArrow(run, f"key long, id {id_type}, leaf long, line long, tokens array<long>")
+    return docs.mapInArrow(lean(run), f"key long, id {id_type}, leaf long, line long, tokens array<long>")
 
 
 def _row_key(id_col: str, text_col: str) -> Column:
@@ -180,5 +180,5 @@ def drop_recurring_lines(
                 names=[*(f"c{i}" for i in range(len(others))), "text", "lines", "dropped"],
             )
 
-    out = sent.mapInArrow(run, (types + ", " if types else "") + "text string, lines long, dropped long")
+    out = sent.mapInArrow(lean(run), (types + ", " if types else "") + "text string, lines long, dropped long")
     return out.toDF(*others, text_col, "__lines", "__dropped").select(*docs.columns, "__lines", "__dropped")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm import hashing as H
-from clickflow.llm.common import cut, runs, small_batches, table, text_pieces
+from clickflow.llm.common import cut, lean, runs, small_batches, table, text_pieces
 from clickflow.llm.components import connected_components
 
 #: Coordinates of a sketch, coordinates of a band, coordinates that must agree (in two bits) before sets are compared.
@@ -104,7 +104,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame
             )
 
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, f"id {id_type}, n long, h1 long, h2 long, bands array<long>, lanes array<long>")
+    return narrow.mapInArrow(lean(run), f"id {id_type}, n long, h1 long, h2 long, bands array<long>, lanes array<long>")
 
 
 def _agreeing(a: str, b: str) -> F.Column:
@@ -154,7 +154,7 @@ def _across(members: DataFrame, percent: int, agreeing: int) -> DataFrame:
                 if len(p):
                     yield pa.RecordBatch.from_arrays(columns, names=["tile", "a", "b"])
 
-    return dealt.mapInArrow(run, f"tile long, a {id_type}, b {id_type}")
+    return dealt.mapInArrow(lean(run), f"tile long, a {id_type}, b {id_type}")
 
 
 def _verified_by_tile(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
@@ -184,7 +184,7 @@ def _verified_by_tile(pairs: DataFrame, docs: DataFrame, id_col: str, text_col:
                 kind = g.schema.field("a").type
                 yield pa.RecordBatch.from_arrays([pa.array([c[i] for i in good], kind) for c in (a, b)], names=["a", "b"])
 
-    return both.mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
+    return both.mapInArrow(lean(run), f"a {id_type}, b {id_type}").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
@@ -212,7 +212,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
 
     with_a = pairs.join(texts, "a")
     both = with_a.join(texts.select(F.col("a").alias("b"), F.col("ta").alias("tb")), "b").select("a", "b", "ta", "tb")
-    return both.mapInArrow(run, f"a {id_type}, b {id_type}").distinct()
+    return both.mapInArrow(lean(run), f"a {id_type}, b {id_type}").distinct()
 
 
 def near_duplicates(

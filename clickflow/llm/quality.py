@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.llm import hashing as H
-from clickflow.llm.common import give_back, small_batches, text_pieces
+from clickflow.llm.common import give_back, lean, small_batches, text_pieces
 
 #: Bytes of text in one numpy pass; a longer document is one pass of its own.
 _PASS_BYTES = 1 << 18
@@ -181,7 +181,7 @@ def scores(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=[*(f"c{i}" for i in range(len(keep))), "score"])
 
-    out = narrow.mapInArrow(run, f"{types}, score double")
+    out = narrow.mapInArrow(lean(run), f"{types}, score double")
     return out.toDF(*keep, "__score" if "score" in keep else "score")
 
 

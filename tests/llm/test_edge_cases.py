@@ -154,3 +154,17 @@ def test_mixing_puts_its_columns_in_the_place_of_equal_names(spark):
     assert sorted(out.columns) == sorted({*docs.columns, *mixing.ADDED})
     plain = mixing.mix(docs.drop("__slot"), {"a": 1}).select(*out.columns)
     assert out.exceptAll(plain).count() == 0 and out.select("__slot").distinct().count() > 1
+
+
+def test_tasks_pass_over_little_text_and_give_their_memory_back(monkeypatch):
+    from clickflow.llm import common
+
+    texts = pa.array(["word " * 2000] * 120)  # 1.2 MB
+    pieces = list(common.text_pieces(texts))
+    assert max(len(buf) for _, _, buf, _ in pieces) <= 1 << 18
+    assert [p[0] for p in pieces] == [0, *(p[1] for p in pieces[:-1])] and pieces[-1][1] == 120
+    ended = []
+    monkeypatch.setattr(common, "give_back", lambda: ended.append(True))
+    task = common.lean(lambda batches: (b + 1 for b in batches))(iter([1, 2]))
+    assert next(task) == 2 and not ended
+    assert list(task) == [3] and ended == [True]
